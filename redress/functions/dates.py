@@ -13,8 +13,15 @@ NO_BAND = "Unknown"
 
 
 def parse_date(c: Column) -> Column:
-    """ISO or MM/dd/yyyy text to a date, NULL for anything else."""
-    return F.coalesce(F.try_to_date(c, "yyyy-MM-dd"), F.try_to_date(c, "MM/dd/yyyy"))
+    """ISO (yyyy-MM-dd) or MM/dd/yyyy text to a date, NULL for anything else.
+
+    The shape is tested first: trying one format and then the other would
+    raise and catch an error inside for every row in the second one.
+    """
+    us = F.concat_ws("-", F.substring(c, 7, 4), F.substring(c, 1, 2), F.substring(c, 4, 2))
+    return F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), c.try_cast("date")).when(
+        c.rlike("^[0-9]{2}/[0-9]{2}/[0-9]{4}$"), us.try_cast("date")
+    )
 
 
 def days_between(start: Column, end: Column) -> Column:

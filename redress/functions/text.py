@@ -57,9 +57,13 @@ def valid_or_null(c: Column, pattern: str) -> Column:
     return F.when(c.rlike(pattern), c)
 
 
-def safe_int(c: Column) -> Column:
-    """Integer value, NULL for what is not one (ANSI mode would raise)."""
-    return c.try_cast("int")
+def safe_int(c: Column, to: str = "int") -> Column:
+    """Whole number in text, NULL for what is not one (a plain cast would raise).
+
+    The pattern keeps text that is no number away from the cast, where each
+    failure costs an exception; the cast still turns an overflow into NULL.
+    """
+    return F.when(c.rlike(r"^[\x00- ]*[+-]?[0-9]+[\x00- ]*$"), c.try_cast(to))
 
 
 def is_blank(c: Column) -> Column:

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from redress.sources.scratch import settle
+
 BROADCAST_BYTES = 64 << 20
 HOT_KEYS = 1000  # a key is hot from 1/HOT_KEYS of all rows, so no more than this many exist
 SALTS = 64
@@ -49,11 +51,14 @@ def dim_join(
     how: str = "left",
     null_safe: bool = False,
     limit: int = BROADCAST_BYTES,
+    keys_of: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``fact`` to ``dim`` on equal keys; the dimension's keys are dropped.
 
     ``on`` lists key columns, or (fact column, dimension column) pairs where
-    the names differ. Key columns of the result are those of the fact.
+    the names differ. Key columns of the result are those of the fact. Where
+    ``fact`` is itself the result of joins, ``keys_of`` names the table its
+    keys came from: hot keys are then counted there, with no join repeated.
     """
     pairs = _pairs(on)
     names = {d: f"_dim_{i}" for i, (_, d) in enumerate(pairs)}
@@ -63,19 +68,28 @@ def dim_join(
     match = [_equal(fact[f], dim[names[d]], null_safe) for f, d in pairs]
     if fits_broadcast(dim, limit):
         return fact.join(F.broadcast(dim), match, how).drop(*names.values())
-    return _salted_join(fact, dim, [(f, names[d]) for f, d in pairs], how, null_safe)
+    hot = hot_keys(fact if keys_of is None else keys_of, [f for f, _ in pairs])
+    return _salted_join(fact, dim, [(f, names[d]) for f, d in pairs], how, null_safe, hot)
 
 
-def _salted_join(fact, dim, pairs, how, null_safe) -> DataFrame:
-    keys = [f for f, _ in pairs]
-    counts = fact.groupBy(*keys).agg(F.count("*").alias("_n"))
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored keys that hold at least 1/HOT_KEYS of the rows of ``df``.
+
+    No more than HOT_KEYS rows by construction, whatever the size of ``df``.
+    """
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total"))
-    # At most HOT_KEYS rows by construction, whatever the size of the fact.
-    hot = F.broadcast(
+    return settle(
         counts.where(F.col("_n") * HOT_KEYS >= total.scalar()).select(
             *[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)], F.lit(True).alias("_hot")
-        )
+        ),
+        "hot-keys",
     )
+
+
+def _salted_join(fact, dim, pairs, how, null_safe, hot) -> DataFrame:
+    keys = [f for f, _ in pairs]
+    hot = F.broadcast(hot)
     hot_names = [f"_hot_{i}" for i in range(len(keys))]
 
     spread = [c for c in fact.columns if c not in keys] or keys
@@ -103,14 +117,20 @@ def star_join(
     fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Inner join to each (dimension, key)."""
-    return reduce(lambda df, d: dim_join(df, d[0], [d[1]], "inner", limit=limit), dims, fact)
+    return _join_all(fact, dims, "inner", limit)
 
 
 def denormalize(
     fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Left join to each (dimension, key): every fact row stays."""
-    return reduce(lambda df, d: dim_join(df, d[0], [d[1]], "left", limit=limit), dims, fact)
+    return _join_all(fact, dims, "left", limit)
+
+
+def _join_all(fact, dims, how, limit) -> DataFrame:
+    return reduce(
+        lambda df, d: dim_join(df, d[0], [d[1]], how, limit=limit, keys_of=fact), dims, fact
+    )
 
 
 def lookup_id(
@@ -119,13 +139,14 @@ def lookup_id(
     keys: Keys,
     null_safe: bool = True,
     limit: int = BROADCAST_BYTES,
+    keys_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add the surrogate id of ``dim`` by natural key.
 
     ``null_safe`` decides whether a NULL key part finds the dimension row that
     has NULL there, or nothing (plain equality).
     """
-    return dim_join(fact, dim, keys, "left", null_safe, limit)
+    return dim_join(fact, dim, keys, "left", null_safe, limit, keys_of)
 
 
 def orphans(

@@ -2,7 +2,9 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+
+from redress.functions.text import safe_int
 
 
 def canonicalize(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -15,9 +17,15 @@ def enforce(df: DataFrame, schema: StructType) -> DataFrame:
 
     A value its type cannot hold becomes NULL.
     """
-    return df.select(
-        [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+    text = {name for name, kind in df.dtypes if kind == "string"}
+
+    def typed(f: StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        if f.name in text and isinstance(f.dataType, (IntegerType, LongType)):
+            return safe_int(c, f.dataType.simpleString())
+        return c.try_cast(f.dataType)
+
+    return df.select([typed(f).alias(f.name) for f in schema.fields])
 
 
 def schema_report(df: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ codes, impossible and missing dates.
 
 from pyspark.sql import DataFrame, SparkSession
 
+from redress.sources.readers import spread
+
 TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
 
 FEED_SQL = """
@@ -49,6 +51,7 @@ JOIN   {region}   ON n_regionkey = r_regionkey
 def feed(spark: SparkSession, folder: str) -> DataFrame:
     """The feed over the Parquet tables in ``folder``, with canonical names."""
     tables = {t: spark.read.parquet(f"{folder.rstrip('/')}/{t}.parquet") for t in TABLES}
+    tables["lineitem"] = spread(tables["lineitem"].drop("l_shipdate"))
     return spark.sql(FEED_SQL, **tables)
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from redress.functions.dates import days_between, response_band, year_of
-from redress.functions.text import digits, safe_int, tag_array, upper_letters, valid_or_null
+from redress.functions.text import digits, tag_array, upper_letters, valid_or_null
 from redress.operators.aggregates import count_by
 from redress.operators.relational import changed_rows, invalid_zips, order_desc
 
@@ -18,7 +18,7 @@ def clean(complaints: DataFrame) -> DataFrame:
         "zip_code_clean": digits(F.col("zip_code")),
         "state_clean": upper_letters(F.col("state")),
         "zip_valid": valid_or_null(digits(F.col("zip_code")), ZIP_PATTERN),
-        "product_id_safe": safe_int(F.col("product_id")),
+        "product_id_safe": F.col("product_id").try_cast("int"),
     })
 
 

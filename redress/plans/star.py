@@ -54,10 +54,14 @@ def build_fact(
     With dimensions that fit a broadcast this is one pass over the feed
     without a shuffle.
     """
-    keyed = raw.withColumn("_clean", clean_name(F.col("company_name")))
-    keyed = lookup_id(keyed, products, PRODUCT_KEYS, null_safe, limit)
-    keyed = lookup_id(keyed, issues, ISSUE_KEYS, null_safe, limit)
-    keyed = lookup_id(keyed, companies, [("_clean", "company_name")], null_safe, limit)
+    named = raw.withColumn("_clean", clean_name(F.col("company_name")))
+    keyed = named
+    for dim, keys in (
+        (products, PRODUCT_KEYS),
+        (issues, ISSUE_KEYS),
+        (companies, [("_clean", "company_name")]),
+    ):
+        keyed = lookup_id(keyed, dim, keys, null_safe, limit, keys_of=named)
     return fact_columns(keyed)
 
 

@@ -109,12 +109,18 @@ def _split_offsets(lines: DataFrame) -> DataFrame:
     )
     started = splits.withColumn("inside", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
     begun = F.when(F.col("inside") == 0, F.col("even")).otherwise(F.col("lines") - F.col("even"))
-    return settle(
+    placed = settle(
         started.select(
             "file",
             "split",
             "inside",
             F.coalesce(F.sum(begun).over(earlier), F.lit(0)).alias("records_before"),
+            "quotes",
         ),
         "splits",
     )
+    odd = placed.groupBy("file").agg(F.sum("quotes").alias("quotes")).where("quotes % 2 = 1")
+    broken = odd.select("file").first()
+    if broken:
+        raise ValueError(f"{broken.file} has an odd number of quotes")
+    return placed.drop("quotes")

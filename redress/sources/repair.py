@@ -12,13 +12,14 @@ from redress.functions.dates import parse_date
 from redress.functions.text import blank_to_null, safe_int, true_flag
 from redress.operators.relational import enforce
 from redress.schema import COMPLAINTS, all_strings
-from redress.sources.readers import CSV
+from redress.sources.readers import CSV, spread
 from redress.sources.scratch import settle
 from redress.sources.writers import CSV_TEXT
 
 _LAST = COMPLAINTS.names[-1]
 _LEADING = len(COMPLAINTS) - 1
 _CORRUPT = "_record"
+_MOST_FIELDS = 1_000_000  # a row with more makes the scan fail, none is cut
 
 # A field: a quoted part with doubled quotes, then anything up to the comma.
 # Possessive throughout, so that long narratives cannot exhaust the stack.
@@ -51,9 +52,10 @@ def repair_load(
     ('id', 'fields' or 'key') and the record. The file is parsed once and kept,
     so both can be used freely.
     """
-    scanned = (
+    scanned = spread(
         spark.read.schema(all_strings(COMPLAINTS).add(_CORRUPT, "string"))
-        .options(**{**CSV, "header": header}, columnNameOfCorruptRecord=_CORRUPT)
+        .options(**{**CSV, "header": header, "maxColumns": _MOST_FIELDS})
+        .option("columnNameOfCorruptRecord", _CORRUPT)
         .csv(path)
     )
     record = F.col(_CORRUPT)
@@ -65,7 +67,7 @@ def repair_load(
     for k in keys:
         bad_key = bad_key | (k.isNotNull() & safe_int(k).isNull())
     reason = (
-        F.when(F.col("complaint_id").try_cast("bigint").isNull(), "id")
+        F.when(safe_int(F.col("complaint_id"), "bigint").isNull(), "id")
         .when(record.isNotNull() & F.col("_tail").isNull(), "fields")
         .when(bad_key, "key")
     )
