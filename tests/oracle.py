@@ -14,6 +14,16 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "double": "DOUBLE",
+}
+
+
 def rows(columns: list[str], data) -> Counter:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return Counter(tuple(row[i] for i in order) for row in data)
@@ -23,6 +33,8 @@ def compare(df, con, sql: str) -> None:
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(names)
+    kinds = {d[0]: str(d[1]) for d in result.description}
+    assert {name: TYPES[kind] for name, kind in df.dtypes} == kinds
     spark_rows = rows(df.columns, df.collect())
     duck_rows = rows(names, result.fetchall())
     extra, missing = spark_rows - duck_rows, duck_rows - spark_rows
