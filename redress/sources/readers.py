@@ -43,7 +43,8 @@ def spread(df: DataFrame) -> DataFrame:
     """Give a scan of few tasks one task per core; leave every other scan alone.
 
     A few files that cannot be split would keep all later steps in as many
-    tasks. A scan with enough tasks is not shuffled.
+    tasks. A scan with enough tasks is not shuffled. Only for plain scans:
+    asking a plan with shuffles for its tasks would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
