@@ -172,7 +172,15 @@ def _complaints(build):
 
 
 def _eq_fact(build):
-    return lambda spark, sf_dir: build(fact(spark, sf_dir, null_safe=False), dims(spark, sf_dir))
+    """Over the stored fact of the equality join, whose keys may be NULL."""
+
+    def run(spark, sf_dir):
+        stored = _once(
+            spark, sf_dir, "eq-fact", lambda: settle(fact(spark, sf_dir, null_safe=False), "fact")
+        )
+        return build(stored, dims(spark, sf_dir))
+
+    return run
 
 
 def _named(build):

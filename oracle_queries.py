@@ -1,5 +1,6 @@
 """The registered queries once more, as SQL for DuckDB over the same tables."""
 
+from redress.functions.text import LEGAL_SUFFIXES
 from redress.plans.feed import feed_query
 
 FEED = feed_query()
@@ -67,17 +68,13 @@ TABLES["combined"] = """
         FROM complaints c LEFT JOIN products USING (product_id)
                           LEFT JOIN issues USING (issue_id)
                           LEFT JOIN companies USING (company_id)"""
-_SUFFIXES = (
-    r"\b(LLC|L\.?L\.?C\.?|INC\.?|INCORPORATED|CORP\.?|CORPORATION|CO\.?|COMPANY"
-    r"|LTD\.?|LIMITED|N\.?A\.?|NATIONAL ASSOCIATION)\b"
-)
 TABLES["names"] = rf"""
         SELECT company_name, count(*) AS complaints,
                upper(trim(company_name, E' \t\n\r\f\v')) AS case_key,
                regexp_replace(trim(regexp_replace(upper(company_name), '[^A-Za-z0-9 ]', '', 'g')),
                               '\s+', ' ', 'g') AS punct_key,
                regexp_replace(trim(regexp_replace(
-                   regexp_replace(upper(company_name), '{_SUFFIXES}', '', 'g'),
+                   regexp_replace(upper(company_name), '{LEGAL_SUFFIXES}', '', 'g'),
                    '[^A-Z0-9 ]', '', 'g')), '\s+', ' ', 'g') AS suffix_key
         FROM feed
         WHERE company_name IS NOT NULL AND length(company_name) <= 300 AND company_name <> ''

@@ -1,8 +1,8 @@
 """Joins of the fact table to its dimensions.
 
 A dimension is broadcast only after its size has been measured. A larger one
-is shuffled, with the keys that hold a large share of the fact rows salted, so
-that no task receives all rows of one key.
+is shuffled, with the keys that hold more rows than a task should get salted:
+in proportion to their rows, so that no task receives all rows of one key.
 """
 
 from collections.abc import Sequence
@@ -15,8 +15,7 @@ from pyspark.sql.types import StringType
 from redress.sources.scratch import settle
 
 BROADCAST_BYTES = 64 << 20
-HOT_KEYS = 1000  # a key is hot from 1/HOT_KEYS of all rows, so no more than this many exist
-SALTS = 64
+SALTS_PER_SHARE = 2  # pieces a hot key is cut into per even share of a task
 
 Keys = Sequence[str | tuple[str, str]]
 
@@ -73,15 +72,20 @@ def dim_join(
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stored keys that hold at least 1/HOT_KEYS of the rows of ``df``.
+    """Stored keys with more rows than an even share of a shuffle task, and their salts.
 
-    No more than HOT_KEYS rows by construction, whatever the size of ``df``.
+    With p shuffle partitions a key is hot from 1/p of all rows, so no more
+    than p exist, and they get at most (SALTS_PER_SHARE + 1) * p salts
+    together, however the rows are spread.
     """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total"))
+    shares = F.col("_n") * tasks
+    salts = F.ceil(shares * SALTS_PER_SHARE / total.scalar()).cast("int")
     return settle(
-        counts.where(F.col("_n") * HOT_KEYS >= total.scalar()).select(
-            *[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)], F.lit(True).alias("_hot")
+        counts.where(shares >= total.scalar()).select(
+            *[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)], salts.alias("_salts")
         ),
         "hot-keys",
     )
@@ -97,16 +101,18 @@ def _salted_join(fact, dim, pairs, how, null_safe, hot) -> DataFrame:
         fact.join(hot, [fact[k].eqNullSafe(hot[h]) for k, h in zip(keys, hot_names)], "left")
         .withColumn(
             "_salt",
-            F.when(F.col("_hot"), F.pmod(F.xxhash64(*[fact[c] for c in spread]), F.lit(SALTS)))
-            .otherwise(F.lit(0)),
+            F.when(
+                F.col("_salts").isNotNull(),
+                F.pmod(F.xxhash64(*[fact[c] for c in spread]), F.col("_salts")).cast("int"),
+            ).otherwise(F.lit(0)),
         )
-        .drop(*hot_names, "_hot")
+        .drop(*hot_names, "_salts")
     )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0)))
     spread_dim = (
         dim.join(hot, [dim[d].eqNullSafe(hot[h]) for (_, d), h in zip(pairs, hot_names)], "left")
-        .withColumn("_dim_salt", F.explode(copies.otherwise(F.array(F.lit(0)))))
-        .drop(*hot_names, "_hot")
+        .withColumn("_dim_salt", F.explode(copies))
+        .drop(*hot_names, "_salts")
     )
     match = [_equal(salted[f], spread_dim[d], null_safe) for f, d in pairs]
     match.append(salted["_salt"] == spread_dim["_dim_salt"])
