@@ -71,11 +71,13 @@ def repair_load(
         .when(record.isNotNull() & F.col("_tail").isNull(), "fields")
         .when(bad_key, "key")
     )
+    # The text of a record is kept only where it is rejected.
+    text = F.coalesce(record, F.to_csv(F.struct(*COMPLAINTS.names), CSV_TEXT))
     rows = settle(
         repaired.select(
             *COMPLAINTS.names,
             reason.alias("_reason"),
-            F.coalesce(record, F.to_csv(F.struct(*COMPLAINTS.names), CSV_TEXT)).alias(_CORRUPT),
+            F.when(reason.isNotNull(), text).alias(_CORRUPT),
         ),
         "repair",
     )

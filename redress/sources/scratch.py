@@ -15,20 +15,21 @@ def shared_folder(spark: SparkSession) -> str:
     own; on a cluster a machine-local folder would be lost with its machine, so
     the missing setting is an error there.
     """
-    folder = spark.conf.get(SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {SETTING} to a folder shared by the cluster")
         folder = tempfile.mkdtemp(prefix="redress-")
-        spark.conf.set(SETTING, folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/redress/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder of this application that nothing else uses."""
+    root = f"{shared_folder(spark).rstrip('/')}/redress/{spark.sparkContext.applicationId}"
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

@@ -212,3 +212,27 @@ def test_settled_tables_go_to_the_shared_folder(spark, tricky):
     stored = scratch.settle(tricky, "t")
     assert all(folder in f for f in stored.inputFiles())
     assert stored.schema == tricky.schema and rows(stored) == rows(tricky)
+
+
+class Session:
+    """The parts of a session that decide about the scratch folder."""
+
+    def __init__(self, master, setting=None):
+        self.conf = {scratch.SETTING: setting} if setting else {}
+        self.sparkContext = self
+        self.master, self.checkpoints = master, None
+
+    def getCheckpointDir(self):
+        return self.checkpoints
+
+    def setCheckpointDir(self, folder):
+        self.checkpoints = folder
+
+
+def test_scratch_folder_is_never_machine_local_on_a_cluster():
+    with pytest.raises(ValueError, match="shared"):
+        scratch.shared_folder(Session("yarn"))
+    cluster = Session("yarn", "hdfs:///shared")
+    assert scratch.shared_folder(cluster) == cluster.checkpoints == "hdfs:///shared"
+    local = Session("local[2]")
+    assert scratch.shared_folder(local) == scratch.shared_folder(local) == local.checkpoints
