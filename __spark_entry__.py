@@ -21,6 +21,14 @@ from redress.schema import COMPANIES, COMPLAINTS, RAW_COLUMNS  # noqa: E402
 from redress.sources import readers, records, repair, writers  # noqa: E402
 from redress.sources.scratch import new_folder, settle  # noqa: E402
 
+try:
+    import corpus_pipeline
+    import redress.llm.queries as llm_queries
+except ModuleNotFoundError as missing:  # the package of these queries can be left out
+    if missing.name not in ("corpus_pipeline", "redress.llm", "redress.llm.queries"):
+        raise
+    llm_queries = None
+
 SMALL = "/root/testdata/sf0.001"
 
 _stored: dict[tuple, object] = {}
@@ -268,6 +276,13 @@ def _punct_groups(counted: DataFrame):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """All registered queries: the library's own and, if it is there, those of ``llm``."""
+    if llm_queries is None:
+        return core_queries()
+    return {**core_queries(), **llm_queries.queries(), "pipeline": corpus_pipeline.run}
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     low_floors = ((360, "Critical"), (300, "High"), (80, "Medium"))
     return {
         "q1_top_companies": _kpi(kpis.top_companies),
@@ -425,4 +440,6 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    if llm_queries is None:
+        return oracle_queries.oracle_sql()
+    return {**oracle_queries.oracle_sql(), **llm_queries.oracle_sql()}

@@ -6,8 +6,8 @@ import __spark_entry__ as registered
 from tests import oracle
 
 FOLDER = "/root/testdata/sf0.01"
-QUERIES = registered.queries()
-ORACLES = registered.oracle_sql()
+QUERIES = registered.core_queries()
+ORACLES = registered.oracle_queries.oracle_sql()
 
 
 @pytest.fixture(scope="module")
