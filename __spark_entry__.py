@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -17,7 +18,13 @@ from redress import functions as fn  # noqa: E402
 from redress.operators import aggregates, audits, joins, names, relational  # noqa: E402
 from redress.plans import kpis, layers, silver, star  # noqa: E402
 from redress.plans.feed import feed  # noqa: E402
-from redress.schema import COMPANIES, COMPLAINTS, RAW_COLUMNS  # noqa: E402
+from redress.schema import (  # noqa: E402
+    COMPANIES,
+    COMPLAINTS,
+    LENGTH_LIMITS,
+    RAW_COLUMNS,
+    WIDE_LENGTH_LIMITS,
+)
 from redress.sources import readers, records, repair, writers  # noqa: E402
 from redress.sources.scratch import new_folder, settle  # noqa: E402
 
@@ -118,13 +125,21 @@ def stored_formats(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return _once(spark, sf_dir, "formats", write)
 
 
+_KIND = (
+    "CASE WHEN complaint_id % 10 = 1 AND complaint_id % 40 = 1 THEN 8 "
+    "WHEN complaint_id % 10 = 1 AND complaint_id % 40 = 11 THEN 9 "
+    "WHEN complaint_id % 10 = 1 AND complaint_id % 40 = 21 THEN 10 ELSE complaint_id % 10 END"
+)
+
+
 def _malformed_lines(complaints: DataFrame) -> DataFrame:
     """The fact as CSV text, with the defects of a badly exported file.
 
-    By the last digit of the complaint id: 2 unquoted narrative with commas,
-    3 text after a quoted part and quoted parts in a too long row, 4 too
-    short, 5 a fragment of a narrative, 6 a key that is no number, 7 a line
-    break in quotes, all others well formed.
+    By ``_KIND``: 2 unquoted narrative with commas, 3 text after a quoted part and
+    quoted parts in a too long row, 4 too short, 5 a fragment of a narrative, 6 a
+    key that is no number, 7 a line break in quotes, 8 a stray quote in a row of
+    the right length, 9 a date that does not exist, 10 a blank line before a well
+    formed row, all others well formed.
     """
     text = F.col("complaint_narrative")
 
@@ -132,7 +147,7 @@ def _malformed_lines(complaints: DataFrame) -> DataFrame:
         return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
 
     start = F.to_csv(F.struct(*COMPLAINTS.names[:-1]), writers.CSV_TEXT)
-    kind = F.col("complaint_id") % 10
+    kind = F.expr(_KIND)
     line = (
         F.when(kind == 2, F.concat_ws(",", start, text))
         .when(
@@ -147,6 +162,9 @@ def _malformed_lines(complaints: DataFrame) -> DataFrame:
             kind == 7,
             F.concat_ws(",", start, quoted(F.concat(text, F.lit('\nsecond line, "last"')))),
         )
+        .when(kind == 8, F.concat(start, F.lit(',"He said "no" to me"')))
+        .when(kind == 9, F.concat(F.col("complaint_id"), F.lit(",1,1,1,2024-13-45" + "," * 10)))
+        .when(kind == 10, F.concat(F.lit("\n"), F.concat_ws(",", start, quoted(text))))
         .otherwise(F.concat_ws(",", start, quoted(text)))
     )
     return complaints.select(line.alias("value"))
@@ -238,6 +256,141 @@ def _fn_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _written_lines(spark: SparkSession, sf_dir: str, name: str, line) -> str:
+    """The feed's ids in a text file of records made by ``line``, without a header."""
+
+    def write():
+        path = new_folder(spark, name)
+        bronze(spark, sf_dir).select(line.alias("value")).write.text(path)
+        return path
+
+    return _once(spark, sf_dir, name, write)
+
+
+_TEXTS = "complaint_id string, a string, b string"
+
+
+def _stray_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inch marks in unquoted fields, with quoted fields of several lines between them."""
+    n = F.col("complaint_id")
+    b = F.when(n % 3 == 0, F.concat(F.lit('"first\n\n""second"" '), n, F.lit('"'))).otherwise(
+        F.concat(F.lit("x"), n)
+    )
+    line = F.concat_ws(",", n, F.concat(n % 7, F.lit('" pipe')), b)
+    path = _written_lines(spark, sf_dir, "stray-quotes", line)
+    return records.read_large_csv(spark, path, StructType.fromDDL(_TEXTS), header=False)
+
+
+def _blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blank lines before, after and within records."""
+    n = F.col("complaint_id")
+    line = F.concat(F.lit("\n"), n, F.lit(',"a\n\nb",'), n % 5, F.lit("\n\n"))
+    path = _written_lines(spark, sf_dir, "blank-lines", line)
+    return records.read_large_csv(spark, path, StructType.fromDDL(_TEXTS), header=False)
+
+
+def _all_views(spark: SparkSession, sf_dir: str) -> None:
+    star_tables = silver_star(spark, sf_dir)
+    writers.register({
+        **star_tables, "complaint_tags": silver.explode_tags(star_tables["complaints"])
+    })
+
+
+def _views_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _all_views(spark, sf_dir)
+    own = ["products", "issues", "companies", "complaints", "complaint_tags"]
+    return writers.list_views(spark).where(F.col("view_name").isin(own))
+
+
+def _tags_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _all_views(spark, sf_dir)
+    return spark.sql("SELECT individual_tag, count(*) AS n FROM complaint_tags GROUP BY ALL")
+
+
+def _storage_holds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the report: CSV is the larger copy, the smallest entry counts once."""
+    report = writers.storage_report(spark, stored_formats(spark, sf_dir))
+    least = report.agg(F.min("bytes").alias("b"))
+    return report.select(
+        "label",
+        ((F.col("files") > 0) & (F.col("bytes") > 0)).alias("filled"),
+        (F.col("bytes") == least.scalar()).alias("smallest"),
+        (F.col("times_smallest") >= 1).alias("at_least_once"),
+    )
+
+
+def _sample_holds(complaints: DataFrame) -> DataFrame:
+    """A sample's rows, and how many of them the table has."""
+    sample = relational.sample_rows(complaints, 15).select("complaint_id", "zip_code")
+    known = complaints.select("complaint_id").distinct().withColumn("known", F.lit(True))
+    return sample.join(known, "complaint_id", "left").agg(
+        F.count("*").alias("sampled"), F.count("known").alias("found")
+    )
+
+
+def _unknown_keys(f: DataFrame) -> DataFrame:
+    """Facts of which some refer to rows that no dimension has."""
+    wrong = F.col("complaint_id") % 50 == 11
+    return f.withColumns({
+        c: F.when(wrong, F.col(c) + 1_000_000).otherwise(F.col(c)).cast("int")
+        for c in ("product_id", "issue_id", "company_id")
+    })
+
+
+def _keyed(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {f"{t[:-1] if t != 'companies' else 'company'}_id": tables[t]
+            for t in ("products", "issues", "companies")}
+
+
+def _repeated_companies(tables: dict[str, DataFrame]) -> DataFrame:
+    own = tables["companies"]
+    again = own.where("company_id % 10 = 0")
+    missing = own.where("company_id = 1").withColumn("company_name", F.lit(None).cast("string"))
+    return own.union(again).union(missing)
+
+
+def _declared_lengths(tables: dict[str, DataFrame]) -> DataFrame:
+    """Both maps of declared widths over a star in which some values are too long."""
+    long_names = {
+        "products": "product_name", "issues": "sub_issue_name", "companies": "company_name",
+        "complaints": "state",
+    }
+    keys = {"products": "product_id", "issues": "issue_id", "companies": "company_id",
+            "complaints": "complaint_id"}
+    planted = {
+        t: tables[t].withColumn(
+            c, F.when(F.col(keys[t]) % 9 == 1, F.repeat(F.coalesce(c, F.lit("x")), 300)).otherwise(F.col(c))
+        )
+        for t, c in long_names.items()
+    }
+    return audits.declared_lengths(planted, LENGTH_LIMITS, keys).unionByName(
+        audits.declared_lengths(planted, WIDE_LENGTH_LIMITS, keys)
+    )
+
+
+def _unparsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates, ids and flags of the feed that cannot be read, some planted among US dates."""
+    n, d = F.col("complaint_id"), fn.parse_date(F.col("date_received"))
+    shown = (
+        F.when(n % 70 == 1, F.lit("2024-13-45"))
+        .when(n % 70 == 2, F.date_format(d, "MM/dd/yyyy"))
+        .when(n % 70 == 3, F.date_format(d, "M/d/yyyy"))
+        .when(n % 70 == 4, F.lit("13/1/2024"))
+        .otherwise(F.col("date_received"))
+    )
+    raw = bronze(spark, sf_dir).select(
+        shown.alias("date_received"),
+        F.when(n % 70 == 5, F.concat(n, F.lit("x"))).otherwise(n.cast("string")).alias("complaint_id"),
+        F.col("consumer_disputed"),
+    )
+    flag = {"consumer_disputed": lambda c: F.when(c.isin("Yes", "No"), c)}
+    return audits.unparsed(raw, {
+        "date_received": lambda c: fn.parse_date(c, short=True),
+        "complaint_id": lambda c: fn.safe_int(c, "bigint"),
+        **flag,
+    })
+
+
 def _views(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.register(silver_star(spark, sf_dir))
     return spark.sql(
@@ -246,15 +399,6 @@ def _views(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _broken_dims(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Dimensions with some rows missing, keyed by their id."""
-    return {
-        "product_id": tables["products"].where("product_name <> 'ECONOMY'"),
-        "issue_id": tables["issues"].where("issue_name <> '5-LOW'"),
-        "company_id": tables["companies"].where("company_name NOT LIKE '%LLC'"),
-    }
-
-
 def _raw(df: DataFrame) -> DataFrame:
     return relational.canonicalize(df, RAW_COLUMNS)
 
@@ -331,6 +475,13 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 [(t["companies"], "company_id")],
             ).select("complaint_id", "company_name")
         ),
+        "join_one_dimension_salted": _kpi(
+            lambda t: joins.star_join(
+                t["complaints"].select("complaint_id", "company_id"),
+                [(t["companies"], "company_id")],
+                limit=0,
+            ).select("complaint_id", "company_name")
+        ),
         "join_two_dimensions": _kpi(
             lambda t: joins.star_join(
                 t["complaints"], [(t["products"], "product_id"), (t["issues"], "issue_id")]
@@ -358,7 +509,13 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             fact(s, d).withColumn("product_id", F.col("zip_code")), COMPLAINTS
         ),
         "sample_rows": _complaints(lambda c: relational.sample_rows(c, 15)),
+        "sample_rows_hold": _complaints(_sample_holds),
+        "schema_report": _complaints(
+            lambda c: relational.schema_report(c.select(*COMPLAINTS.names)).drop("nullable")
+        ),
         "sql_over_views": _views,
+        "views_listed": _views_listed,
+        "tags_view": _tags_view,
         "fn_name_keys": _named(_fn_name_keys),
         "fn_text": _fn_text,
         "fn_dates": _fn_dates,
@@ -367,7 +524,17 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda c: audits.future_dates(c, "2001-06-30").select("complaint_id", "date_received")
         ),
         "dq_future_dates_today": _complaints(
-            lambda c: aggregates.row_count(audits.future_dates(c), "future_dates")
+            lambda c: aggregates.row_count(
+                audits.future_dates(
+                    c.withColumn(
+                        "date_received",
+                        F.when(
+                            F.col("complaint_id") % 90 == 1, F.add_months("date_received", 1200)
+                        ).otherwise(F.col("date_received")),
+                    )
+                ),
+                "future_dates",
+            )
         ),
         "dq_future_dates_count": _complaints(
             lambda c: aggregates.row_count(audits.future_dates(c, "2001-06-30"), "future_dates")
@@ -384,20 +551,27 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda c: aggregates.row_count(audits.illogical_dates(c), "illogical_dates")
         ),
         "dq_orphans": _eq_fact(
-            lambda f, t: joins.orphans(f, _broken_dims(t)["product_id"], "product_id").select(
+            lambda f, t: joins.orphans(_unknown_keys(f), t["products"], "product_id").select(
                 "complaint_id", "product_id"
             )
         ),
+        "dq_orphans_salted": _eq_fact(
+            lambda f, t: joins.orphans(
+                _unknown_keys(f), t["products"], "product_id", limit=0
+            ).select("complaint_id", "product_id")
+        ),
         "dq_orphans_count": _eq_fact(
             lambda f, t: aggregates.row_count(
                 joins.orphans(f, t["products"], "product_id"), "orphan_complaints"
             )
         ),
-        "dq_fk": _eq_fact(lambda f, t: audits.fk_violations(f, _broken_dims(t))),
+        "dq_fk": _eq_fact(lambda f, t: audits.fk_violations(_unknown_keys(f), _keyed(t))),
         "dq_pk": _complaints(lambda c: audits.pk_violations(c, "complaint_id")),
-        "dq_unique_companies": lambda s, d: audits.pk_violations(
-            dims(s, d)["companies"], "company_name"
+        "dq_unique_companies": _kpi(
+            lambda t: audits.pk_violations(_repeated_companies(t), "company_name")
         ),
+        "dq_declared_lengths": _kpi(_declared_lengths),
+        "dq_unparsed": _unparsed,
         "dq_overlength": _complaints(
             lambda c: audits.overlength(c, {"tags": 14, "zip_code": 5, "state": 2}, "complaint_id")
         ),
@@ -409,6 +583,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "names_summary": _named(names.variant_summary),
         "scan_raw": lambda s, d: _raw(readers.read_raw(s, raw_csv(s, d))),
         "scan_raw_large_files": lambda s, d: _raw(records.read_large_csv(s, raw_csv(s, d))),
+        "scan_raw_stray_quotes": _stray_quotes,
+        "scan_raw_blank_lines": _blank_lines,
         "scan_raw_inferred": lambda s, d: _raw(readers.read_raw(s, raw_csv(s, d), infer=True)),
         "scan_table_inferred": lambda s, d: readers.read_table(s, star_csv(s, d)["complaints"]),
         "scan_table_fixed": lambda s, d: readers.read_table(
@@ -426,6 +602,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "verify_written": _verify,
         "storage_report": lambda s, d: writers.storage_report(s, stored_formats(s, d)),
+        "storage_report_holds": _storage_holds,
         "repair_good": lambda s, d: repaired(s, d)[0],
         "repair_rejected": lambda s, d: repaired(s, d)[1],
         "repair_counts": lambda s, d: repair.load_counts(*repaired(s, d)),

@@ -1,9 +1,13 @@
 """The registered queries once more, as SQL for DuckDB over the same tables."""
 
-from redress.functions.text import LEGAL_SUFFIXES
 from redress.plans.feed import feed_query
 
 FEED = feed_query()
+# Legal forms that a company's name may end in.
+LEGAL_SUFFIXES = (
+    r"\b(LLC|L\.?L\.?C\.?|INC\.?|INCORPORATED|CORP\.?|CORPORATION|CO\.?|COMPANY"
+    r"|LTD\.?|LIMITED|N\.?A\.?|NATIONAL ASSOCIATION)\b"
+)
 
 # Each name may use those before it.
 TABLES = {
@@ -81,7 +85,16 @@ TABLES["names"] = rf"""
         GROUP BY company_name"""
 # Rows of the malformed file, by the last digit of the complaint id.
 TABLES["broken"] = r"""
-        SELECT *, complaint_id % 10 AS kind FROM fact"""
+        SELECT *, CASE complaint_id % 40 WHEN 1 THEN 8 WHEN 11 THEN 9 WHEN 21 THEN 10
+                       ELSE complaint_id % 10 END AS kind FROM fact"""
+TABLES["misfit"] = """
+        SELECT * REPLACE (CASE WHEN complaint_id % 50 = 11 THEN product_id + 1000000
+                               ELSE product_id END AS product_id,
+                          CASE WHEN complaint_id % 50 = 11 THEN issue_id + 1000000
+                               ELSE issue_id END AS issue_id,
+                          CASE WHEN complaint_id % 50 = 11 THEN company_id + 1000000
+                               ELSE company_id END AS company_id)
+        FROM fact_eq"""
 
 
 def _with(sql: str) -> str:
@@ -231,6 +244,8 @@ QUERIES = {
     # relational operators
     "join_one_dimension": """
         SELECT complaint_id, company_name FROM complaints JOIN companies USING (company_id)""",
+    "join_one_dimension_salted": """
+        SELECT complaint_id, company_name FROM complaints JOIN companies USING (company_id)""",
     "join_two_dimensions": """
         SELECT complaint_id, product_name, issue_name
         FROM complaints JOIN products USING (product_id) JOIN issues USING (issue_id)""",
@@ -254,6 +269,23 @@ QUERIES = {
     "enforced_schema": f"""
         SELECT {_FACT_COLS} FROM (SELECT * REPLACE (TRY_CAST(zip_code AS INTEGER) AS product_id)
                                   FROM fact)""",
+    "views_listed": """
+        SELECT unnest(['products', 'issues', 'companies', 'complaints', 'complaint_tags'])
+               AS view_name""",
+    "tags_view": "SELECT individual_tag, count(*) AS n FROM tagged GROUP BY individual_tag",
+    "sample_rows_hold": "SELECT CAST(15 AS BIGINT) AS sampled, CAST(15 AS BIGINT) AS found",
+    "schema_report": """
+        SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, kind[1] AS "column",
+               kind[2] AS type FROM (SELECT unnest([
+            ['complaint_id', 'bigint'], ['product_id', 'int'], ['issue_id', 'int'],
+            ['company_id', 'int'], ['date_received', 'date'], ['date_sent_to_company', 'date'],
+            ['state', 'string'], ['zip_code', 'string'], ['submitted_via', 'string'],
+            ['consumer_consent', 'string'], ['timely_response', 'boolean'],
+            ['consumer_disputed', 'boolean'], ['tags', 'string'], ['company_response', 'string'],
+            ['complaint_narrative', 'string']]) AS kind)""",
+    "storage_report_holds": """
+        SELECT 'parquet' AS label, TRUE AS filled, TRUE AS smallest, TRUE AS at_least_once
+        UNION ALL SELECT 'csv', TRUE, FALSE, TRUE""",
     "sql_over_views": """
         SELECT product_name, response_band, count(*) AS n
         FROM complaints JOIN products USING (product_id) GROUP BY 1, 2""",
@@ -286,7 +318,8 @@ QUERIES = {
     "dq_future_dates": """
         SELECT complaint_id, date_received FROM complaints WHERE date_received > DATE '2001-06-30'""",
     "dq_future_dates_today": """
-        SELECT count(*) AS future_dates FROM complaints WHERE date_received > current_date""",
+        SELECT count(*) AS future_dates FROM complaints
+        WHERE complaint_id % 90 = 1 AND date_received + INTERVAL 100 YEAR > current_date""",
     "dq_future_dates_count": """
         SELECT count(*) AS future_dates FROM complaints
         WHERE date_received > DATE '2001-06-30'""",
@@ -300,31 +333,72 @@ QUERIES = {
         SELECT count(*) AS illogical_dates FROM complaints
         WHERE date_sent_to_company < date_received""",
     "dq_orphans": """
-        SELECT f.complaint_id, f.product_id FROM fact_eq f
-        LEFT JOIN (SELECT * FROM products WHERE product_name <> 'ECONOMY') p
-               ON f.product_id = p.product_id
+        SELECT f.complaint_id, f.product_id FROM misfit f
+        LEFT JOIN products p ON f.product_id = p.product_id
+        WHERE p.product_id IS NULL""",
+    "dq_orphans_salted": """
+        SELECT f.complaint_id, f.product_id FROM misfit f
+        LEFT JOIN products p ON f.product_id = p.product_id
         WHERE p.product_id IS NULL""",
     "dq_orphans_count": """
         SELECT count(*) AS orphan_complaints FROM fact_eq f
         LEFT JOIN products p ON f.product_id = p.product_id WHERE p.product_id IS NULL""",
     "dq_fk": """
         SELECT 'product_id' AS fk, CAST(product_id AS BIGINT) AS value, count(*) AS rows
-        FROM fact_eq WHERE product_id NOT IN (SELECT product_id FROM products
-                                              WHERE product_name <> 'ECONOMY') GROUP BY 1, 2
+        FROM misfit WHERE product_id NOT IN (SELECT product_id FROM products) GROUP BY 1, 2
         UNION ALL
         SELECT 'issue_id', CAST(issue_id AS BIGINT), count(*)
-        FROM fact_eq WHERE issue_id NOT IN (SELECT issue_id FROM issues
-                                            WHERE issue_name <> '5-LOW') GROUP BY 1, 2
+        FROM misfit WHERE issue_id NOT IN (SELECT issue_id FROM issues) GROUP BY 1, 2
         UNION ALL
         SELECT 'company_id', CAST(company_id AS BIGINT), count(*)
-        FROM fact_eq WHERE company_id NOT IN (SELECT company_id FROM companies
-                                              WHERE company_name NOT LIKE '%LLC') GROUP BY 1, 2""",
+        FROM misfit WHERE company_id NOT IN (SELECT company_id FROM companies) GROUP BY 1, 2""",
     "dq_pk": """
         SELECT complaint_id, count(*) AS rows FROM complaints GROUP BY complaint_id
         HAVING count(*) > 1 OR complaint_id IS NULL""",
     "dq_unique_companies": """
-        SELECT company_name, count(*) AS rows FROM companies GROUP BY company_name
-        HAVING count(*) > 1 OR company_name IS NULL""",
+        SELECT company_name, count(*) AS rows FROM (
+            SELECT company_name FROM companies
+            UNION ALL SELECT company_name FROM companies WHERE company_id % 10 = 0
+            UNION ALL SELECT NULL)
+        GROUP BY company_name HAVING count(*) > 1 OR company_name IS NULL""",
+    "dq_declared_lengths": """
+        SELECT table_name, key, column_name AS "column", CAST(n AS INTEGER) AS max_length,
+               CAST(actual AS INTEGER) AS actual_length FROM (
+            SELECT 'products' AS table_name, CAST(product_id AS BIGINT) AS key,
+                   'product_name' AS column_name, 100 AS n,
+                   length(CASE WHEN product_id % 9 = 1 THEN repeat(coalesce(product_name, 'x'), 300)
+                               ELSE product_name END) AS actual FROM products
+            UNION ALL SELECT 'products', product_id, 'sub_product_name', 150,
+                   length(sub_product_name) FROM products
+            UNION ALL SELECT 'issues', issue_id, 'issue_name', 200, length(issue_name) FROM issues
+            UNION ALL SELECT 'issues', issue_id, 'sub_issue_name', 250,
+                   length(CASE WHEN issue_id % 9 = 1 THEN repeat(coalesce(sub_issue_name, 'x'), 300)
+                               ELSE sub_issue_name END) FROM issues
+            UNION ALL SELECT 'companies', company_id, 'company_name', 200,
+                   length(CASE WHEN company_id % 9 = 1 THEN repeat(coalesce(company_name, 'x'), 300)
+                               ELSE company_name END) FROM companies
+            UNION ALL SELECT 'complaints', complaint_id, 'state', w,
+                   length(CASE WHEN complaint_id % 9 = 1 THEN repeat(coalesce(state, 'x'), 300)
+                               ELSE state END) FROM complaints, (VALUES (5), (50)) AS v(w)
+            UNION ALL SELECT 'complaints', complaint_id, 'zip_code', w, length(zip_code)
+                   FROM complaints, (VALUES (10), (20)) AS v(w)
+            UNION ALL SELECT 'complaints', complaint_id, 'submitted_via', 30, length(submitted_via)
+                   FROM complaints
+            UNION ALL SELECT 'complaints', complaint_id, 'consumer_consent', 50,
+                   length(consumer_consent) FROM complaints
+            UNION ALL SELECT 'complaints', complaint_id, 'tags', 50, length(tags) FROM complaints
+            UNION ALL SELECT 'complaints', complaint_id, 'company_response', 100,
+                   length(company_response) FROM complaints)
+        WHERE actual > n""",
+    "dq_unparsed": """
+        SELECT 'date_received' AS "column", '2024-13-45' AS text, count(*) AS rows FROM feed
+        WHERE complaint_id % 70 = 1
+        UNION ALL SELECT 'date_received', '13/1/2024', count(*) FROM feed
+        WHERE complaint_id % 70 = 4
+        UNION ALL SELECT 'complaint_id', complaint_id || 'x', count(*) FROM feed
+        WHERE complaint_id % 70 = 5 GROUP BY 2
+        UNION ALL SELECT 'consumer_disputed', consumer_disputed, count(*) FROM feed
+        WHERE consumer_disputed NOT IN ('Yes', 'No') GROUP BY 2""",
     "dq_overlength": """
         SELECT complaint_id, column_name AS "column", CAST(max_length AS INTEGER) AS max_length,
                CAST(actual_length AS INTEGER) AS actual_length FROM (
@@ -359,6 +433,13 @@ QUERIES = {
     # sources and sinks
     "scan_raw": _RAW_TEXT,
     "scan_raw_large_files": _RAW_TEXT,
+    "scan_raw_stray_quotes": r"""
+        SELECT CAST(complaint_id AS VARCHAR) AS complaint_id, (complaint_id % 7) || '" pipe' AS a,
+               CASE WHEN complaint_id % 3 = 0 THEN E'first\n\n"second" ' || complaint_id
+                    ELSE 'x' || complaint_id END AS b FROM feed""",
+    "scan_raw_blank_lines": r"""
+        SELECT CAST(complaint_id AS VARCHAR) AS complaint_id, E'a\n\nb' AS a,
+               CAST(complaint_id % 5 AS VARCHAR) AS b FROM feed""",
     "scan_raw_inferred": f"""
         SELECT CAST(complaint_id AS INTEGER) AS complaint_id,
                CAST(date_received AS DATE) AS date_received,
@@ -382,17 +463,21 @@ QUERIES = {
         SELECT * EXCLUDE (kind) REPLACE (CASE kind
             WHEN 3 THEN complaint_narrative || ' ' || state || ', more, "or" less, end'
             WHEN 7 THEN complaint_narrative || E'\nsecond line, "last"'
+            WHEN 8 THEN 'He said no" to me"'
             ELSE complaint_narrative END AS complaint_narrative)
-        FROM broken WHERE kind NOT IN (4, 5, 6)""",
+        FROM broken WHERE kind NOT IN (4, 5, 6, 9)""",
     "repair_rejected": """
-        SELECT CASE kind WHEN 4 THEN 'fields' WHEN 5 THEN 'id' ELSE 'key' END AS reason,
+        SELECT CASE kind WHEN 4 THEN 'fields' WHEN 5 THEN 'id' WHEN 6 THEN 'key'
+                         WHEN 9 THEN 'date' ELSE 'id' END AS reason,
                CASE kind WHEN 4 THEN complaint_id || ',x'
                          WHEN 5 THEN 'broken ' || complaint_narrative
-                         ELSE complaint_id || ',x9' || repeat(',', 13) END AS record
-        FROM broken WHERE kind IN (4, 5, 6)""",
+                         WHEN 6 THEN complaint_id || ',x9' || repeat(',', 13)
+                         WHEN 9 THEN complaint_id || ',1,1,1,2024-13-45' || repeat(',', 10)
+                         ELSE '' END AS record
+        FROM broken WHERE kind IN (4, 5, 6, 9, 10)""",
     "repair_counts": """
-        SELECT count(*) FILTER (WHERE kind NOT IN (4, 5, 6)) AS loaded,
-               count(*) FILTER (WHERE kind IN (4, 5, 6)) AS skipped FROM broken""",
+        SELECT count(*) FILTER (WHERE kind NOT IN (4, 5, 6, 9)) AS loaded,
+               count(*) FILTER (WHERE kind IN (4, 5, 6, 9, 10)) AS skipped FROM broken""",
     # layer flow
     "layers_combined": "SELECT * FROM combined",
     "layers_top_companies": """

@@ -12,12 +12,20 @@ OVER_BANDS = "Over 30 Days"
 NO_BAND = "Unknown"
 
 
-def parse_date(c: Column) -> Column:
+def parse_date(c: Column, short: bool = False) -> Column:
     """ISO (yyyy-MM-dd) or MM/dd/yyyy text to a date, NULL for anything else.
 
-    The shape is tested first: trying one format and then the other would
-    raise and catch an error inside for every row in the second one.
+    ``short`` also takes months and days of one digit (1/2/2024). The shape is
+    tested first: trying one format and then the other would raise and catch an
+    error inside for every row in the second one.
     """
+    if short:
+        parts = F.split(c, "/")
+        padded = F.concat_ws(
+            "-", F.get(parts, 2), F.lpad(F.get(parts, 0), 2, "0"), F.lpad(F.get(parts, 1), 2, "0")
+        )
+        brief = c.rlike("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$")
+        return F.when(brief, padded.try_cast("date")).otherwise(parse_date(c))
     us = F.concat_ws("-", F.substring(c, 7, 4), F.substring(c, 1, 2), F.substring(c, 4, 2))
     return F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), c.try_cast("date")).when(
         c.rlike("^[0-9]{2}/[0-9]{2}/[0-9]{4}$"), us.try_cast("date")

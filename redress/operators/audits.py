@@ -1,6 +1,9 @@
 """Data-quality audits: what a database would declare, as queries."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from redress.functions.text import is_blank
@@ -69,3 +72,43 @@ def zip_status(complaints: DataFrame) -> DataFrame:
     """How many postal codes are valid, and how many are not or missing."""
     status = F.when(F.col("zip_valid").isNotNull(), "Valid").otherwise("Invalid/Null")
     return count_by(complaints, status.alias("zip_status"))
+
+
+def declared_lengths(
+    tables: dict[str, DataFrame], limits: dict[str, dict[str, int]], keys: dict[str, str]
+) -> DataFrame:
+    """Values of a whole star that are longer than declared, with table and row key."""
+    found = [
+        overlength(tables[name], own, keys[name]).select(
+            F.lit(name).alias("table_name"),
+            F.col(keys[name]).cast("long").alias("key"),
+            "column",
+            "max_length",
+            "actual_length",
+        )
+        for name, own in limits.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def unparsed(raw: DataFrame, parsers: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """Non-blank texts that a parser turns into NULL: column, text, rows.
+
+    ``parsers`` maps a column to the expression that reads it. Each text is counted
+    once per column, before it is shuffled.
+    """
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.when(~is_blank(F.col(c)) & parse(F.col(c)).isNull(), F.col(c)).alias("text"),
+            )
+            for c, parse in parsers.items()
+        ]
+    )
+    return (
+        raw.select(F.inline(cells))
+        .where(F.col("text").isNotNull())
+        .groupBy("column", "text")
+        .agg(F.count("*").alias("rows"))
+    )

@@ -8,26 +8,47 @@ in proportion to their rows, so that no task receives all rows of one key.
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import (
+    ArrayType,
+    AtomicType,
+    BinaryType,
+    MapType,
+    StringType,
+    StructType,
+    VariantType,
+)
 
 from redress.sources.scratch import settle
 
 BROADCAST_BYTES = 64 << 20
+ROW = "_row"
 SALTS_PER_SHARE = 2  # pieces a hot key is cut into per even share of a task
 
 Keys = Sequence[str | tuple[str, str]]
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """In-memory size of the rows of ``df``, from one aggregate over it."""
-    text = [
-        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
-        for f in df.schema.fields
-        if isinstance(f.dataType, StringType)
-    ]
-    row = reduce(lambda a, b: a + b, text, F.lit(16 + 16 * len(df.columns)))
+    """In-memory size of the rows of ``df``, from one aggregate over it.
+
+    Text and binary values count their bytes. Arrays, maps, structs and variants count eight
+    bytes per character of their JSON form, which has a character at least for every
+    value and its separator, so they are not measured too small.
+    """
+    sizes = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            sizes.append(F.octet_length(c))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType)):
+            options = {"ignoreNullFields": "false"}
+            sizes.append(8 * F.octet_length(F.to_json(F.struct(c.alias("v")), options)))
+        elif not isinstance(f.dataType, AtomicType):
+            raise TypeError(f"can't measure {f.name}: {f.dataType.simpleString()}")
+    sizes = [F.coalesce(size, F.lit(0)).cast("long") for size in sizes]
+    row = reduce(lambda a, b: a + b, sizes, F.lit(16 + 16 * len(df.columns)))
     return df.agg(F.sum(row.cast("long"))).first()[0] or 0
 
 
@@ -51,6 +72,7 @@ def dim_join(
     null_safe: bool = False,
     limit: int = BROADCAST_BYTES,
     keys_of: DataFrame | None = None,
+    salt: str | None = None,
 ) -> DataFrame:
     """Join ``fact`` to ``dim`` on equal keys; the dimension's keys are dropped.
 
@@ -58,6 +80,8 @@ def dim_join(
     the names differ. Key columns of the result are those of the fact. Where
     ``fact`` is itself the result of joins, ``keys_of`` names the table its
     keys came from: hot keys are then counted there, with no join repeated.
+    ``salt`` names a column of ``fact`` that differs from row to row, by which hot
+    keys are spread; see ``numbered`` for what happens without.
     """
     pairs = _pairs(on)
     names = {d: f"_dim_{i}" for i, (_, d) in enumerate(pairs)}
@@ -68,7 +92,24 @@ def dim_join(
     if fits_broadcast(dim, limit):
         return fact.join(F.broadcast(dim), match, how).drop(*names.values())
     hot = hot_keys(fact if keys_of is None else keys_of, [f for f, _ in pairs])
-    return _salted_join(fact, dim, [(f, names[d]) for f, d in pairs], how, null_safe, hot)
+    own = [(f, names[d]) for f, d in pairs]
+    if salt is not None:
+        return _salted_join(fact, dim, own, how, null_safe, hot, F.col(salt))
+    return _salted_join(numbered(fact), dim, own, how, null_safe, hot, F.col(ROW)).drop(ROW)
+
+
+def numbered(fact: DataFrame) -> DataFrame:
+    """``fact`` with a number per row that a repeated task gives again.
+
+    It is made of file and row index where ``fact`` is a scan of stored rows, so
+    equal rows differ and no other column has to be read. Any other plan is stored
+    first.
+    """
+    try:
+        return fact.withColumn(ROW, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+    except AnalysisException:
+        stored = settle(fact, "fact")
+        return stored.withColumn(ROW, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -91,19 +132,18 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _salted_join(fact, dim, pairs, how, null_safe, hot) -> DataFrame:
+def _salted_join(fact, dim, pairs, how, null_safe, hot, row) -> DataFrame:
     keys = [f for f, _ in pairs]
     hot = F.broadcast(hot)
     hot_names = [f"_hot_{i}" for i in range(len(keys))]
 
-    spread = [c for c in fact.columns if c not in keys] or keys
     salted = (
         fact.join(hot, [fact[k].eqNullSafe(hot[h]) for k, h in zip(keys, hot_names)], "left")
         .withColumn(
             "_salt",
             F.when(
                 F.col("_salts").isNotNull(),
-                F.pmod(F.xxhash64(*[fact[c] for c in spread]), F.col("_salts")).cast("int"),
+                F.pmod(F.xxhash64(row), F.col("_salts")).cast("int"),
             ).otherwise(F.lit(0)),
         )
         .drop(*hot_names, "_salts")
@@ -134,9 +174,14 @@ def denormalize(
 
 
 def _join_all(fact, dims, how, limit) -> DataFrame:
+    if all(fits_broadcast(dim, limit) for dim, _ in dims):
+        return reduce(lambda df, d: dim_join(df, d[0], [d[1]], how, limit=limit), dims, fact)
+    # Rows are numbered before the first join, while they still are a scan.
     return reduce(
-        lambda df, d: dim_join(df, d[0], [d[1]], how, limit=limit, keys_of=fact), dims, fact
-    )
+        lambda df, d: dim_join(df, d[0], [d[1]], how, limit=limit, keys_of=fact, salt=ROW),
+        dims,
+        numbered(fact),
+    ).drop(ROW)
 
 
 def lookup_id(
@@ -146,13 +191,14 @@ def lookup_id(
     null_safe: bool = True,
     limit: int = BROADCAST_BYTES,
     keys_of: DataFrame | None = None,
+    salt: str | None = None,
 ) -> DataFrame:
     """Add the surrogate id of ``dim`` by natural key.
 
     ``null_safe`` decides whether a NULL key part finds the dimension row that
     has NULL there, or nothing (plain equality).
     """
-    return dim_join(fact, dim, keys, "left", null_safe, limit, keys_of)
+    return dim_join(fact, dim, keys, "left", null_safe, limit, keys_of, salt)
 
 
 def orphans(

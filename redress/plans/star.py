@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from redress.functions.dates import parse_date
 from redress.functions.text import clean_name, yes_flag
-from redress.operators.joins import BROADCAST_BYTES, lookup_id
+from redress.operators.joins import BROADCAST_BYTES, ROW, fits_broadcast, lookup_id, numbered
 from redress.operators.keys import assign_ids, distinct_keys
 from redress.operators.relational import enforce
 from redress.schema import COMPANIES, COMPLAINTS, ISSUES, PRODUCTS
@@ -55,13 +55,16 @@ def build_fact(
     without a shuffle.
     """
     named = raw.withColumn("_clean", clean_name(F.col("company_name")))
+    salt = None
+    if not all(fits_broadcast(dim, limit) for dim in (products, issues, companies)):
+        named, salt = numbered(named), ROW
     keyed = named
     for dim, keys in (
         (products, PRODUCT_KEYS),
         (issues, ISSUE_KEYS),
         (companies, [("_clean", "company_name")]),
     ):
-        keyed = lookup_id(keyed, dim, keys, null_safe, limit, keys_of=named)
+        keyed = lookup_id(keyed, dim, keys, null_safe, limit, keys_of=named, salt=salt)
     return fact_columns(keyed)
 
 

@@ -1,126 +1,276 @@
-"""Scan of large quoted CSV files in parallel.
+"""Scan of quoted CSV files in parallel, however large they are.
 
-A quoted field may hold line breaks, so a reader that starts in the middle of
-a file cannot tell a record end from a line break inside a field, and Spark
-gives each such file to one task. Here the file is read as lines, split as
-usual. A line begins a record exactly if the number of quote characters before
-it in the file is even. That number is counted within each split, and the
-totals of the splits - a few numbers each - carry it across them.
-
-It needs properly quoted input (inner quotes doubled), as the CSV sink writes
-it; a file with a stray quote belongs to the repair load.
+A quoted field may hold line breaks, so a reader that starts in the middle of a
+file cannot tell a record end from a line break inside a field, and Spark gives
+each such file to one task. Here a file is read as lines, in splits as usual. A
+line has a two-state effect: whether a record ends with it if it starts between
+records, and whether one does if it starts inside a quoted field. Both follow
+from the line alone, stray quotes included, since a quote opens a field only at
+its start. Effects compose, so one small row per split tells how every split
+starts. A second pass over the file then carries the state through each split in
+order. Text is neither shuffled nor stored; only the pieces of records that cross
+a split boundary are brought together.
 """
 
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from redress.operators.joins import dim_join
 from redress.schema import all_strings
 from redress.sources.readers import CSV
-from redress.sources.scratch import settle
+from redress.sources.workers import map_batches
+
+# A field: a quoted part with doubled quotes and anything up to the comma, or no
+# quote at its start. Possessive, so that long texts cannot exhaust the stack.
+REST = r'(?:[^"]++|"")*+"[^,]*+'
+FIELD = f'(?:"{REST}|[^",][^,]*+|)'
+_ENDS_OUTSIDE = f"(?s)^{FIELD}(?:,{FIELD})*+$"
+_ENDS_INSIDE = f"(?s)^{REST}(?:,{FIELD})*+$"
+_WHOLE, _FIRST, _NEXT = 0, 1, 2
 
 
 def read_large_csv(
-    spark: SparkSession, path: str | list[str], schema: StructType | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType | None = None,
+    header: bool = True,
 ) -> DataFrame:
     """The rows ``read_raw`` (or ``read_table`` with ``schema``) gives, read in splits."""
     if schema is None:
-        schema = all_strings(spark.read.options(**CSV).csv(path).schema)
+        schema = all_strings(spark.read.options(**{**CSV, "header": header}).csv(path).schema)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = F.from_csv(F.col("record"), ddl, {"escape": '"'})
-    rows = csv_records(spark, path).where(F.col("number") > 1)
-    return rows.select(parsed.alias("row")).select("row.*")
+    return csv_records(spark, path, header).select(parsed.alias("row")).select("row.*")
 
 
-def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Records of CSV files as text: file, number within the file, record.
+def csv_records(
+    spark: SparkSession, path: str | list[str], header: bool = True, blank: bool = False
+) -> DataFrame:
+    """One column, ``record``: the records of CSV files as text, the header left out.
 
-    Number 1 is the header. Empty records are left out.
+    Records are separated by ``\\n``, with or without ``\\r`` before it. Blank ones are
+    left out, also before the header, unless ``blank`` is set; then each is a
+    record, and the first record is the header whatever it holds. A quoted field
+    that is never closed reaches to the end of its file. Both passes must cut the
+    files alike; if the settings for splits change in between, the scan fails.
     """
-    lines = _numbered_lines(spark, path)
-    splits = _split_offsets(lines)
-    placed = dim_join(lines, splits, ["file", "split"], "inner").select(
-        "file",
-        "split",
-        "line",
-        "value",
-        ((F.col("inside") + F.col("before")) % 2 == 0).alias("begins"),
-        ((F.col("inside") + F.col("before") + F.col("quotes")) % 2 == 0).alias("ends"),
-        (
-            F.col("records_before")
-            + F.when(F.col("inside") == 0, F.col("even")).otherwise(F.col("line") - F.col("even"))
-        ).alias("number"),
+    lines = _lines(spark, path)
+    starts = _split_starts(lines, header, blank)
+    known = spark.sparkContext.broadcast(
+        {(r.file, r.split): (r.inside, r.heads) for r in starts.toLocalIterator()}
     )
-    whole = F.col("begins") & F.col("ends")
-    single = placed.where(whole).select("file", "number", F.col("value").alias("record"))
-    # Only the lines of records that span lines are shuffled and put together.
-    pieces = F.array_sort(F.collect_list(F.struct("split", "line", "value")))
-    joined = (
-        placed.where(~whole)
-        .groupBy("file", "number")
-        .agg(F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("record"))
+    columns = "file string, split long, kind int, heads boolean, record string"
+    pieces = map_batches(lines, _records(known, blank), columns)
+    # A record of several splits: its first piece and all that follow up to the next one.
+    return pieces.where(F.col("kind") == _WHOLE).select("record").unionByName(
+        _joined(pieces.where(F.col("kind") != _WHOLE))
     )
-    records = single.unionByName(joined)
-    return records.withColumn("record", F.regexp_replace("record", "\r$", "")).where(
-        F.col("record") != ""
-    )
-
 
-def _numbered_lines(spark: SparkSession, path) -> DataFrame:
-    """Stored lines with their place in the split and the quotes before them.
 
-    ``even`` counts the lines up to this one that have an even number of quotes
-    before them in the split: the records begun so far if the split starts
-    outside a field; the other lines are the records begun if it starts inside.
-    """
+def _lines(spark: SparkSession, path) -> DataFrame:
     value = F.col("value")
-    scanned = (
+    plain = ~F.contains(value, F.lit('"'))
+    return (
         spark.read.option("lineSep", "\n")
         .text(path)
         .select(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("_pos"),
-            (F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))).alias("quotes"),
+            (plain | value.rlike(_ENDS_OUTSIDE)).alias("outside_out"),
+            (~plain & value.rlike(_ENDS_INSIDE)).alias("inside_out"),
+            value.isin("", "\r").alias("empty"),
             "value",
         )
     )
-    # One window holds the lines of one split, so its size is the split size.
-    up_to = Window.partitionBy("file", "split").orderBy("_pos").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    counted = scanned.withColumns({
-        "before": F.sum("quotes").over(up_to) - F.col("quotes"),
-        "line": F.count("*").over(up_to),
-    }).withColumn("even", F.sum(F.when(F.col("before") % 2 == 0, 1).otherwise(0)).over(up_to))
-    return settle(counted.drop("_pos"), "lines")
 
 
-def _split_offsets(lines: DataFrame) -> DataFrame:
-    """Per split: starts inside a field or not, and records begun before it."""
-    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(
+def _states(outside_out: np.ndarray, inside_out: np.ndarray, inside: bool) -> np.ndarray:
+    """For each line and one more: whether it starts inside a quoted field.
+
+    Line effects are constant, identity or flip: the state is that of the last
+    constant line, flipped once for each flip since.
+    """
+    n = len(outside_out)
+    constant = outside_out == inside_out
+    flips = np.concatenate([[0], np.cumsum(~outside_out & inside_out)])
+    last = np.concatenate([[0], np.where(constant, np.arange(1, n + 1), 0)])
+    last = np.maximum.accumulate(last)
+    value = np.concatenate([[inside], ~outside_out])
+    return value[last] ^ ((flips - flips[last]) % 2 == 1)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+    """Batches cut where another split begins; a task reads its splits one by one."""
+    for batch in batches:
+        splits = batch.column("split").to_numpy()
+        files = batch.column("file").dictionary_encode().indices.to_numpy()
+        edges = np.flatnonzero((np.diff(splits) != 0) | (np.diff(files) != 0)) + 1
+        for low, high in zip([0, *edges], [*edges, batch.num_rows], strict=True):
+            if high > low:
+                part = batch.slice(low, high - low)
+                yield (part.column("file")[0].as_py(), int(splits[low])), part
+
+
+def _flags(part: pa.RecordBatch) -> list[np.ndarray]:
+    return [
+        part.column(c).to_numpy(zero_copy_only=False) for c in ("outside_out", "inside_out", "empty")
+    ]
+
+
+def _effects(blank: bool):
+    """One row per split: how it ends from either state, and whether a record begins in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splits: dict[tuple[str, int], list] = {}
+        for key, part in _runs(batches):
+            outside_out, inside_out, empty = _flags(part)
+            own = splits.setdefault(key, [False, True, False, False])
+            for start in (0, 1):
+                states = _states(outside_out, inside_out, own[start])
+                own[start] = bool(states[-1])
+                own[2 + start] |= bool((~states[:-1] & (blank | ~empty)).any())
+        rows = [(*key, *own) for key, own in splits.items()]
+        names = ["file", "split", "from_outside", "from_inside", "begins_outside", "begins_inside"]
+        kinds = [pa.string(), pa.int64(), *[pa.bool_()] * 4]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names
+        )
+
+    return run
+
+
+def _split_starts(lines: DataFrame, header: bool, blank: bool) -> DataFrame:
+    """file, split, inside (how it starts), heads (the file's header begins in it)."""
+    effects = map_batches(
+        lines.drop("value"),
+        _effects(blank),
+        "file string, split long, from_outside boolean, from_inside boolean, "
+        "begins_outside boolean, begins_inside boolean",
+    )
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    splits = lines.groupBy("file", "split").agg(
-        F.sum("quotes").alias("quotes"),
-        F.max("line").alias("lines"),
-        F.max("even").alias("even"),
+    constant = F.col("from_outside") == F.col("from_inside")
+    flip = (F.col("from_outside") & ~F.col("from_inside")).cast("int")
+    placed = effects.withColumns({
+        "_flips": F.coalesce(F.sum(flip).over(before), F.lit(0)),
+        "_all": F.coalesce(F.sum(flip).over(Window.partitionBy("file").orderBy("split")), F.lit(0)),
+    }).withColumn(
+        "_last",
+        F.last(F.when(constant, F.struct("from_outside", "_all")), ignorenulls=True).over(before),
+    )
+    inside = F.coalesce(F.col("_last.from_outside"), F.lit(False)) != (
+        (F.col("_flips") - F.coalesce(F.col("_last._all"), F.lit(0))) % 2 == 1
     )
-    started = splits.withColumn("inside", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
-    begun = F.when(F.col("inside") == 0, F.col("even")).otherwise(F.col("lines") - F.col("even"))
-    placed = settle(
-        started.select(
-            "file",
-            "split",
-            "inside",
-            F.coalesce(F.sum(begun).over(earlier), F.lit(0)).alias("records_before"),
-            "quotes",
-        ),
-        "splits",
+    begins = F.when(F.col("inside"), F.col("begins_inside")).otherwise(F.col("begins_outside"))
+    started = placed.withColumn("inside", inside)
+    earlier = F.coalesce(F.max(begins.cast("int")).over(before), F.lit(0))
+    heads = begins & (earlier == 0) if header else F.lit(False)
+    return started.select("file", "split", "inside", heads.alias("heads"))
+
+
+def _records(known, blank: bool):
+    """Lines -> records that lie within a split, and the pieces of those that do not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, inside, heads, kind = None, False, False, _NEXT
+        held: list[str] = []
+
+        def piece():
+            out = pa.RecordBatch.from_arrays(
+                [
+                    pa.array([current[0]]), pa.array([current[1]], pa.int64()),
+                    pa.array([kind], pa.int32()), pa.array([heads_held], pa.bool_()),
+                    pa.array(["\n".join(held)], pa.string()),
+                ],
+                names=names,
+            )
+            held.clear()
+            return out
+
+        names = ["file", "split", "kind", "heads", "record"]
+        heads_held = False
+        for key, part in _runs(batches):
+            if key != current:
+                if held:
+                    yield piece()
+                if key not in known.value:
+                    raise RuntimeError(f"the splits of {key[0]} changed between two reads")
+                current, (inside, heads) = key, known.value[key]
+                kind, heads_held = _NEXT, False
+            outside_out, inside_out, empty = _flags(part)
+            states = _states(outside_out, inside_out, inside)
+            starts, ends = ~states[:-1], ~states[1:]
+            inside = bool(states[-1])
+            single = starts & ends & (blank | ~empty)
+            if heads:
+                # The first record that begins in this split is the header.
+                first = np.flatnonzero(starts & (blank | ~empty))
+                if len(first):
+                    heads = False
+                    if single[first[0]]:
+                        single[first[0]] = False
+                    else:
+                        heads_held = True
+            texts = part.column("value")
+            rows = pc.filter(texts, pa.array(single))
+            if len(rows):
+                n = len(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([current[0]] * n), pa.array([current[1]] * n, pa.int64()),
+                        pa.array([_WHOLE] * n, pa.int32()), pa.array([False] * n, pa.bool_()),
+                        pc.replace_substring_regex(rows, "\r$", ""),
+                    ],
+                    names=names,
+                )
+            for i in np.flatnonzero(~(starts & ends)).tolist():
+                if starts[i]:
+                    kind = _FIRST
+                held.append(texts[i].as_py())
+                if ends[i]:
+                    if kind == _FIRST:
+                        kind = _WHOLE
+                        if heads_held:
+                            held.clear()
+                        else:
+                            out = piece()
+                            yield out.set_column(
+                                4, "record", pc.replace_substring_regex(out.column(4), "\r$", "")
+                            )
+                        heads_held = False
+                    else:
+                        yield piece()
+                    kind = _NEXT
+        if held:
+            yield piece()
+
+    return run
+
+
+def _joined(pieces: DataFrame) -> DataFrame:
+    """Records that cross splits, from their pieces; one per group.
+
+    A group holds the pieces of one record, so it is as large as the record.
+    """
+    first = F.col("kind") == _FIRST
+    # Pieces are two per split at most, so the window of a file stays small.
+    upto = Window.partitionBy("file").orderBy("split", F.col("kind").desc())
+    grouped = pieces.withColumn("_record", F.max(F.when(first, F.col("split"))).over(
+        upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ))
+    parts = F.array_sort(F.collect_list(F.struct("split", "record")))
+    text = F.array_join(F.transform(parts, lambda p: p["record"]), "\n")
+    return (
+        grouped.groupBy("file", "_record")
+        .agg(text.alias("record"), F.bool_or("heads").alias("heads"))
+        .where(~F.col("heads"))
+        .select(F.regexp_replace("record", "\r$", "").alias("record"))
     )
-    odd = placed.groupBy("file").agg(F.sum("quotes").alias("quotes")).where("quotes % 2 = 1")
-    broken = odd.select("file").first()
-    if broken:
-        raise ValueError(f"{broken.file} has an odd number of quotes")
-    return placed.drop("quotes")

@@ -9,38 +9,39 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from redress.functions.dates import parse_date
-from redress.functions.text import blank_to_null, safe_int, true_flag
+from redress.functions.text import safe_int, true_flag
 from redress.operators.relational import enforce
-from redress.schema import COMPLAINTS, all_strings
-from redress.sources.readers import CSV, spread
+from redress.schema import COMPLAINTS
+from redress.sources.records import REST, csv_records
 from redress.sources.scratch import settle
-from redress.sources.writers import CSV_TEXT
 
 _LAST = COMPLAINTS.names[-1]
-_LEADING = len(COMPLAINTS) - 1
-_CORRUPT = "_record"
-_MOST_FIELDS = 1_000_000  # a row with more makes the scan fail, none is cut
-
-# A field: a quoted part with doubled quotes, then anything up to the comma.
-# Possessive throughout, so that long narratives cannot exhaust the stack.
-_QUOTED = r'"((?:[^"]++|"")*+)"'
-_FIELD = r'(?:"(?:[^"]++|"")*+")?+[^,]*+'
+_FIELDS = len(COMPLAINTS)
+_DATES = ("date_received", "date_sent_to_company")
+# A quoted part with doubled quotes, and what follows it. A quote that is never
+# closed opens a part all the same.
+_QUOTED = r'(?s)^"((?:[^"]++|"")*+)(?:"|$)(.*)$'
+_SPLIT = f'(?s),((?:"{REST}|".*+|[^",][^,]*+|))'
 
 
 def _unquoted(field: Column) -> Column:
-    pattern = f"(?s)^{_QUOTED}(.*)$"
-    inner = F.replace(F.regexp_extract(field, pattern, 1), F.lit('""'), F.lit('"'))
+    """A field's text: quotes count only where they open the field."""
+    inner = F.replace(F.regexp_extract(field, _QUOTED, 1), F.lit('""'), F.lit('"'))
     return F.when(
-        field.rlike(pattern), F.concat(inner, F.regexp_extract(field, pattern, 2))
+        F.startswith(field, F.lit('"')), F.concat(inner, F.regexp_extract(field, _QUOTED, 2))
     ).otherwise(field)
 
 
-def _tail(record: Column) -> Column:
-    """Text of all fields from the last column on; NULL if there are too few."""
-    whole = f"(?s)^(?:{_FIELD},){{{_LEADING}}}+(.*)$"
-    rest = F.regexp_extract(record, whole, 1)
-    fields = F.regexp_extract_all(rest, F.lit(f"(?:^|,)({_FIELD})"), F.lit(1))
-    return F.when(record.rlike(whole), F.array_join(F.transform(fields, _unquoted), ","))
+def split_fields(record: Column) -> Column:
+    """All fields of a record, however many, by one rule of quoting.
+
+    A blank record has no field.
+    """
+    # A comma in front, so that no match is empty.
+    found = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_SPLIT), F.lit(1))
+    return F.when(record == "", F.array().cast("array<string>")).otherwise(
+        F.transform(found, _unquoted)
+    )
 
 
 def repair_load(
@@ -49,47 +50,51 @@ def repair_load(
     """(good, rejected) rows of a 15-column fact CSV.
 
     ``good`` has the schema of the fact table; ``rejected`` has the reason
-    ('id', 'fields' or 'key') and the record. The file is parsed once and kept,
-    so both can be used freely.
+    ('id', 'fields', 'key' or 'date') and the record. Blank lines are records
+    without an id. Every record of the files is in one of the two. The files are
+    read in splits; the fields are stored, so both can be used freely.
     """
-    scanned = spread(
-        spark.read.schema(all_strings(COMPLAINTS).add(_CORRUPT, "string"))
-        .options(**{**CSV, "header": header, "maxColumns": _MOST_FIELDS})
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .csv(path)
-    )
-    record = F.col(_CORRUPT)
-    repaired = scanned.withColumn("_tail", _tail(record)).withColumn(
-        _LAST, F.when(record.isNull(), F.col(_LAST)).otherwise(F.col("_tail"))
+    records = csv_records(spark, path, header, blank=True)
+    fields = records.withColumn("_fields", split_fields(F.col("record")))
+    own = F.col("_fields")
+    named = fields.withColumns(
+        {c: F.get(own, i) for i, c in enumerate(COMPLAINTS.names[:-1])}
+    ).withColumn(
+        _LAST,
+        F.when(
+            F.size(own) >= _FIELDS,
+            F.array_join(F.slice(own, _FIELDS, F.greatest(F.size(own) - _FIELDS + 1, F.lit(0))), ","),
+        ),
     )
-    keys = [F.col(c) for c in ("product_id", "issue_id", "company_id")]
-    bad_key = F.lit(False)
-    for k in keys:
-        bad_key = bad_key | (k.isNotNull() & safe_int(k).isNull())
+    bad_key, bad_date = F.lit(False), F.lit(False)
+    for c in ("product_id", "issue_id", "company_id"):
+        bad_key |= (F.col(c) != "") & safe_int(F.col(c)).isNull()
+    for c in _DATES:
+        bad_date |= (F.col(c) != "") & parse_date(F.col(c)).isNull()
     reason = (
         F.when(safe_int(F.col("complaint_id"), "bigint").isNull(), "id")
-        .when(record.isNotNull() & F.col("_tail").isNull(), "fields")
+        .when(F.size(own) < _FIELDS, "fields")
         .when(bad_key, "key")
+        .when(bad_date, "date")
     )
     # The text of a record is kept only where it is rejected.
-    text = F.coalesce(record, F.to_csv(F.struct(*COMPLAINTS.names), CSV_TEXT))
     rows = settle(
-        repaired.select(
-            *COMPLAINTS.names,
-            reason.alias("_reason"),
-            F.when(reason.isNotNull(), text).alias(_CORRUPT),
+        named.withColumn("_reason", reason).select(
+            *[F.when(F.col("_reason").isNull(), F.col(c)).alias(c) for c in COMPLAINTS.names],
+            "_reason",
+            F.when(F.col("_reason").isNotNull(), F.col("record")).alias("record"),
         ),
         "repair",
     )
+    texts = [f.name for f in COMPLAINTS if f.dataType.simpleString() == "string"]
     good = rows.where(F.col("_reason").isNull()).withColumns({
-        "date_received": parse_date(F.col("date_received")),
-        "date_sent_to_company": parse_date(F.col("date_sent_to_company")),
+        **{c: F.nullif(F.col(c), F.lit("")) for c in texts},
+        **{c: parse_date(F.col(c)) for c in _DATES},
         "timely_response": true_flag(F.col("timely_response")),
         "consumer_disputed": true_flag(F.col("consumer_disputed")),
-        _LAST: blank_to_null(F.col(_LAST)),
     })
     rejected = rows.where(F.col("_reason").isNotNull()).select(
-        F.col("_reason").alias("reason"), F.col(_CORRUPT).alias("record")
+        F.col("_reason").alias("reason"), "record"
     )
     return enforce(good, COMPLAINTS), rejected
 

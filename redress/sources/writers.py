@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from redress.operators.aggregates import row_count
 from redress.schema import STAR
 from redress.sources.readers import read_parquet, read_table
+from redress.sources.records import read_large_csv
 
 BATCH_ROWS = 10_000  # fixed value: rows per insert batch
 
@@ -49,12 +50,12 @@ def export_star(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:
 
 def load_dim(spark: SparkSession, path: str, schema: StructType, out: str) -> DataFrame:
     """Bulk-load a dimension CSV into Parquet; returns the stored table."""
-    return _load(read_table(spark, path, schema), out)
+    return _load(read_large_csv(spark, path, schema), out)
 
 
 def load_fact(spark: SparkSession, path: str, schema: StructType, out: str) -> DataFrame:
-    """Bulk-load the fact CSV into Parquet, after its dimensions."""
-    return _load(read_table(spark, path, schema), out)
+    """Bulk-load the fact CSV into Parquet, after its dimensions; it is read in splits."""
+    return _load(read_large_csv(spark, path, schema), out)
 
 
 def _load(df: DataFrame, out: str) -> DataFrame:

@@ -56,6 +56,39 @@ def test_salted_join_spreads_the_hot_keys(spark, skewed, keyed_dim):
     assert max(r[1] for r in sizes) < 2700  # one task would hold at least 3000 unsalted
 
 
+@pytest.mark.parametrize("extra", [[], ["1 AS same"]])
+def test_salted_join_spreads_equal_rows(spark, skewed, extra):
+    """Facts of nothing but their keys, so that the rows of a hot key are all alike."""
+    fact = settle(skewed.selectExpr("coalesce(key, 'none') AS key", *extra), "alike")
+    dim = spark.createDataFrame([("hot", 1), ("none", 2)], "name string, dim_id int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        joined = joins.dim_join(fact, dim, [("key", "name")], limit=0)
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert "_row" not in joined.columns
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 9000 and max(sizes) < 2700
+
+
+def test_every_type_is_measured(spark):
+    rows = spark.range(100).select(
+        "id",
+        F.array_repeat(F.col("id"), 1000).alias("numbers"),
+        F.create_map(F.lit("k"), F.repeat(F.lit("v"), 500)).alias("m"),
+        F.struct(F.repeat(F.lit("w"), 500).alias("s")).alias("t"),
+        F.repeat(F.lit("z"), 500).cast("binary").alias("b"),
+        F.array(F.lit(None).cast("long"), F.lit(None).cast("long")).alias("nulls"),
+    )
+    size = joins.measured_bytes(rows)
+    assert size >= 100 * (1000 * 8 + 3 * 500 + 16)
+    assert joins.measured_bytes(rows.select("b")) >= 100 * 500
+    variant = rows.select(F.parse_json(F.to_json(F.struct("numbers"))).alias("v"))
+    assert joins.measured_bytes(variant) >= 100 * 1000 * 8
+
+
 def test_broadcast_needs_a_measured_size(spark, keyed_dim):
     size = joins.measured_bytes(keyed_dim)
     assert size > 1502 * 16

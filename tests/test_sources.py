@@ -1,4 +1,6 @@
+import csv
 import pathlib
+import random
 from collections import Counter
 
 import pytest
@@ -74,11 +76,62 @@ def test_large_csv_with_windows_line_ends(spark, tmp_path):
     assert got == Counter([("1", "x\r\ny"), ("2", "z"), ("3", "last")])
 
 
-def test_stray_quote_is_refused(spark, tmp_path):
+FIELDS = [
+    "x", "", '5" pipe', '"q, 1"', '"two\nlines"', '"say ""x"""', '"a"b', '"\n\n"', '"x ""\n"" y"',
+    'say "no"', ' "sp"', '"He said "no" to me"',
+]
+
+
+def generated_files(folder, seed, line_end):
+    """Two files of records of three such fields, with blank lines in between."""
+    rnd = random.Random(seed)
+    for name in ("a", "b"):
+        lines = [""] * (seed % 2) + ["a,b,c"]
+        for _ in range(rnd.randint(3, 25)):
+            lines.append(",".join(rnd.choice(FIELDS) for _ in range(3)))
+            lines += [""] * (rnd.random() < 0.15)
+        text = line_end.join(lines) + rnd.choice(["", line_end])
+        (folder / f"{name}.csv").write_bytes(text.encode())
+
+
+@pytest.mark.parametrize("split", [17, 150, 1 << 20])
+@pytest.mark.parametrize("seed", range(4))
+def test_large_csv_of_stray_quotes_equals_plain_scan(spark, tmp_path, split, seed):
+    generated_files(tmp_path, seed, "\r\n" if seed == 3 else "\n")
+    expected = rows(readers.read_raw(spark, str(tmp_path)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        assert rows(records.read_large_csv(spark, str(tmp_path))) == expected
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_fields_equal_those_of_the_csv_module(spark, tmp_path, seed):
+    generated_files(tmp_path, seed, "\n")
+    expected = Counter()
+    for path in tmp_path.glob("*.csv"):
+        with open(path, newline="") as file:
+            expected.update(tuple(r) for r in list(csv.reader(file))[1:])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 40)
+    try:
+        found = records.csv_records(spark, str(tmp_path), blank=True)
+        fields = found.select(repair.split_fields(F.col("record")).alias("f")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert Counter(tuple(r.f) for r in fields) == expected
+
+
+def test_one_large_file_is_read_by_several_tasks(spark, tmp_path):
     path = tmp_path / "t.csv"
-    path.write_text('a,b\n1,5" pipe\n2,z\n')
-    with pytest.raises(ValueError, match="quote"):
-        records.read_large_csv(spark, str(path))
+    path.write_text("a,b\n" + "".join(f'{i},"x\ny"\n' for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 8_000)
+    try:
+        read = records.read_large_csv(spark, str(path))
+        tasks = read.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(t[1] for t in tasks) == 5000 and len(tasks) > 5
 
 
 HEADER = ",".join(COMPLAINTS.names) + "\n"
@@ -101,6 +154,20 @@ def test_repair(spark, tmp_path):
         "10" + "," * 14,
         "",
     ]
+    lines += [
+        f'11,{FILL},"He said "no" to me"',
+        f'12,{FILL},5" pipe',
+        f'13,{FILL},"a ""b"", c"',
+        "14,1,2,3,2024-13-45,,,,,,,,,,bad date",
+        "15,1,2,3,,02/30/2024,,,,,,,,,bad date",
+        "   ",
+        f"16,{FILL}",
+        f"17,{FILL},\"first\n\nthird\"",
+        f"18,{FILL},,",
+        f" 19 ,{FILL},spaces around the id",
+        f"20,1,2,x{FILL[5:]},bad key",
+        '"21"' + f",{FILL},quoted id",
+    ]
     path.write_text(HEADER + "\n".join(lines) + "\n")
     good, rejected = repair.repair_load(spark, str(path))
     assert [(f.name, f.dataType) for f in good.schema] == [
@@ -114,14 +181,23 @@ def test_repair(spark, tmp_path):
         7: 'one "a", then "b, c",,de, end',
         8: None,
         10: None,
+        11: 'He said no" to me"',
+        12: '5" pipe',
+        13: 'a "b", c',
+        17: "first\n\nthird",
+        18: ",",
+        19: "spaces around the id",
+        21: "quoted id",
     }
     one = {r.complaint_id: r for r in good.collect()}[1]
     assert (str(one.date_received), str(one.date_sent_to_company)) == ("2024-01-02", "2024-01-03")
     assert (one.timely_response, one.consumer_disputed, one.consumer_consent) == (True, None, None)
     assert sorted((r.reason, r.record[:6]) for r in rejected.collect()) == [
-        ("fields", "4,x"), ("id", "9x,1,2"), ("id", "broken"), ("key", "6,x1,2"),
+        ("date", "14,1,2"), ("date", "15,1,2"), ("fields", "16,1,2"), ("fields", "4,x"),
+        ("id", ""), ("id", "   "), ("id", "9x,1,2"), ("id", "broken"), ("key", "20,1,2"),
+        ("key", "6,x1,2"),
     ]
-    assert repair.load_counts(good, rejected).collect() == [(7, 4)]
+    assert repair.load_counts(good, rejected).collect() == [(14, 10)]
 
 
 def test_repair_of_a_very_long_narrative(spark, tmp_path):
