@@ -123,7 +123,8 @@ def format_chats(turns: DataFrame, template: Template = CHAT) -> DataFrame:
 def read_turns(formatted: Column, template: Template = CHAT) -> Column:
     """The turns (role, text) that a formatted conversation holds."""
     quoted = "".join("\\" + c if not c.isalnum() and c not in " _" else c for c in template.opening)
-    parts = F.slice(F.split(formatted, quoted, -1), 2, 2**31 - 1)
+    split = F.split(formatted, quoted, -1)
+    parts = F.slice(split, F.lit(2), F.size(split))
 
     def turn(part: Column) -> Column:
         role = F.substring_index(part, template.role_end, 1)

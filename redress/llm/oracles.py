@@ -31,23 +31,23 @@ WITH turns AS (
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
 ), placed AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS at,
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
     lag(role, 1, '') OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before,
     count(*) OVER (PARTITION BY conv_id) AS n
   FROM turns
 )
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY at)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY at) FILTER (WHERE role = 'assistant'), ''))
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), ''))
     AS loss_sha256,
   sum(24 + length(role) + length(text)
       + length(text) - length(replace(text, '\', ''))
       + (length(text) - length(replace(text, '<|', ''))) // 2)::BIGINT AS formatted_chars,
-  bool_and(CASE WHEN at = 1 THEN role IN ('system', 'user')
+  bool_and(CASE WHEN place = 1 THEN role IN ('system', 'user')
                 WHEN role = 'user' THEN before IN ('system', 'assistant')
                 ELSE role = 'assistant' AND before = 'user' END)
-    AND bool_or(at = n AND role = 'assistant') AS valid
+    AND bool_or(place = n AND role = 'assistant') AS valid
 FROM placed GROUP BY conv_id
 """
 
