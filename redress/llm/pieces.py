@@ -145,7 +145,9 @@ class MergeVocabulary:
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; the space that encoding put in front is taken off again."""
-        return self.strip_front(self.decode_part(ids))
+        first = next((self.pieces[i] for i in ids if i not in self.silent), "")
+        text = self.decode_part(ids)
+        return self.strip_front(text) if first.startswith(SPACE) else text
 
     @staticmethod
     def strip_front(text: str) -> str:
