@@ -170,11 +170,24 @@ def _malformed_lines(complaints: DataFrame) -> DataFrame:
     return complaints.select(line.alias("value"))
 
 
-def repaired(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    def load():
+def equality_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(
+        spark, sf_dir, "eq-fact", lambda: settle(fact(spark, sf_dir, null_safe=False), "fact")
+    )
+
+
+def malformed_file(spark: SparkSession, sf_dir: str) -> str:
+    def write():
         path = new_folder(spark, "malformed")
         _malformed_lines(fact(spark, sf_dir)).write.text(path)
-        return repair.repair_load(spark, path, header=False)
+        return path
+
+    return _once(spark, sf_dir, "malformed", write)
+
+
+def repaired(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    def load():
+        return repair.repair_load(spark, malformed_file(spark, sf_dir), header=False)
 
     return _once(spark, sf_dir, "repaired", load)
 
@@ -200,13 +213,7 @@ def _complaints(build):
 def _eq_fact(build):
     """Over the stored fact of the equality join, whose keys may be NULL."""
 
-    def run(spark, sf_dir):
-        stored = _once(
-            spark, sf_dir, "eq-fact", lambda: settle(fact(spark, sf_dir, null_safe=False), "fact")
-        )
-        return build(stored, dims(spark, sf_dir))
-
-    return run
+    return lambda spark, sf_dir: build(equality_fact(spark, sf_dir), dims(spark, sf_dir))
 
 
 def _named(build):

@@ -1,7 +1,13 @@
-"""Where intermediate tables go: the shared folder the cluster names."""
+"""Where intermediate tables go: the shared folder the cluster names.
+
+Tables that are stored on the way belong to the application and are deleted when it
+ends; within ``scratch_tables`` they are deleted when the block ends.
+"""
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
 
     A local master may run without the setting and then gets a folder of its
     own; on a cluster a machine-local folder would be lost with its machine, so
-    the missing setting is an error there.
+    the missing setting is an error there. The folder becomes the session's
+    checkpoint folder if it has none.
     """
     context = spark.sparkContext
     folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
@@ -26,10 +33,42 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_open: list[list[str]] = []
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """File system and path object for ``path``, wherever it lies."""
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), own
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder of this application that nothing else uses."""
     root = f"{shared_folder(spark).rstrip('/')}/redress/{spark.sparkContext.applicationId}"
-    return f"{root}/{label}-{uuid.uuid4().hex}"
+    files, folder = _hadoop(spark, root)
+    if not files.exists(folder):
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    path = f"{root}/{label}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that are stored within the block when it ends.
+
+    For steps that write their results elsewhere: nothing that leaves the block may
+    still read the tables.
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            files, folder = _hadoop(spark, path)
+            files.delete(folder, True)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

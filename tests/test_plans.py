@@ -13,6 +13,7 @@ from redress.operators.joins import orphans, star_join
 from redress.plans import kpis, silver, star
 from redress.plans.layers import run_layers
 from redress.schema import RAW_COLUMNS
+from redress.sources.scratch import SETTING
 from redress.sources.writers import register
 
 FOLDER = "/root/testdata/sf0.001"
@@ -143,6 +144,15 @@ def test_layer_flow(spark, raw, tmp_path):
     assert set(made["bronze"].columns) == set(RAW_COLUMNS.values())
 
 
+def test_layer_flow_leaves_only_its_layers(spark, raw, tmp_path):
+    folder = pathlib.Path(spark.conf.get(SETTING)) / "redress" / spark.sparkContext.applicationId
+    source = raw.select(*RAW_COLUMNS.values()).withColumnsRenamed({v: k for k, v in RAW_COLUMNS.items()})
+    before = set(folder.iterdir())
+    made = run_layers(spark, source, str(tmp_path / "lake"), csv=False, limit=0)
+    assert set(folder.iterdir()) == before
+    assert made["combined"].count() == raw.count()
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
