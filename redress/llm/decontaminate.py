@@ -14,12 +14,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from redress.llm.common import (
-    Memo,
     map_batches,
     mix,
     shingle_hashes,
     slices,
-    word_hashes,
     words_of,
 )
 
@@ -33,8 +31,15 @@ RADIUS = 22
 ITEMS_AT_ONCE = 50_000
 
 
-def _hashes(words: list[bytes], memo: Memo) -> np.ndarray:
-    return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+def _hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words, the same within a process; items and texts meet in one."""
+    return np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+
+
+def _among(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted, non-empty table."""
+    place = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return table[place] == values
 
 
 def _signs(shingles: np.ndarray) -> np.ndarray:
@@ -58,14 +63,13 @@ class BenchmarkIndex:
 
     def __init__(self, items: list[tuple[int, str]], similarity: float = SIMILARITY):
         self.similarity = similarity
-        self.memo = word_hashes()
         self.by_size: dict[int, dict] = {}
         known: list[np.ndarray] = []
         groups: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
         for item, text in items:
             words = words_of(text)
             if words:
-                shingles = shingle_hashes(_hashes(words, self.memo), SHINGLE)
+                shingles = shingle_hashes(_hashes(words), SHINGLE)
                 groups[len(words)].append((item, shingles))
                 known.append(shingles)
         self.known = np.unique(np.concatenate(known)) if known else np.empty(0, np.uint64)
@@ -80,88 +84,97 @@ class BenchmarkIndex:
             prints = np.concatenate(
                 [_fingerprints(_signs(s).sum(axis=0, keepdims=True)) for _, s in members]
             )
-            index: list[dict[int, list[int]]] = []
+            index = []
             for shift, mask in self.blocks:
-                table: dict[int, list[int]] = defaultdict(list)
-                for i, value in enumerate(((prints >> shift) & mask).tolist()):
-                    table[value].append(i)
-                index.append({value: np.array(rows) for value, rows in table.items()})
+                values = (prints >> shift) & mask
+                rows = np.argsort(values, kind="stable")
+                index.append((values[rows], rows))
             self.by_size[size] = {
                 "items": [item for item, _ in members],
                 "weights": [Counter(s.tolist()) for _, s in members],
+                "known": np.unique(np.concatenate([s for _, s in members])),
                 "prints": prints,
                 "index": index,
             }
 
     def _known(self, shingles: np.ndarray) -> np.ndarray:
+        """Positions of shingles that some item has."""
         hit = self.sieve[(shingles & np.uint64((1 << 22) - 1)).astype(np.int64)]
         at = np.flatnonzero(hit)
-        if len(at):
-            hit[at] = np.isin(shingles[at], self.known)
-        return hit
+        return at[_among(self.known, shingles[at])] if len(at) else at
 
     def search(self, text: str | None) -> dict[int, float]:
         """Items found in a text, with the best similarity of any window."""
         words = words_of(text)
         if not words or not self.by_size:
             return {}
-        hashes = _hashes(words, self.memo)
+        hashes = _hashes(words)
         found: dict[int, float] = {}
-        long = shingle_hashes(hashes, SHINGLE) if len(words) >= SHINGLE else None
-        hits = self._known(long) if long is not None else None
-        if hits is not None and not hits.any():
-            hits = None
-        before = np.concatenate([[0], np.cumsum(hits)]) if hits is not None else None
+        long = shingle_hashes(hashes, SHINGLE) if len(words) >= SHINGLE else hashes[:0]
+        hits = self._known(long)
         for size, group in self.by_size.items():
             if size > len(words):
                 continue
             if size < SHINGLE:
                 shingles, width = shingle_hashes(hashes, size), 1
-                starts = np.flatnonzero(self._known(shingles))
-            elif hits is None:
+                starts = np.flatnonzero(_among(group["known"], shingles))
+            elif not len(hits):
                 continue
             else:
-                # A window at the similarity limit shares 2s / (1 + s) of its
-                # shingles with the item; windows with fewer known ones can't reach it.
                 shingles, width = long, size - SHINGLE + 1
-                need = 2 * self.similarity / (1 + self.similarity) * width - 1e-9
-                starts = np.flatnonzero(before[width:] - before[:-width] >= need)
+                starts = self._promising(long, hits, width, group)
             if len(starts):
                 self._windows(shingles, starts, width, group, found)
         return found
 
+    def _promising(self, shingles, hits, width, group) -> np.ndarray:
+        """Windows with as many of the group's shingles as the similarity asks for.
+
+        A window at the similarity s shares 2s / (1 + s) of its shingles with the item.
+        """
+        own = hits[_among(group["known"], shingles[hits])]
+        need = 2 * self.similarity / (1 + self.similarity) * width - 1e-9
+        if len(own) < need:
+            return own[:0]
+        before = np.zeros(len(shingles) + 1, np.int64)
+        before[own + 1] = 1
+        before = np.cumsum(before)
+        return np.flatnonzero(before[width:] - before[:-width] >= need)
+
     def _windows(self, shingles, starts, width, group, found) -> None:
-        low = 0
+        low, most = 0, max(1, min(4096, 1_000_000 // len(group["items"])))
         while low < len(starts):
             # Windows that begin within a bounded stretch share their running sums.
-            high = int(np.searchsorted(starts, starts[low] + 4096))
+            high = min(int(np.searchsorted(starts, starts[low] + 4096)), low + most)
             part, low = starts[low:high], high
             first, last = part[0], part[-1] + width
             sums = np.zeros((last - first + 1, BITS), np.int32)
             np.cumsum(_signs(shingles[first:last]), axis=0, out=sums[1:])
             prints = _fingerprints(sums[part - first + width] - sums[part - first])
-            for start, value in zip(part.tolist(), prints, strict=True):
-                near = self._near(value, group)
-                if len(near):
-                    window = Counter(shingles[start : start + width].tolist())
-                    for i in near.tolist():
-                        score = weighted_similarity(window, group["weights"][i])
-                        item = group["items"][i]
-                        if score >= self.similarity and score > found.get(item, 0.0):
-                            found[item] = score
-
-    def _near(self, value: np.uint64, group: dict) -> np.ndarray:
-        """Items whose fingerprint is within the radius, by way of the blocks."""
-        lists = [
-            rows
-            for table, (shift, mask) in zip(group["index"], self.blocks, strict=True)
-            if (rows := table.get(int((value >> shift) & mask))) is not None
-        ]
-        if not lists:
-            return np.empty(0, int)
-        candidates = np.unique(np.concatenate(lists))
-        distance = np.bitwise_count(group["prints"][candidates] ^ value)
-        return candidates[distance <= RADIUS]
+            windows, items = self._near(prints, group)
+            seen: dict[int, Counter] = {}
+            for w, i in zip(windows.tolist(), items.tolist(), strict=True):
+                if w not in seen:
+                    seen[w] = Counter(shingles[part[w] : part[w] + width].tolist())
+                score = weighted_similarity(seen[w], group["weights"][i])
+                item = group["items"][i]
+                if score >= self.similarity and score > found.get(item, 0.0):
+                    found[item] = score
+
+    def _near(self, prints: np.ndarray, group: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of windows and items within the radius, looked up block by block."""
+        n = len(group["items"])
+        pairs = []
+        for (values, rows), (shift, mask) in zip(group["index"], self.blocks, strict=True):
+            own = (prints >> shift) & mask
+            low, high = np.searchsorted(values, own), np.searchsorted(values, own, "right")
+            sizes = high - low
+            window = np.repeat(np.arange(len(prints)), sizes)
+            offset = np.arange(len(window)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            pairs.append(window * n + rows[np.repeat(low, sizes) + offset])
+        window, item = np.divmod(np.unique(np.concatenate(pairs)), n)
+        close = np.bitwise_count(prints[window] ^ group["prints"][item]) <= RADIUS
+        return window[close], item[close]
 
 
 def weighted_similarity(a: Counter, b: Counter) -> float:
