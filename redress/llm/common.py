@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from redress.sources.workers import map_batches as map_batches
+
 #: The white space of the contracts, ``[\x20\x09-\x0D]``.
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -68,7 +67,7 @@ def words_of(text: str | None) -> list[bytes]:
 class Memo(dict):
     """Remembers results by key, within two generations of bounded size."""
 
-    def __init__(self, compute: Callable, entries: int = 250_000, longest: int = 64):
+    def __init__(self, compute: Callable, entries: int = 100_000, longest: int = 64):
         super().__init__()
         self.compute, self.entries, self.longest, self.old = compute, entries, longest, {}
 
@@ -76,12 +75,15 @@ class Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
         if len(key) <= self.longest:
             if len(self) >= self.entries:
                 self.old = dict(self)
                 self.clear()
             self[key] = value
-        return value
 
 
 def word_hashes() -> Memo:
@@ -110,32 +112,3 @@ def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
 def bucket(id_column: str, modulus: int) -> Column:
     """``crc32`` of the id as text, modulo ``modulus``; -1 for a NULL id."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus, F.lit(-1))
-
-
-# -- packages on the executors ------------------------------------------------------
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application.
-
-    Workers import it from the file that Spark distributes, whether or not the
-    executors have it installed.
-    """
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="redress-")) / "redress-package.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for source in sorted(package.rglob("*.py")):
-            out.write(source, source.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    _shipped.add(context.applicationId)
-
-
-def map_batches(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``mapInArrow`` with this package importable in the workers."""
-    ship(df.sparkSession)
-    return df.mapInArrow(function, schema)

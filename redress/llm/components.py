@@ -12,6 +12,10 @@ from redress.llm.common import map_batches
 from redress.sources.scratch import settle
 
 
+#: Links that one task holds as a union-find at most.
+TOGETHER = 500_000
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over the links of one task: each node with the smallest node it reaches."""
     parent: dict[int, int] = {}
@@ -43,14 +47,17 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame) -> DataFrame:
     """``node``, ``component`` of every node of ``links`` (a, b: long), by the smallest node.
 
-    Each task first contracts its links with union-find. Then the nodes hang
+    Each task first contracts its links with union-find; up to ``TOGETHER`` links are
+    contracted in one, and that is all. Then the nodes hang
     themselves on the smallest neighbour, alternately over larger and over smaller
     ones, until nothing changes; the number of rounds grows with the logarithm of
     the size. Neighbours are combined by minimum, so a node with any number of them
     is no group in a task, and each round is a stored table.
     """
-    edges = settle(links.select("a", "b").transform(map_batches, _forest, "u long, v long"), "forest")
-    while not _is_final(edges):
+    parts = -(-links.count() // TOGETHER)
+    spread = links.select("a", "b").repartition(max(1, parts))
+    edges = settle(spread.transform(map_batches, _forest, "u long, v long"), "forest")
+    while parts > 1 and not _is_final(edges):
         # u > v. Larger neighbours and the node itself get the smallest of all.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("m"))

@@ -23,6 +23,7 @@ from redress.llm.common import (
 )
 from redress.llm.components import components
 from redress.sources.scratch import settle
+from redress.sources.workers import ship
 
 #: A pair at similarity 0.8 shares none of 54 bands with probability 3e-6, one at
 #: 0.15 shares one with probability 1e-4.
@@ -30,6 +31,8 @@ BANDS, ROWS = 54, 7
 SIGNATURE = BANDS * ROWS
 #: Ids that are broadcast at most (8 bytes each).
 BROADCAST_IDS = 1_000_000
+#: Documents of a block; components of two blocks or more are compared in blocks.
+BLOCK = 256
 OUTPUT = ["n_shingles", "component_id", "kept"]
 _EMPTY = np.uint64((1 << 64) - 1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -158,6 +161,37 @@ def _verify(size: int, percent: int):
     return run
 
 
+def _compare_blocks(size: int, percent: int):
+    """A block of documents of either side -> the similar pairs between the sides."""
+
+    def run(table: pa.Table) -> pa.Table:
+        memo = word_hashes()
+        side = table.column("side").to_numpy()
+        ids = table.column("id").to_numpy()
+        sets = [shingle_set(t.as_py(), size, memo) for t in table.column("text")]
+        first = [i for i in np.flatnonzero(side == 0) if len(sets[i])]
+        links: list[tuple[int, int]] = []
+        if first:
+            sizes = np.array([len(sets[i]) for i in first])
+            values = np.concatenate([sets[i] for i in first])
+            order = np.argsort(values, kind="stable")
+            values, owners = values[order], np.repeat(np.arange(len(first)), sizes)[order]
+            for j in np.flatnonzero(side == 1):
+                low = np.searchsorted(values, sets[j])
+                times = np.searchsorted(values, sets[j], "right") - low
+                at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                common = np.bincount(owners[np.repeat(low, times) + at], minlength=len(first))
+                union = sizes + len(sets[j]) - common
+                similar = np.flatnonzero((common > 0) & (100 * common >= percent * union))
+                links.extend((int(ids[first[i]]), int(ids[j])) for i in similar)
+        return pa.table({
+            "a": pa.array([min(p) for p in links], pa.int64()),
+            "b": pa.array([max(p) for p in links], pa.int64()),
+        })
+
+    return run
+
+
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     first = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     second = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
@@ -169,7 +203,6 @@ class _Search:
 
     def __init__(self, docs: DataFrame, members: DataFrame, size: int, percent: int):
         self.docs, self.members, self.size, self.percent = docs, members, size, percent
-        self.tried: DataFrame | None = None
 
     def _fit(self, x: str, y: str):
         """Sets of too different sizes can't be similar."""
@@ -177,30 +210,34 @@ class _Search:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The links among candidate pairs, a stored table."""
-        pairs = pairs.distinct()
-        if self.tried is not None:
-            pairs = pairs.join(self.tried, ["a", "b"], "anti")
-        pairs = settle(pairs, "candidates")
-        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
+        pairs = settle(pairs.distinct(), "candidates")
         ids = settle(
             pairs.select(F.col("a").alias("id"))
             .unionByName(pairs.select(F.col("b").alias("id")))
             .distinct(),
             "candidate-ids",
         )
-        # Few ids are sent to the documents; else the documents are shuffled to them.
-        wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-        texts = settle(self.docs.join(wanted, "id", "semi"), "candidate-texts")
-        links = _with_texts(pairs, texts).transform(
-            map_batches,
-            _verify(self.size, self.percent), "a long, b long"
+        links = _with_texts(pairs, self.texts_of(ids)).transform(
+            map_batches, _verify(self.size, self.percent), "a long, b long"
         )
         return settle(links, "links")
 
-    def hubs(self, members: DataFrame, order) -> DataFrame:
-        """Pairs of each bucket's hub, the member first by ``order``, with the others."""
-        hub = members.groupBy("key").agg(
-            F.min(F.struct(order.alias("o"), "id", "n", "component")).alias("hub")
+    def texts_of(self, ids: DataFrame) -> DataFrame:
+        """The stored rows of the documents with these ids."""
+        # Few ids are sent to the documents; else the documents are shuffled to them.
+        wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+        return settle(self.docs.join(wanted, "id", "semi"), "candidate-texts")
+
+    def hubs(self, members: DataFrame) -> DataFrame:
+        """Pairs of each bucket's hub with its members of other components.
+
+        The hub is the member that meets most members of other components in all its
+        buckets: of copies of one text with changes of their own, that text.
+        """
+        degree = members.groupBy("id").agg(F.sum("others").alias("degree"))
+        ranked = members.join(degree, "id")
+        hub = ranked.groupBy("key").agg(
+            F.max(F.struct("degree", "id", "n", "component")).alias("hub")
         )
         return (
             members.join(hub, "key")
@@ -214,54 +251,123 @@ class _Search:
     def links(self) -> DataFrame:
         """Links that connect all that any chain of links among candidates connects.
 
-        Whole buckets are never paired. In the first round each bucket's smallest
-        member meets the others. What is linked then counts as one component, and
-        only members of different components of a bucket still have to meet. Further
-        rounds take other hubs while the pairs left are many; the rest is paired in
-        full, so no link between components is lost.
+        Whole buckets are never paired. First each bucket's hub meets the others. What
+        is linked then counts as one component, and only members of different
+        components of a bucket still have to meet: once more by hubs if there are many,
+        and then all that are left.
+        """
+        found = self.verified(self.hubs(self.members))
+        members = self.unsettled(self.members, components(found))
+        pairs, rows = members.agg(F.sum("others") / 2, F.count("*")).first()
+        if pairs and pairs > rows:
+            found = settle(found.unionByName(self.verified(self.hubs(members))), "links")
+            members = self.unsettled(members, components(found))
+        documents = members.select("id", "component").distinct()
+        large = settle(
+            documents.groupBy("component")
+            .agg(F.count("*").alias("size"))
+            .where(F.col("size") >= 2 * BLOCK),
+            "large-components",
+        )
+        found = found.unionByName(self.between_blocks(members, documents, large))
+        small = members.join(large.select("component"), "component", "anti")
+        return settle(found.unionByName(self.verified(self.rest(small))), "links")
+
+    def between_blocks(
+        self, members: DataFrame, documents: DataFrame, large: DataFrame
+    ) -> DataFrame:
+        """Links of large components with all members of others that share a bucket with them.
+
+        Both sides are dealt into blocks. A task takes one block of each side and
+        compares all in them, so pairs are no rows, and no task holds a whole side.
         """
-        members = settle(
-            self.members.withColumn("component", F.col("id")), "band-members"
+        inside = documents.join(large.select("component"), "component").select(
+            F.col("component").alias("large"), "id"
         )
-        found = self.verified(self.hubs(members, F.col("id")))
-        rounds = 0
-        while True:
-            mapped = components(found)
-            rounds += 1
-            joined = members.drop("component").join(
-                mapped.withColumnRenamed("node", "id"), "id", "left"
-            ).withColumn("component", F.coalesce("component", "id"))
-            mixed = (
-                joined.groupBy("key")
-                .agg(F.min("component").alias("l"), F.max("component").alias("m"))
-                .where("l < m")
-                .select("key")
+        held = members.join(large.select("component"), "component").select(
+            "key", F.col("component").alias("large")
+        ).distinct()
+        outside = (
+            members.join(held, "key")
+            .where("component <> large")
+            .select("large", "id")
+            .distinct()
+        )
+        sides = settle(
+            inside.withColumn("side", F.lit(0)).unionByName(outside.withColumn("side", F.lit(1))),
+            "sides",
+        )
+        counts = sides.groupBy("large").agg(
+            *[F.ceil(F.count_if(F.col("side") == k) / BLOCK).cast("int").alias(f"blocks{k}")
+              for k in (0, 1)]
+        )
+        own = F.when(F.col("side") == 0, F.col("blocks0")).otherwise(F.col("blocks1"))
+        facing = F.when(F.col("side") == 0, F.col("blocks1")).otherwise(F.col("blocks0"))
+        block = F.pmod(F.xxhash64("id"), own).cast("int")
+        dealt = (
+            sides.join(counts, "large")
+            .where("blocks0 > 0 AND blocks1 > 0")
+            .select(
+                "large", "id", "side", block.alias("own"),
+                F.explode(F.sequence(F.lit(0), facing - 1)).alias("facing"),
             )
-            members = settle(joined.join(mixed, "key", "semi"), "band-members")
-            parts = members.groupBy("key", "component").agg(F.count("*").alias("c"))
-            open_pairs, rows = (
-                parts.groupBy("key")
-                .agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-                .agg(
-                    F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.sum("s")
-                )
-                .first()
+            .withColumns({
+                "x": F.when(F.col("side") == 0, F.col("own")).otherwise(F.col("facing")),
+                "y": F.when(F.col("side") == 0, F.col("facing")).otherwise(F.col("own")),
+            })
+        )
+        texts = self.texts_of(sides.select("id").distinct())
+        ship(members.sparkSession)
+        return (
+            dealt.join(texts, "id")
+            .select("large", "x", "y", "side", "id", "text")
+            .groupBy("large", "x", "y")
+            .applyInArrow(_compare_blocks(self.size, self.percent), "a long, b long")
+        )
+
+    def unsettled(self, members: DataFrame, mapped: DataFrame) -> DataFrame:
+        """Members of the buckets that hold several components.
+
+        ``others`` is the number of members of other components in the bucket.
+        """
+        joined = (
+            members.select("key", "id", "n")
+            .join(mapped.withColumnRenamed("node", "id"), "id", "left")
+            .withColumn("component", F.coalesce("component", "id"))
+        )
+        own = joined.groupBy("key", "component").agg(F.count("*").alias("c"))
+        mixed = (
+            own.groupBy("key")
+            .agg(F.sum("c").alias("s"), F.count("*").alias("k"))
+            .where("k > 1")
+            .select("key", "s")
+        )
+        counts = own.join(mixed, "key").select("key", "component", (F.col("s") - F.col("c")).alias("others"))
+        return settle(joined.join(counts, ["key", "component"]), "band-members")
+
+    def rest(self, members: DataFrame) -> DataFrame:
+        """All pairs of different components that share a bucket, each pair once.
+
+        Members carry their keys (31 bits of each), and a pair is made in the bucket of
+        the smallest key that both have.
+        """
+        short = F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+        keys = members.groupBy("id").agg(F.collect_set(short).alias("keys"))
+        rows = members.select("key", "id", "n", "component").join(keys, "id")
+        names = ("id", "n", "component", "keys")
+        left = rows.select("key", *[F.col(c).alias(f"{c}1") for c in names])
+        right = rows.select("key", *[F.col(c).alias(f"{c}2") for c in names])
+        meet = (
+            (left["key"] == right["key"])
+            & (F.col("id1") < F.col("id2"))
+            & (F.col("component1") != F.col("component2"))
+            & self._fit("n1", "n2")
+            & (
+                F.array_min(F.array_intersect("keys1", "keys2"))
+                == left["key"].bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
             )
-            if not open_pairs:
-                return found
-            if open_pairs <= 4 * rows or rounds >= 8:
-                break
-            more = self.verified(self.hubs(members, F.xxhash64(F.lit(rounds), "id")))
-            found = settle(found.unionByName(more), "links")
-        left = members.select("key", *[F.col(c).alias(f"{c}1") for c in ("id", "n", "component")])
-        right = members.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "component")])
-        rest = (
-            left.join(right, "key")
-            .where("id1 < id2 AND component1 <> component2")
-            .where(self._fit("n1", "n2"))
-            .select(F.col("id1").alias("a"), F.col("id2").alias("b"))
         )
-        return settle(found.unionByName(self.verified(rest)), "links")
+        return left.join(right, meet).select(F.col("id1").alias("a"), F.col("id2").alias("b"))
 
 
 def near_duplicates(
@@ -334,8 +440,15 @@ def duplicate_classes(rows: DataFrame, shingle_words: int, percent: int) -> Data
         ),
         "band-keys",
     )
-    shared = keys.groupBy("key").agg(F.min("id").alias("l"), F.max("id").alias("m")).where("l < m")
-    members = keys.join(shared.select("key"), "key", "semi")
+    shared = (
+        keys.groupBy("key")
+        .agg(F.min("id").alias("l"), F.max("id").alias("m"), F.count("*").alias("s"))
+        .where("l < m")
+        .select("key", (F.col("s") - 1).alias("others"))
+    )
+    members = settle(
+        keys.join(shared, "key").withColumn("component", F.col("id")), "band-members"
+    )
     links = _Search(rows, members, shingle_words, percent).links()
     # An id whose rows have different texts ties their sets together.
     several = (
