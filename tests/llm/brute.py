@@ -21,8 +21,10 @@ def held(doc_id, modulus):
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % modulus == 0
 
 
-def line_dedup(rows, least=10, chars=1):
-    """(doc_id, text) -> (doc_id, n_lines, n_dropped, kept text), in order."""
+def line_dedup(rows, least=10, chars=1, keep_first=False):
+    """(doc_id, text) -> (doc_id, n_lines, n_dropped, kept text); by id with ``keep_first``."""
+    if keep_first:
+        rows, seen = sorted(rows), set()
     docs = defaultdict(set)
     for doc, text in rows:
         for line in (text or "").split("\n"):
@@ -33,7 +35,13 @@ def line_dedup(rows, least=10, chars=1):
     out = []
     for doc, text in rows:
         lines = (text or "").split("\n")
-        kept = [x for x in lines if x.strip(WS).translate(LOWER) not in gone]
+        kept = []
+        for x in lines:
+            key = x.strip(WS).translate(LOWER)
+            if key not in gone or keep_first and key not in seen:
+                kept.append(x)
+            if keep_first:
+                seen.add(key)
         out.append((doc, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return out
 
