@@ -44,8 +44,10 @@ def test_one_id_ties_its_texts(spark):
     assert {(r.doc_id, r.component_id) for r in got.collect()} == {(5, 3), (9, 3), (3, 3), (4, 4)}
 
 
-def test_large_group_of_near_copies_loses_no_link(spark):
+@pytest.mark.parametrize("block", [256, 8])
+def test_large_group_of_near_copies_loses_no_link(spark, monkeypatch, block):
     """Members of a bucket whose hub they don't match still meet the others."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
     rnd = random.Random(5)
     words = [f"w{i}" for i in range(60)]
     rows = []
