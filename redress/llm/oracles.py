@@ -52,5 +52,61 @@ FROM placed GROUP BY conv_id
 """
 
 
+# The stop words once more, first letters in both cases.
+_STOPS = (
+    "the be to of and that have with a in is it for as on was by this from "
+    "der die das und ist mit zu den von im nicht ein eine für auf sich "
+    "le la les de du des et est un une dans que qui par pour sur pas au en "
+    "el los las del y que es por para con se su al no una como"
+).split()
+_STOP_LIST = ", ".join(f"'{w}', '{w[:1].upper() + w[1:]}'" for w in _STOPS)
+
+QUALITY_RULES = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t FROM documents
+), split AS (
+  SELECT rn, string_split_regex(t, '[\t\n\v\f\r ]+') AS ws FROM docs
+), tokens AS (
+  SELECT * FROM (SELECT rn, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM split)
+  WHERE word <> ''
+), counts AS (
+  SELECT rn, count(*) AS n_words, sum(length(word))::BIGINT AS word_chars,
+         count(*) FILTER (WHERE word IN ({_STOP_LIST})) AS stops
+  FROM tokens GROUP BY rn
+), windows AS (
+  SELECT rn, i, word AS w1, lead(word, 1) OVER (PARTITION BY rn ORDER BY i) AS w2,
+         lead(word, 2) OVER (PARTITION BY rn ORDER BY i) AS w3 FROM tokens
+), repeated AS (
+  SELECT rn, i, count(*) OVER (PARTITION BY rn, w1, w2, w3) AS c FROM windows
+  WHERE w3 IS NOT NULL
+), covered AS (
+  SELECT rn, count(DISTINCT p) AS n FROM (
+    SELECT rn, unnest([i, i + 1, i + 2]) AS p FROM repeated WHERE c > 1) GROUP BY rn
+), lines AS (
+  SELECT rn, count(*) AS n, count(*) - count(DISTINCT line) AS again FROM (
+    SELECT rn, unnest(string_split(t, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\t\n\v\f\r ]') GROUP BY rn
+), base AS (
+  SELECT doc_id, coalesce(c.n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(l.again, 0) AS n_dup_lines, coalesce(v.n, 0) AS n_repeat_words,
+         coalesce(stops, 0) AS stops, coalesce(l.n, 0) AS n_lines
+  FROM docs d LEFT JOIN counts c ON d.rn = c.rn LEFT JOIN covered v ON d.rn = v.rn
+              LEFT JOIN lines l ON d.rn = l.rn
+), judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND word_chars BETWEEN 2 * n_words AND 14 * n_words
+       AND n_symbols / greatest(n_words, 1) <= 0.1 AND stops / greatest(n_words, 1) >= 0.03
+       AND n_dup_lines / greatest(n_lines, 1) <= 0.3 AND n_words >= n_lines AS kept
+FROM judged
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP, "op9_chat_format": CHAT_FORMAT}
+    return {
+        "op1_line_dedup": LINE_DEDUP,
+        "op2_quality_rules": QUALITY_RULES,
+        "op9_chat_format": CHAT_FORMAT,
+    }
