@@ -50,7 +50,7 @@ class UnigramCounter:
         # into parts before each run of spaces that are solved on their own.
         crossing = any(SPACE in p.lstrip(SPACE) for p, _ in pieces)
         self.part = re.compile("(?s).+" if crossing else f"(?s){SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.memo = Memo(self.count_part)
+        self.memo = Memo(self.count_part, entries=250_000)
 
     def count(self, text: str) -> int:
         if not text:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from redress.llm.common import Memo, bucket, map_batches, slices, without
+from redress.llm.common import MASK, Memo, bucket, map_batches, mix, slices, without
 from redress.llm.counts import unigram_pieces
 from redress.llm.pieces import SPACE
 from redress.sources.scratch import settle
@@ -34,13 +35,129 @@ def words_of(text: str | None) -> list[str]:
     return text.lower().split() if text else []
 
 
+#: Words up to this length are solved many at a time; their probabilities stay in range.
+SHORT = 32
+_SIEVE = np.uint64((1 << 20) - 1)
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Arcs(NamedTuple):
+    """Pieces within words: arrays of word, start and piece per (end, length), by end."""
+
+    sizes: np.ndarray
+    steps: list[tuple[int, int, np.ndarray, np.ndarray]]
+
+
 class Segments:
-    """Places of vocabulary pieces within a word; a character alone is always possible."""
+    """Places of vocabulary pieces within a word; a character alone is always possible.
+
+    Words up to ``SHORT`` are looked up together: the hashes of all substrings of one
+    length are updated from those one shorter, sieved by 20 bits, and found in the
+    sorted hashes of the pieces of that length.
+    """
 
     def __init__(self, pieces: list[str]):
         self.index = {piece: i for i, piece in enumerate(pieces)}
         self.longest = max(map(len, pieces))
         self.unknown = len(pieces)
+        by_length: dict[int, list[tuple[int, int]]] = {}
+        for piece, i in self.index.items():
+            h = 0
+            for c in piece:
+                h = (h * int(_FACTOR) + ord(c) + 1) & MASK
+            by_length.setdefault(len(piece), []).append((h, i))
+        self.tables = {}
+        for length, found in by_length.items():
+            found.sort()
+            hashes = np.array([h for h, _ in found], np.uint64)
+            sieve = np.zeros(int(_SIEVE) + 1, bool)
+            sieve[(mix(hashes) & _SIEVE).astype(np.int64)] = True
+            self.tables[length] = hashes, np.array([i for _, i in found]), sieve
+
+    def batch(self, words: list[str]) -> Arcs:
+        """Arcs of words of ``SHORT`` characters at most, their mark in front not counted."""
+        flat = np.frombuffer((SPACE + SPACE.join(words)).encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = flat.astype(np.uint64) + np.uint64(1)
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        first = np.cumsum(sizes) - sizes
+        word = np.repeat(np.arange(len(words)), sizes)
+        place = np.arange(len(codes)) - first[word]
+        left = sizes[word] - place
+        h = np.zeros(len(codes), np.uint64)
+        rows = np.arange(len(codes))
+        steps: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+        for length in range(1, min(self.longest, SHORT + 1) + 1):
+            rows = rows[left[rows] >= length]
+            if not len(rows):
+                break
+            h[rows] = h[rows] * _FACTOR + codes[rows + length - 1]
+            piece = np.full(len(rows), -1)
+            if length in self.tables:
+                hashes, ids, sieve = self.tables[length]
+                own = h[rows]
+                at = np.flatnonzero(sieve[(mix(own) & _SIEVE).astype(np.int64)])
+                found = np.minimum(np.searchsorted(hashes, own[at]), len(hashes) - 1)
+                same = hashes[found] == own[at]
+                piece[at[same]] = ids[found[same]]
+            if length == 1:
+                piece[piece < 0] = self.unknown
+            hit = np.flatnonzero(piece >= 0)
+            ends = place[rows[hit]] + length
+            order = np.argsort(ends.astype(np.int8), kind="stable")
+            hit, ends = hit[order], ends[order]
+            for part in np.split(np.arange(len(hit)), np.flatnonzero(np.diff(ends)) + 1):
+                if len(part):
+                    own = hit[part]
+                    steps.append((int(ends[part[0]]), length, word[rows[own]], piece[own]))
+        steps.sort(key=lambda step: step[0])
+        return Arcs(sizes, steps)
+
+    @staticmethod
+    def forward(arcs: Arcs, p: np.ndarray) -> np.ndarray:
+        """Weight of all segmentations up to each position: words x positions x columns of ``p``."""
+        alpha = np.zeros((len(arcs.sizes), int(arcs.sizes.max(initial=0)) + 1, p.shape[1]))
+        alpha[:, 0] = 1.0
+        for end, length, word, piece in arcs.steps:
+            # A word has one piece at most of this length that ends here.
+            alpha[word, end] += alpha[word, end - length] * p[piece]
+        return alpha
+
+    def scores_of(self, words: list[str], p: np.ndarray) -> list[tuple[float, ...]]:
+        """Log probabilities of words, a column of ``p`` per language."""
+        short = [w for w in words if len(w) <= SHORT]
+        out = {}
+        if short:
+            arcs = self.batch(short)
+            alpha = self.forward(arcs, p)
+            logs = np.log(alpha[np.arange(len(short)), arcs.sizes])
+            out = dict(zip(short, map(tuple, logs.tolist()), strict=True))
+        if len(short) < len(words):
+            table = [tuple(row) for row in p.tolist()]
+            out |= {w: self.scores(w, table) for w in words if len(w) > SHORT}
+        return [out[w] for w in words]
+
+    def uses_of(self, words: list[str], counts: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Expected uses of each piece over all segmentations of counted words."""
+        uses = np.zeros(self.unknown + 1)
+        short = np.array([len(w) <= SHORT for w in words], bool)
+        if short.any():
+            own = [w for w, s in zip(words, short, strict=True) if s]
+            times = counts[short]
+            arcs = self.batch(own)
+            alpha = self.forward(arcs, p[:, None])[:, :, 0]
+            beta = np.zeros(alpha.shape)
+            rows = np.arange(len(own))
+            beta[rows, arcs.sizes] = times / alpha[rows, arcs.sizes]
+            for end, length, word, piece in reversed(arcs.steps):
+                share = beta[word, end] * p[piece]
+                beta[word, end - length] += share
+                uses += np.bincount(piece, share * alpha[word, end - length], len(uses))
+        table = p.tolist()
+        for word, n, s in zip(words, counts.tolist(), short, strict=True):
+            if not s:
+                for piece, share in self.expected(word, table).items():
+                    uses[piece] += n * share
+        return uses
 
     def arcs(self, word: str) -> list[list[tuple[int, int]]]:
         """For each end within the word: (start, piece) of every piece ending there."""
@@ -112,7 +229,8 @@ class LanguageModel:
 
     def __init__(self, languages: list[str], pieces: list[str], probability: np.ndarray):
         self.languages, self.pieces, self.probability = languages, pieces, probability
-        self._scorer = None
+        self._segments: Segments | None = None
+        self._memo: Memo | None = None
 
     def __getstate__(self):
         return self.languages, self.pieces, self.probability
@@ -120,25 +238,52 @@ class LanguageModel:
     def __setstate__(self, state):
         self.__init__(*state)
 
-    def _memo(self) -> Memo:
-        if self._scorer is None:
-            segments = Segments(self.pieces)
-            p = [tuple(row) for row in self.probability.T.tolist()]
-            self._scorer = Memo(lambda w: segments.scores(w, p))
-        return self._scorer
+    def _scores(self, words: list[str]) -> np.ndarray:
+        """Log probabilities, a row per word, remembered for words seen before."""
+        if self._segments is None:
+            self._segments = Segments(self.pieces)
+            self._memo = Memo(lambda w: None, entries=60_000)
+        memo = self._memo
+        new = [w for w in words if w not in memo and w not in memo.old]
+        found = dict(
+            zip(new, self._segments.scores_of(new, np.ascontiguousarray(self.probability.T)), strict=True)
+        )
+        values = [found.get(w) or memo.get(w) or memo.old[w] for w in words]
+        for word, value in zip(words, values, strict=True):
+            if word not in memo:
+                memo.put(word, value)
+        return np.array(values).reshape(len(words), len(self.languages))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language and its share, per word, of all languages' likelihood."""
-        if not text or not self.languages or not any(map(str.isalpha, text)):
-            return UNDETERMINED, 0.0
-        memo, place = self._memo(), {}
-        at = [place.setdefault(w, len(place)) for w in words_of(text)]
-        counts = np.bincount(at, minlength=len(place))
-        total = counts @ np.array([memo[w] for w in place])
-        # The geometric mean over the words, so that long texts keep graded scores.
-        weights = np.exp((total - total.max()) / math.sqrt(len(at)))
-        best = int(total.argmax())
-        return self.languages[best], float(weights[best] / weights.sum())
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """The likeliest language of each text, and its share of all languages' likelihood.
+
+        The shares are of the likelihood to the power 1 / sqrt(words), so that long texts
+        keep graded scores.
+        """
+        place: dict[str, int] = {}
+        at, sizes = [], []
+        for text in texts:
+            own: list[int] = []
+            if text and self.languages and any(map(str.isalpha, text)):
+                own = [place.setdefault(w, len(place)) for w in words_of(text)]
+            at.extend(own)
+            sizes.append(len(own))
+        out = [(UNDETERMINED, 0.0)] * len(texts)
+        if not at:
+            return out
+        scores = self._scores(list(place))
+        rows = [i for i, n in enumerate(sizes) if n]
+        lengths = np.array([sizes[i] for i in rows])
+        totals = np.add.reduceat(scores[np.array(at)], np.cumsum(lengths) - lengths)
+        best = totals.argmax(axis=1)
+        gaps = (totals - totals.max(axis=1, keepdims=True)) / np.sqrt(lengths)[:, None]
+        shares = 1 / np.exp(gaps).sum(axis=1)
+        for i, language, share in zip(rows, best.tolist(), shares.tolist(), strict=True):
+            out[i] = (self.languages[language], share)
+        return out
 
 
 def fit_languages(
@@ -213,14 +358,15 @@ def _expectation(sent, number: dict[str, int], p: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments = Segments(sent.value)
         size = segments.unknown + 1
-        table = p.tolist()
         uses = np.zeros(len(number) * size)
-        for batch in batches:
-            langs, words, counts = (batch.column(k).to_pylist() for k in range(3))
-            for lang, word, n in zip(langs, words, counts, strict=True):
+        for part in slices(batches, 5_000):
+            langs, words = (part.column(k).to_pylist() for k in range(2))
+            counts = part.column(2).to_numpy().astype(float)
+            for lang in sorted(set(langs)):
+                own = np.array([x == lang for x in langs])
+                mine = [w for w, x in zip(words, own, strict=True) if x]
                 first = number[lang] * size
-                for piece, share in segments.expected(word, table[number[lang]]).items():
-                    uses[first + piece] += n * share
+                uses[first : first + size] += segments.uses_of(mine, counts[own], p[number[lang]])
         cells = np.flatnonzero(uses)
         yield pa.RecordBatch.from_arrays(
             [pa.array(cells, pa.int64()), pa.array(uses[cells], pa.float64())],
@@ -230,9 +376,6 @@ def _expectation(sent, number: dict[str, int], p: np.ndarray):
     return run
 
 
-_models: dict[int, LanguageModel] = {}
-
-
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, from the text alone.
 
@@ -245,9 +388,10 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
-        for part in slices(batches):
-            found = [own.predict(t.as_py()) for t in part.column(at)]
+        # What a task remembers goes with it; the broadcast model stays as it came.
+        own = LanguageModel(*sent.value.__getstate__())
+        for part in slices(batches, 512):
+            found = own.predict_all(part.column(at).to_pylist())
             added = [
                 pa.array([f[0] for f in found], pa.string()),
                 pa.array([f[1] for f in found], pa.float64()),

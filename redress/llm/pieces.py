@@ -193,7 +193,7 @@ class Encoder:
 
     def __init__(self, model: bytes):
         self.vocabulary = MergeVocabulary(model)
-        self.memo = Memo(self._chunk, entries=300_000)
+        self.memo = Memo(self._chunk, entries=200_000)
 
     def _chunk(self, chunk: str) -> tuple[int, str, str, bool]:
         ids = self.vocabulary.merge(chunk)
