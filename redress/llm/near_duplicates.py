@@ -31,7 +31,7 @@ BANDS, ROWS = 54, 7
 SIGNATURE = BANDS * ROWS
 #: Ids that are broadcast at most (8 bytes each).
 BROADCAST_IDS = 1_000_000
-#: Documents of a block; components of two blocks or more are compared in blocks.
+#: Documents of a block; components of a quarter of one or more are compared in blocks.
 BLOCK = 256
 OUTPUT = ["n_shingles", "component_id", "kept"]
 _EMPTY = np.uint64((1 << 64) - 1)
@@ -203,6 +203,7 @@ class _Search:
 
     def __init__(self, docs: DataFrame, members: DataFrame, size: int, percent: int):
         self.docs, self.members, self.size, self.percent = docs, members, size, percent
+        self.tried: list[DataFrame] = []
 
     def _fit(self, x: str, y: str):
         """Sets of too different sizes can't be similar."""
@@ -210,7 +211,11 @@ class _Search:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The links among candidate pairs, a stored table."""
-        pairs = settle(pairs.distinct(), "candidates")
+        pairs = pairs.distinct()
+        for tried in self.tried:
+            pairs = pairs.join(tried, ["a", "b"], "anti")
+        pairs = settle(pairs, "candidates")
+        self.tried.append(pairs)
         ids = settle(
             pairs.select(F.col("a").alias("id"))
             .unionByName(pairs.select(F.col("b").alias("id")))
@@ -266,7 +271,7 @@ class _Search:
         large = settle(
             documents.groupBy("component")
             .agg(F.count("*").alias("size"))
-            .where(F.col("size") >= 2 * BLOCK),
+            .where(F.col("size") >= BLOCK // 4),
             "large-components",
         )
         found = found.unionByName(self.between_blocks(members, documents, large))
