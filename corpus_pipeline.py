@@ -28,10 +28,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes the lines out that ten documents share; a text of such lines only goes."""
-    kept = dedup_lines(docs)
+    """Leaves lines that ten documents share in the first of them only.
+
+    A document that has lost all its lines goes, so of copies the first stays.
+    """
+    kept = dedup_lines(docs, keep_first=True)
     left = kept.where((F.col("n_dropped") < F.col("n_lines")) | (F.col("n_dropped") == 0))
-    return left.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}).select(docs.columns)
+    length = F.length("kept_text").cast("long")
+    return left.withColumns({"text": F.col("kept_text"), "n_chars": length}).select(docs.columns)
 
 
 def minhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,12 @@ def line_key(line: Column) -> Column:
 
 
 def repeated_lines(
-    docs: DataFrame, id_col: str, text_col: str, min_documents: int, min_chars: int
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    min_documents: int,
+    min_chars: int,
+    keep_first: bool,
 ) -> DataFrame:
     """Positions of the lines to drop: id, hash of the text, position.
 
@@ -46,14 +51,27 @@ def repeated_lines(
     streamed = settle(
         ranged.withColumn("_first", F.row_number().over(within) == 1), "line-hashes"
     )
-    frequent = (
+    aggregates = [F.count("*").alias("_documents")]
+    if keep_first:
+        aggregates.append(F.min(F.struct("_id", "_text", "_pos")).alias("_kept"))
+    frequent = settle(
         streamed.where("_first")
         .groupBy("_a", "_b")
-        .agg(F.count("*").alias("_documents"))
-        .where(F.col("_documents") >= min_documents)
-        .select("_a", "_b")
+        .agg(*aggregates)
+        .where(F.col("_documents") >= min_documents),
+        "frequent-lines",
+    )
+    # With p shuffle tasks, no more than p keys have an even share of the rows. Their
+    # lines are found where they are; the others are joined.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(frequent.where(F.col("_documents") >= max(1, streamed.count() // tasks)))
+    keys = ["_a", "_b"]
+    found = streamed.join(hot, keys).unionByName(
+        streamed.join(hot, keys, "anti").join(frequent, keys)
     )
-    return streamed.drop("_first").join(frequent, ["_a", "_b"]).select("_id", "_text", "_pos")
+    if keep_first:
+        found = found.where(~F.struct("_id", "_text", "_pos").eqNullSafe(F.col("_kept")))
+    return found.select("_id", "_text", "_pos")
 
 
 def keep_bitmaps(dropped: DataFrame) -> DataFrame:
@@ -93,12 +111,14 @@ def dedup_lines(
     text_col: str = "text",
     min_documents: int = 10,
     min_chars: int = 1,
+    keep_first: bool = False,
 ) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_dropped``, ``keep_runs`` and ``kept_text``.
 
     The key of a line is the line without outer white space, A-Z in lower case.
     Keys of ``min_chars`` code points or more that are found in ``min_documents``
-    documents or more lose all their lines in every document.
+    documents or more lose all their lines in every document; with ``keep_first``,
+    all but the first line, in order of ids (NULL first), texts and positions.
 
     NULL or empty text: one empty line, kept. Rows with one id (NULL is an id
     too) are one document when documents are counted, but each row keeps its own
@@ -110,7 +130,9 @@ def dedup_lines(
         "_id": F.col(id_col),
         "_text": F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))),
     })
-    bitmaps = keep_bitmaps(repeated_lines(docs, id_col, text_col, min_documents, min_chars))
+    bitmaps = keep_bitmaps(
+        repeated_lines(docs, id_col, text_col, min_documents, min_chars, keep_first)
+    )
     text = F.coalesce(docs[text_col], F.lit(""))
     joined = keys.join(bitmaps, same_row(keys, bitmaps, ["_id", "_text"]), "left")
     line_count = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
