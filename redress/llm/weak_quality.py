@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from operator import eq, mul
 from typing import NamedTuple
 
 import numpy as np
@@ -24,13 +25,15 @@ from redress.llm.common import Memo, map_batches, slices, without
 from redress.llm.quality import STOP_WORDS
 from redress.sources.scratch import settle
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 16
 #: Documents that the scorer is trained on at most, drawn by a hash of the text; the
 #: accuracies are estimated from all documents.
 FIT_ROWS = 20_000
 #: A bucket gets a weight if so many of the drawn documents have it.
 SUPPORT = 20
-STEPS = 30
+#: Rounds of training, and steps that each task takes on its rows before the weights
+#: of all tasks are averaged.
+ROUNDS, STEPS, TASKS = 5, 30, 4
 #: Insults; a parameter like the other word lists.
 INSULTS = frozenset(
     "idiot idiots moron morons stupid loser losers scum trash pathetic worthless disgusting "
@@ -38,6 +41,7 @@ INSULTS = frozenset(
 )
 _STOPS = frozenset(STOP_WORDS)
 _SYMBOL = re.compile(r"[#*$%&|<>{}\\=_~^]")
+_RUN = re.compile(r"[^\w\s]{2,}| \| ")
 _EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„…"
 
 
@@ -45,30 +49,39 @@ class Shape(NamedTuple):
     """What the heuristics look at."""
 
     words: int
-    chars: int
     symbols: float
+    plain: float
+    runs: float
     capitals: float
     stops: float
     top: float
+    distinct: float
+    echoes: float
     shouts: float
     insults: int
     insult_share: float
 
 
-def shape_of(text: str, words: list[str], bare: list[str]) -> Shape:
+def shape_of(text: str, words: list[str], counts: Counter, known: list[tuple]) -> Shape:
+    """``known`` has for each different word its bucket, letters, and three flags."""
     n = max(1, len(words))
-    letters = sum(map(len, bare)) or 1
-    insults = sum(1 for w in bare if w in INSULTS)
+    _, letters, capital, stop, insult = zip(*known, strict=True) if known else ((),) * 5
+    times = list(counts.values())
+    total = sum(map(mul, letters, times))
+    insults = sum(map(mul, insult, times))
     return Shape(
         len(words),
-        len(text),
         len(_SYMBOL.findall(text)) / n,
-        sum(1 for w in words if w.isupper() and len(w) > 1) / n,
-        sum(1 for w in bare if w in _STOPS) / n,
-        max(Counter(bare).values(), default=0) / n,
+        total / max(1, sum(map(len, words))),
+        len(_RUN.findall(text)) / n,
+        sum(map(mul, capital, times)) / n,
+        sum(map(mul, stop, times)) / n,
+        max(times, default=0) / n,
+        len(times) / n,
+        sum(map(eq, words, words[1:])) / n,
         text.count("!") / n,
         insults,
-        insults / letters,
+        insults / max(1, total),
     )
 
 
@@ -76,12 +89,15 @@ Labeller = Callable[[Shape], int]
 #: Votes 1 (has the quality), -1 (has not) or 0 (says nothing), by target.
 LABELLERS: dict[str, dict[str, Labeller]] = {
     "quality": {
-        "symbols": lambda s: -1 if s.symbols > 0.3 else (1 if s.symbols < 0.02 else 0),
-        "capitals": lambda s: -1 if s.capitals > 0.3 else (1 if s.capitals < 0.1 else 0),
-        "shouting": lambda s: -1 if s.shouts > 0.2 else (1 if s.shouts < 0.05 else 0),
+        "symbols": lambda s: -1 if s.symbols > 0.1 else 0,
+        "marks around words": lambda s: -1 if s.plain < 0.85 else (1 if s.plain > 0.93 else 0),
+        "runs of marks": lambda s: -1 if s.runs > 0.1 else 0,
+        "capitals": lambda s: -1 if s.capitals > 0.3 else 0,
+        "shouting": lambda s: -1 if s.shouts > 0.2 else 0,
         "stop words": lambda s: 1 if s.stops > 0.12 else (-1 if s.stops < 0.03 else 0),
-        "one word": lambda s: -1 if s.top > 0.3 and s.words >= 10 else (1 if s.top < 0.15 else 0),
-        "some words": lambda s: 1 if s.words >= 30 else 0,
+        "one word": lambda s: -1 if s.top > 0.3 and s.words >= 10 else 0,
+        "repeated words": lambda s: -1 if s.echoes > 0.2 else 0,
+        "few different words": lambda s: -1 if s.distinct < 0.2 and s.words < 1000 else 0,
     },
     "toxic": {
         "any insult": lambda s: 1 if s.insults else -1,
@@ -91,38 +107,49 @@ LABELLERS: dict[str, dict[str, Labeller]] = {
 }
 _LEVELS = {
     "symbols": (0.02, 0.1, 0.3),
+    "plain": (0.7, 0.85, 0.93),
+    "runs": (0.02, 0.1),
+    "distinct": (0.1, 0.2),
+    "echoes": (0.05, 0.2),
     "capitals": (0.1, 0.3),
     "shouts": (0.05, 0.2),
     "stops": (0.03, 0.12),
     "top": (0.15, 0.3),
+    "insults": (0, 1),
 }
 
 
-def _bare(word: str) -> str:
-    return word.strip(_EDGES).lower()
-
-
 def _bucket(feature: str) -> int:
     return xxhash.xxh3_64_intdigest(feature.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
+def _word(word: str) -> tuple[int, int, int, int, int]:
+    """Bucket of a word without marks around it, its letters, and whether it is in
+    capitals, a stop word, an insult."""
+    bare = word.strip(_EDGES).lower()
+    return (
+        _bucket(bare), len(bare), int(word.isupper() and len(word) > 1),
+        int(bare in _STOPS), int(bare in INSULTS),
+    )
+
+
 class Features:
     """Votes and hashed features of a text: its words, and the levels of its shape."""
 
     def __init__(self):
-        self.bare, self.bucket = Memo(_bare), Memo(_bucket)
+        self.word, self.bucket = Memo(_word), Memo(_bucket)
 
     def of(self, text: str | None) -> tuple[Shape, list[int]]:
         text = text or ""
         words = text.split()
-        bare = [self.bare[w] for w in words]
-        shape = shape_of(text, words, bare)
-        bucket = self.bucket
-        found = {bucket[w] for w in set(bare)}
+        counts, word = Counter(words), self.word
+        known = [word[w] for w in counts]
+        shape = shape_of(text, words, counts, known)
+        found = {k[0] for k in known}
         for name, levels in _LEVELS.items():
             value = getattr(shape, name)
-            found.add(bucket[f"{name} {sum(value > x for x in levels)} /"])
-        return shape, sorted(found)
+            found.add(self.bucket[f"{name} {sum(value > x for x in levels)} /"])
+        return shape, list(found)
 
 
 def votes_of(shape: Shape) -> str:
@@ -133,35 +160,28 @@ def votes_of(shape: Shape) -> str:
 
 
 def estimate(
-    votes: np.ndarray, counts: np.ndarray, rounds: int = 100
+    votes: np.ndarray, counts: np.ndarray, rounds: int = 200
 ) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of the target per vote pattern, and each labeller's accuracy.
 
     ``votes`` has a row per pattern and a column per labeller, in -1, 0, 1. Given the
-    target, labellers vote independently, each with its own probabilities; they start
-    from the majority and are estimated by expectation-maximisation.
+    target, a labeller that votes is right with its accuracy, whatever the others say;
+    one that does not vote says nothing. Accuracies start alike and stay above chance,
+    the share of the target starts at a half, and both are estimated by
+    expectation-maximisation.
     """
     weights = counts / counts.sum()
-    score = votes.sum(axis=1)
-    posterior = np.clip(0.5 + 0.4 * np.sign(score), 0.05, 0.95)
+    accuracy, prior = np.full(votes.shape[1], 0.75), 0.5
+    voted = (votes != 0) * weights[:, None]
+    posterior = np.full(len(votes), 0.5)
     for _ in range(rounds):
-        logs = []
-        for share in (1 - posterior, posterior):
-            mass = weights * share
-            prior = max(mass.sum(), 1e-12)
-            total = np.full(len(votes), np.log(prior))
-            for j in range(votes.shape[1]):
-                chance = np.array([mass[votes[:, j] == v].sum() for v in (-1, 0, 1)])
-                chance = (chance + 1e-6) / (prior + 3e-6)
-                total += np.log(chance[votes[:, j] + 1])
-            logs.append(total)
-        posterior = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))
-    right = np.array([
-        (weights * np.where(v > 0, posterior, 1 - posterior))[v != 0].sum()
-        / max(weights[v != 0].sum(), 1e-12)
-        for v in votes.T
-    ])
-    return posterior, right
+        logit = np.log(prior / (1 - prior)) + votes @ np.log(accuracy / (1 - accuracy))
+        posterior = 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
+        agrees = np.where(votes > 0, posterior[:, None], 1 - posterior[:, None])
+        found = (voted * agrees).sum(axis=0) / np.maximum(voted.sum(axis=0), 1e-12)
+        accuracy = np.clip(np.where(voted.sum(axis=0) > 0, found, 0.75), 0.55, 0.99)
+        prior = float(np.clip((weights * posterior).sum(), 0.02, 0.98))
+    return posterior, accuracy
 
 
 class Scorer(NamedTuple):
@@ -204,16 +224,17 @@ def _vote_batch(votes: list, counts: list, features: list) -> pa.RecordBatch:
 
 
 def fit_scorer(
-    docs: DataFrame, text_col: str = "text", fit_rows: int = FIT_ROWS, steps: int = STEPS
+    docs: DataFrame, text_col: str = "text", fit_rows: int = FIT_ROWS, rounds: int = ROUNDS
 ) -> Scorer:
     """Accuracies from the votes of all rows, weights from about ``fit_rows`` of them.
 
-    The driver holds one number per vote pattern and per bucket. Each training step is
-    a gradient summed over the stored features of the drawn rows.
+    The driver holds one number per vote pattern and per bucket. In each round of
+    training the tasks start from the same weights, take some steps on their drawn
+    rows, and the weights are averaged.
     """
     n = docs.count()
     targets = list(LABELLERS)
-    empty = Scorer(np.zeros((len(targets), BUCKETS)), np.zeros(len(targets)), {})
+    empty = Scorer(np.zeros((len(targets), BUCKETS), np.float32), np.zeros(len(targets)), {})
     if not n:
         return empty
     share = min(1_000_000, max(1, round(1_000_000 * fit_rows / n)))
@@ -237,8 +258,11 @@ def fit_scorer(
         accuracies[target] = dict(zip(labellers, right.tolist(), strict=True))
         first += len(labellers)
     label = {r.votes: tuple(p[i] for p in labels) for i, r in enumerate(patterns)}
-    drawn = stored.where("features IS NOT NULL").select("votes", "features")
-    supported = np.zeros(BUCKETS, bool)
+    drawn = settle(
+        stored.where("features IS NOT NULL").select("votes", "features").repartition(TASKS),
+        "drawn",
+    )
+    supported = np.zeros(BUCKETS, np.float32)
     for r in (
         drawn.select(F.explode("features").alias("f"))
         .groupBy("f")
@@ -247,55 +271,57 @@ def fit_scorer(
         .toArrow()["f"]
         .to_pylist()
     ):
-        supported[r] = True
-    weights, bias = empty.weights.copy(), empty.bias.copy()
-    squares, bias_squares = np.full(weights.shape, 1e-8), np.full(bias.shape, 1e-8)
-    for _ in range(steps):
-        gradient, bias_gradient = np.zeros(weights.shape), np.zeros(bias.shape)
-        rows = 0
-        for row in drawn.transform(
-            map_batches,
-            _gradient(label, weights, bias), "target int, at array<int>, g array<double>, b double, n long"
-        ).toLocalIterator():
-            gradient[row.target, row.at] += row.g
-            bias_gradient[row.target] += row.b
-            rows += row.n if row.target == 0 else 0
-        if not rows:
-            break
-        gradient = (gradient / rows + 1e-5 * weights) * supported
-        bias_gradient /= rows
-        squares += gradient**2
-        bias_squares += bias_gradient**2
-        weights -= 0.5 * gradient / np.sqrt(squares)
-        bias -= 0.5 * bias_gradient / np.sqrt(bias_squares)
+        supported[r] = 1
+    weights, bias = empty.weights, empty.bias
+    for _ in range(rounds):
+        sent = docs.sparkSession.sparkContext.broadcast((label, supported, weights, bias))
+        trained = drawn.transform(
+            map_batches, _train(sent), "n long, weights binary, bias array<double>"
+        ).collect()
+        total = sum(r.n for r in trained) or 1
+        weights = sum(
+            np.frombuffer(r.weights, np.float32).reshape(weights.shape) * np.float32(r.n / total)
+            for r in trained
+        )
+        bias = sum(np.array(r.bias) * (r.n / total) for r in trained)
+        sent.destroy()
     return Scorer(weights, bias, accuracies)
 
 
-def _gradient(label: dict, weights: np.ndarray, bias: np.ndarray):
+def _train(sent):
+    """Some steps of logistic regression on the rows of a task, by Adagrad."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gradient, bias_gradient, rows = np.zeros(weights.shape), np.zeros(bias.shape), 0
+        label, supported, weights, bias = sent.value
+        weights, bias = weights.copy(), bias.copy()
+        rows, votes = [], []
         for batch in batches:
-            for votes, found in zip(
-                batch.column(0).to_pylist(), batch.column(1), strict=True
-            ):
-                at = found.values.to_numpy()
-                score = 1 / (1 + np.exp(-np.clip(weights[:, at].sum(axis=1) + bias, -30, 30)))
-                error = score - np.array(label[votes])
-                gradient[:, at] += error[:, None]
-                bias_gradient += error
-                rows += 1
-        for target in range(len(bias)):
-            at = np.flatnonzero(gradient[target])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([target], pa.int32()),
-                    pa.array([at.tolist()], pa.list_(pa.int32())),
-                    pa.array([gradient[target, at].tolist()], pa.list_(pa.float64())),
-                    pa.array([bias_gradient[target]], pa.float64()),
-                    pa.array([rows], pa.int64()),
-                ],
-                names=["target", "at", "g", "b", "n"],
-            )
+            votes.extend(batch.column(0).to_pylist())
+            rows.extend(x.values.to_numpy() for x in batch.column(1))
+        if rows:
+            sizes = np.array([len(r) for r in rows])
+            flat, starts = np.concatenate(rows), np.cumsum(sizes) - sizes
+            for target in range(len(bias)):
+                wanted = np.array([label[v][target] for v in votes])
+                # So that buckets of few rows move slowly.
+                squares, bias_square = np.full(BUCKETS, 1e-2), 1e-2
+                for _ in range(STEPS):
+                    score = np.add.reduceat(weights[target][flat], starts) + bias[target]
+                    error = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - wanted) / len(rows)
+                    slope = np.bincount(flat, np.repeat(error, sizes), BUCKETS)
+                    slope = (slope + 1e-5 * weights[target]) * supported
+                    squares += slope**2
+                    bias_square += error.sum() ** 2
+                    weights[target] -= (0.5 * slope / np.sqrt(squares)).astype(np.float32)
+                    bias[target] -= 0.5 * error.sum() / np.sqrt(bias_square)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([len(rows)], pa.int64()),
+                pa.array([weights.astype(np.float32).tobytes()], pa.binary()),
+                pa.array([bias.tolist()], pa.list_(pa.float64())),
+            ],
+            names=["n", "weights", "bias"],
+        )
 
     return run
 
