@@ -243,6 +243,48 @@ def test_word_probabilities_add_up_to_one(spark, middle):
     assert 0 < spelled < unknown
 
 
+def pair_docs(spark):
+    """Training texts in which words come in one order, and held-out ones in two orders."""
+    held = [i for i in range(500) if brute.held(i, 10)]
+    learnt = [i for i in range(500) if not brute.held(i, 10)][:200]
+    rows = [(i, f"alpha beta gamma delta w{i % 7}") for i in learnt]
+    rows += [(held[0], "alpha beta gamma delta w1"), (held[1], "delta w1 gamma alpha beta"),
+             (held[2], "alpha beta nowhere delta w1")]
+    return held, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+
+def test_word_order_counts(spark):
+    held, docs = pair_docs(spark)
+    got = {r.doc_id: r for r in score_all(docs)}
+    straight, shuffled, unknown = (got[i] for i in held[:3])
+    assert straight.base_score == pytest.approx(shuffled.base_score)
+    assert straight.score > shuffled.score + 2
+    assert unknown.n_known == unknown.n_tokens - 1 and unknown.spelled_score < unknown.score
+
+
+def test_pair_probabilities_add_up_to_one(spark, middle):
+    train = middle.where(bucket("doc_id", 10) != 0)
+    words = pitman_yor.count_words(middle.withColumn("train", bucket("doc_id", 10) != 0))
+    total, distinct = words.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
+    pairs = pitman_yor.count_pairs(train)
+    want = Counter()
+    for (text,) in train.select("text").collect():
+        tokens = ["", *brute.words(text), ""]
+        want.update(itertools.pairwise(tokens))
+    assert sorted(r.n for r in pairs.collect()) == sorted(want.values())
+    model = pitman_yor.fit_pairs(spark, words, pairs, pitman_yor.Totals(total, distinct))
+    every = model.words.collect()
+    word = {r.w: 10**r.score for r in every if r.c > 0}
+    unknown = next(10**r.score for r in every if not r.c)
+    for context in ("the", "", "und"):
+        key = pitman_yor.key_of(context.encode())
+        own = {r.w: 10**r.score for r in model.scores.where(F.col("u") == key).collect()}
+        (c,) = model.contexts.where(F.col("u") == key).collect()
+        passed = c.weight / (1 + c.c)
+        rest = unknown + sum(p for w, p in word.items() if w not in own)
+        assert own and sum(own.values()) + passed * rest == pytest.approx(1.0)
+
+
 def test_scores_of_nothing(nothing, spark):
     assert pitman_yor.score_table(nothing).count() == 0
     # Every document held out: nothing to learn from.
