@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from redress.llm.common import SPACES
 from redress.llm.decontaminate import drop_leaks
 from redress.llm.language import UNDETERMINED, fit_languages, identify
 from redress.llm.lines import dedup_lines
@@ -30,10 +31,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves lines that ten documents share in the first of them only.
 
-    A document that has lost all its lines goes, so of copies the first stays.
+    A document that has lost all its lines goes, so of copies the first stays. Blank
+    lines are never dropped; one that has nothing else left goes too.
     """
     kept = dedup_lines(docs, keep_first=True)
-    left = kept.where((F.col("n_dropped") < F.col("n_lines")) | (F.col("n_dropped") == 0))
+    holds_text = F.btrim("kept_text", F.lit(SPACES)) != ""
+    left = kept.where(holds_text | (F.col("n_dropped") == 0))
     length = F.length("kept_text").cast("long")
     return left.withColumns({"text": F.col("kept_text"), "n_chars": length}).select(docs.columns)
 

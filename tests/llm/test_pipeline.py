@@ -55,6 +55,15 @@ def test_line_stage(tables):
     assert Counter(rows(after, "doc_id", "text", "n_chars")) == Counter(want)
 
 
+def test_copies_with_blank_lines_leave_the_first(spark):
+    texts = ["a b\n\nc d", "\n e f\n \t\n"]
+    docs = [(100 * k + i, text, "en", "s", len(text)) for k, text in enumerate(texts) for i in range(12)]
+    docs += [(500, "\n\n", "en", "s", 2), (501, "a b\n\nown line", "en", "s", 13)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    left = dict(rows(corpus_pipeline.line_dedup(spark, table, SMALL), "doc_id", "text"))
+    assert left == {0: texts[0], 100: texts[1], 500: "\n\n", 501: "\nown line"}
+
+
 def test_duplicate_stage(tables):
     before, after = tables[2:4]
     want = {d for d, _, _, kept in brute.near_classes(rows(before, "doc_id", "text"), 5) if kept}
