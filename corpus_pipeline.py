@@ -23,7 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``lang`` becomes the predicted language.
     """
-    found = identify(docs, fit_languages(docs.select("text", "lang")))
+    found = identify(docs, fit_languages(docs.select("doc_id", "text", "lang")))
     accepted = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
     return found.where(accepted).withColumn("lang", F.col("lang_pred")).select(docs.columns)
 

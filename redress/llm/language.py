@@ -19,8 +19,9 @@ from redress.llm.pieces import SPACE
 from redress.sources.scratch import settle
 
 UNDETERMINED = "und"
-#: Documents that a model is fitted on at most, drawn by a hash of id and text.
+#: Documents of each language that a model is fitted on, about, drawn by a hash of id and text.
 FIT_ROWS = 10_000
+DRAWS = 1_000_000_000
 ROUNDS = 3
 #: Added to the expected count of every piece and of the unknown character.
 SMOOTHING = 0.1
@@ -293,24 +294,27 @@ def fit_languages(
     lang_col: str = "lang",
     fit_rows: int = FIT_ROWS,
     rounds: int = ROUNDS,
+    id_col: str = "doc_id",
 ) -> LanguageModel:
     """Piece probabilities of each language by expectation-maximisation.
 
-    Reads text and language of rows where both are given, about ``fit_rows`` of
-    them, drawn by a hash of the text. Words are counted per language in the
+    The languages and their rows are counted over all rows where text and language
+    are given. Of each language about ``fit_rows`` rows are read, all if there are no
+    more, drawn by a hash of id (where there is one) and text. Words are counted per language in the
     tasks; each round sums the expected uses of the pieces over all
     segmentations of the counted words. What comes to the driver is one number per
     language and piece of the fixed vocabulary.
     """
     pieces = pieces or pieces_of()
+    drawn_by = [c for c in (id_col, text_col) if c in labelled.columns]
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
+        F.col(lang_col).cast("string").alias("lang"),
+        F.col(text_col).alias("text"),
+        F.pmod(F.xxhash64(*drawn_by), F.lit(DRAWS)).alias("draw"),
     )
-    n = rows.count()
-    share = max(1, min(1_000_000, round(1_000_000 * fit_rows / max(1, n))))
-    drawn = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share)
-    if n and not drawn.take(1):
-        drawn = rows
+    share = F.ceil(F.lit(float(DRAWS)) * fit_rows / F.count("*")).alias("share")
+    shares = settle(rows.groupBy("lang").agg(share), "language-shares")
+    drawn = rows.join(F.broadcast(shares), "lang").where("draw < share").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -407,6 +411,6 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
 def language_table(docs: DataFrame) -> DataFrame:
     """Predictions for all documents of a model that has not seen every fifth of them."""
     held_out = bucket("doc_id", 5) == 0
-    model = fit_languages(docs.where(~held_out).select("text", "lang"))
+    model = fit_languages(docs.where(~held_out).select("doc_id", "text", "lang"))
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")
     return identify(rows, model).drop("text")

@@ -86,6 +86,26 @@ def test_language_of_odd_rows(odd, nothing, spark):
     assert table.count() == len(TEXTS)
 
 
+def test_rare_language_is_learnt(spark):
+    common = [(i, f"the house number {i} is in the street", "en") for i in range(3000)]
+    rare = [(10_000 + i, f"zwölf häuser stehen hier {i}", "de") for i in range(3)]
+    docs = spark.createDataFrame(common + rare, "doc_id long, text string, lang string")
+    model = language.fit_languages(docs, fit_rows=20)
+    assert model.languages == ["de", "en"]
+    assert model.predict("zwölf häuser stehen hier")[0] == "de"
+    # Copies of one text are drawn row by row.
+    same = docs.withColumn("text", F.lit("the house"))
+    words = []
+    real = language.settle
+    language.settle = lambda df, name: words.append(real(df, name)) or words[-1]
+    try:
+        language.fit_languages(same, fit_rows=300, rounds=0)
+    finally:
+        language.settle = real
+    n = words[-1].where("lang = 'en' AND word = 'the'").first().n
+    assert 200 < n < 400
+
+
 # -- quality classifier -------------------------------------------------------------
 
 
