@@ -26,14 +26,17 @@ from redress.llm.quality import STOP_WORDS
 from redress.sources.scratch import settle
 
 BUCKETS = 1 << 16
-#: Documents that the scorer is trained on at most, drawn by a hash of the text; the
-#: accuracies are estimated from all documents.
+#: Documents that the scorer is trained on, about, drawn by a hash of text and row
+#: number, so that copies are drawn one by one; the accuracies are estimated from all
+#: documents.
 FIT_ROWS = 20_000
+DRAWS = 1_000_000_000
 #: A bucket gets a weight if so many of the drawn documents have it.
 SUPPORT = 20
 #: Rounds of training, and steps that each task takes on its rows before the weights
-#: of all tasks are averaged.
-ROUNDS, STEPS, TASKS = 5, 30, 4
+#: of all tasks are averaged. There are TASKS of them, or more so that each has about
+#: TASK_ROWS rows.
+ROUNDS, STEPS, TASKS, TASK_ROWS = 5, 30, 4, 5_000
 #: Insults; a parameter like the other word lists.
 INSULTS = frozenset(
     "idiot idiots moron morons stupid loser losers scum trash pathetic worthless disgusting "
@@ -237,8 +240,9 @@ def fit_scorer(
     empty = Scorer(np.zeros((len(targets), BUCKETS), np.float32), np.zeros(len(targets)), {})
     if not n:
         return empty
-    share = min(1_000_000, max(1, round(1_000_000 * fit_rows / n)))
-    draw = F.pmod(F.xxhash64(text_col), F.lit(1_000_000))
+    share = min(DRAWS, max(1, round(DRAWS * fit_rows / n)))
+    draw = F.pmod(F.xxhash64(text_col, F.monotonically_increasing_id()), F.lit(DRAWS))
+    tasks = max(TASKS, -(-min(n, fit_rows) // TASK_ROWS))
     stored = settle(
         docs.select(F.col(text_col).alias("text"), draw.alias("draw")).transform(
             map_batches,
@@ -259,7 +263,7 @@ def fit_scorer(
         first += len(labellers)
     label = {r.votes: tuple(p[i] for p in labels) for i, r in enumerate(patterns)}
     drawn = settle(
-        stored.where("features IS NOT NULL").select("votes", "features").repartition(TASKS),
+        stored.where("features IS NOT NULL").select("votes", "features").repartition(tasks),
         "drawn",
     )
     supported = np.zeros(BUCKETS, np.float32)

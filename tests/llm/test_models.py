@@ -150,6 +150,27 @@ def test_classifier_on_odd_rows(odd, nothing):
     assert weak_quality.classify(nothing, weak_quality.fit_scorer(nothing)).count() == 0
 
 
+def test_drawn_rows_are_bounded_whatever_repeats(spark, monkeypatch):
+    """Rows of NULL text and copies of one text are drawn like others."""
+    text = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "a copy of one text")
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), text.otherwise(F.concat(F.lit("text "), "id")).alias("text")
+    )
+    drawn = []
+    real = weak_quality.settle
+
+    def settle(df, name):
+        out = real(df, name)
+        if name == "drawn":
+            drawn.append((out.count(), out.where(F.size("features") < 12).count()))
+        return out
+
+    monkeypatch.setattr(weak_quality, "settle", settle)
+    weak_quality.fit_scorer(docs, fit_rows=300, rounds=1)
+    ((n, null),) = drawn
+    assert 220 < n < 380 and 50 < null < 150
+
+
 # -- language model -----------------------------------------------------------------
 
 
