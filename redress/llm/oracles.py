@@ -103,10 +103,61 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+PREFIX_TRIE = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), bytes AS (
+  SELECT conv_id, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT) AS b
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), numbered AS (
+  SELECT conv_id, xor(list_reduce(list_concat([4294967295::BIGINT], b), lambda a, x:
+    list_reduce([xor(a, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z:
+      xor(y >> 1, 3988292384 * (y & 1)))), 4294967295) % 6 AS h
+  FROM bytes
+), rebuilt AS (
+  SELECT n.conv_id, 0 AS part, t.k, t.role, t.text
+  FROM numbered n JOIN turns t ON t.conv_id = n.conv_id - n.conv_id % 100 AND t.k <= n.h
+  UNION ALL
+  SELECT n.conv_id, 1, t.k, t.role, t.text
+  FROM numbered n JOIN turns t ON t.conv_id = n.conv_id AND t.k > n.h
+), paths AS (
+  SELECT n.conv_id, coalesce(p.path, []) AS path
+  FROM numbered n LEFT JOIN (
+    SELECT conv_id, list({'role': role, 'text': text} ORDER BY part, k) AS path
+    FROM rebuilt GROUP BY conv_id
+  ) p ON n.conv_id = p.conv_id
+), prefixes AS (
+  SELECT conv_id, unnest(range(0, len(path) + 1)) AS depth, path FROM paths
+), nodes AS (
+  SELECT list_slice(path, 1, depth) AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+      FILTER (depth = len(path)), '')) AS ends_sha256
+  FROM prefixes GROUP BY ALL
+), kids AS (
+  SELECT list_slice(prefix, 1, depth - 1) AS prefix, count(*) AS n_children
+  FROM nodes WHERE depth > 0 GROUP BY ALL
+), own AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children,
+    CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(n.prefix[depth].text) END AS saved
+  FROM nodes n LEFT JOIN kids k ON n.prefix = k.prefix
+), sums AS (
+  SELECT list_slice(prefix, 1, above) AS prefix, sum(saved) AS saved_tokens,
+    count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS above FROM own) GROUP BY ALL
+)
+SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, s.n_leaves,
+  s.saved_tokens::BIGINT AS saved_tokens, o.ends_sha256
+FROM own o JOIN sums s ON o.prefix = s.prefix
+LEFT JOIN nodes p ON o.depth > 0 AND p.prefix = list_slice(o.prefix, 1, o.depth - 1)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": LINE_DEDUP,
         "op2_quality_rules": QUALITY_RULES,
         "op9_chat_format": CHAT_FORMAT,
+        "op13_prefix_trie": PREFIX_TRIE,
     }

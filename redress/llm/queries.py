@@ -15,6 +15,7 @@ from redress.llm import (
     near_duplicates,
     pieces,
     pitman_yor,
+    prefix_trie,
     quality,
     weak_quality,
 )
@@ -43,4 +44,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pieces": _documents(pieces.pieces_digest),
         "op9_chat_format": lambda s, d: chat.chat_digest(s, _table(s, d, "conversations")),
         "op10_lm_scores": _documents(pitman_yor.score_table),
+        "op13_prefix_trie": lambda s, d: prefix_trie.trie_table(_table(s, d, "conversations")),
     }

@@ -15,7 +15,7 @@ from tests.llm.conftest import MIDDLE, SMALL, TEXTS
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_matches_sql(spark, name):
     with oracle.connect(MIDDLE) as con:
-        for table in ("documents", "conversations"):
+        for table in ("documents", "conversations", "embeddings"):
             con.execute(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM '{MIDDLE}/{table}.parquet'")
         oracle.compare(queries()[name](spark, MIDDLE), con, oracle_sql()[name])
 
