@@ -130,8 +130,8 @@ class _Shard:
     share with their neighbours) is a partial result, all others are finished here.
     """
 
-    def __init__(self, shard: int, left: int, right: int):
-        self.shard, self.left, self.right = shard, left, right
+    def __init__(self, shard: int, left: int, right: int, chunk: int):
+        self.shard, self.left, self.right, self.chunk = shard, left, right, chunk
         self.last = b""
         self.stack: list[int] = []
         self.ends: dict[int, list[int]] = {}
@@ -197,9 +197,9 @@ class _Shard:
             if name is not None:
                 fixed = (name, above, self.depth[node], self.chars[node])
                 yield *fixed, self.least[node], None, *sums, None, self.shard, -1, None
-                for start in range(0, len(ends), CHUNK):
-                    text = ",".join(map(str, ends[start : start + CHUNK]))
-                    yield *fixed, *[None] * 7, self.shard, start // CHUNK, text
+                for start in range(0, len(ends), self.chunk):
+                    text = ",".join(map(str, ends[start : start + self.chunk]))
+                    yield *fixed, *[None] * 7, self.shard, start // self.chunk, text
                 continue
             digest = NOTHING
             if ends:
@@ -222,7 +222,7 @@ def _names(path: bytes) -> list[bytes]:
     return names
 
 
-def _build(shared: Broadcast):
+def _build(shared: Broadcast, chunk: int):
     """shard, conv_id, path, chars in order -> finished nodes and parts of skeleton nodes.
 
     ``shared`` has the turns that each shard shares with the one before and after it.
@@ -234,7 +234,7 @@ def _build(shared: Broadcast):
             for shard, conv_id, path, chars in zip(
                 *(batch.column(k).to_pylist() for k in range(4)), strict=True
             ):
-                trie = trie or _Shard(shard, *shared.value[shard])
+                trie = trie or _Shard(shard, *shared.value[shard], chunk)
                 trie.read(conv_id, path, chars)
         if trie is None:
             return
@@ -300,7 +300,7 @@ def _hash_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def prefix_trie(paths: DataFrame) -> DataFrame:
+def prefix_trie(paths: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """The trie of (``conv_id``, ``path``, ``chars``), one row per node.
 
     A node is a distinct sequence of first turns, from the root without turns; its
@@ -317,7 +317,7 @@ def prefix_trie(paths: DataFrame) -> DataFrame:
     the skeleton; its depths are sent to all shards. A shard finishes every other
     node; the parts of skeleton nodes are added up per node, then along the skeleton,
     which has no more nodes than splitter paths have turns. Ends of a skeleton node
-    are hashed in order from chunks, as a stream.
+    are hashed in order from chunks of so many ids, as a stream.
     """
     spark = paths.sparkSession
     shared_folder(spark)
@@ -346,7 +346,7 @@ def prefix_trie(paths: DataFrame) -> DataFrame:
         for i, k in enumerate(order)
     }
     sent = spark.sparkContext.broadcast(shared)
-    nodes = settle(placed.transform(map_batches, _build(sent), _ROWS), "trie")
+    nodes = settle(placed.transform(map_batches, _build(sent, chunk), _ROWS), "trie")
 
     combined = (
         nodes.where("chunk = -1")

@@ -10,6 +10,7 @@ from redress.llm import (
     chat,
     counts,
     decontaminate,
+    hard_negatives,
     language,
     lines,
     near_duplicates,
@@ -44,5 +45,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pieces": _documents(pieces.pieces_digest),
         "op9_chat_format": lambda s, d: chat.chat_digest(s, _table(s, d, "conversations")),
         "op10_lm_scores": _documents(pitman_yor.score_table),
+        "op12_hard_negatives": lambda s, d: hard_negatives.negatives_table(
+            _table(s, d, "embeddings")
+        ),
         "op13_prefix_trie": lambda s, d: prefix_trie.trie_table(_table(s, d, "conversations")),
     }

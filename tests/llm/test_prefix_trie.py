@@ -76,9 +76,8 @@ def test_trie_of_odd_rows(spark):
 
 
 @pytest.mark.parametrize("chunk", [2, 1024])
-def test_groups_of_copies_span_shards(spark, monkeypatch, chunk):
+def test_groups_of_copies_span_shards(spark, chunk):
     """Copies, shared beginnings and a node that is the end of some and the middle of others."""
-    monkeypatch.setattr(prefix_trie, "CHUNK", chunk)
     rows = []
     for c in range(600):
         kind = c % 3
@@ -88,7 +87,8 @@ def test_groups_of_copies_span_shards(spark, monkeypatch, chunk):
         (sequences(rows), conversation_paths(frame(spark, rows))),
         (rebuilt(sequences(rows)), share_openings(conversation_paths(frame(spark, rows)))),
     ):
-        assert table(prefix_trie.prefix_trie(got)) == nodes_of(paths)
+        whole = {c: tuple(turns) for c, turns in paths.items()}
+        assert table(prefix_trie.prefix_trie(got, chunk)) == nodes_of(whole)
 
 
 def test_turnless_conversations_are_members_of_the_root(spark):
