@@ -14,6 +14,7 @@ from redress.llm import (
     language,
     lines,
     near_duplicates,
+    nearest,
     pieces,
     pitman_yor,
     prefix_trie,
@@ -45,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pieces": _documents(pieces.pieces_digest),
         "op9_chat_format": lambda s, d: chat.chat_digest(s, _table(s, d, "conversations")),
         "op10_lm_scores": _documents(pitman_yor.score_table),
+        "op11_nearest": lambda s, d: nearest.nearest_table(_table(s, d, "embeddings")),
         "op12_hard_negatives": lambda s, d: hard_negatives.negatives_table(
             _table(s, d, "embeddings")
         ),
