@@ -156,7 +156,7 @@ def test_recall_with_windows_that_hold_a_part(spark, monkeypatch):
     monkeypatch.setattr(nearest.Index, "window", lambda *a: seen.append(window(*a)) or seen[-1])
     assert recall(rows, nearest.nearest_table(frame(spark, rows))) >= 0.9
     curves, reach = seen[0]
-    assert curves * 2 * reach < 6000 / 3
+    assert curves * 2 * reach < 6000 / 2
 
 
 def test_hilbert_keys_walk_from_cell_to_neighbour():
