@@ -414,6 +414,83 @@ def _loaded(spark, sf_dir, load, table, schema) -> DataFrame:
     return load(spark, star_csv(spark, sf_dir)[table], schema, new_folder(spark, f"load-{table}"))
 
 
+def _planted_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Ids, a date and a flag of the feed; of seven rows four do not fit that schema."""
+    n = F.col("complaint_id").cast("long")
+    flag = F.when(F.col("timely_response") == "Yes", "true").otherwise("false")
+    line = (
+        F.when(n % 7 == 1, F.concat(n, F.lit(",")))  # too short
+        .when(n % 7 == 2, F.concat_ws(",", n, "date_received", flag, F.lit("more")))
+        .when(n % 7 == 3, F.concat(n, F.lit(",2024-02-30,true")))  # no such day
+        .when(n % 7 == 4, F.concat(F.lit("x"), n, F.lit(",2024-02-01,true")))
+        .otherwise(F.concat(n, F.lit(","), F.coalesce("date_received", F.lit("")), F.lit(","), flag))
+    )
+
+    def write():
+        path = new_folder(spark, "planted")
+        bronze(spark, sf_dir).select(line.alias("value")).write.text(path)
+        return path
+
+    return _once(spark, sf_dir, "planted", write)
+
+
+def _planted_load(spark: SparkSession, sf_dir: str) -> writers.Loaded:
+    schema = StructType.fromDDL("complaint_id long, received date, flag boolean")
+
+    def load():
+        path, out = _planted_csv(spark, sf_dir), new_folder(spark, "load-planted")
+        return writers.bulk_load(spark, path, schema, out, header=False)
+
+    return _once(spark, sf_dir, "planted-load", load)
+
+
+def _load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = _planted_load(spark, sf_dir)
+    return spark.range(1).select(
+        F.lit(done.loaded).cast("long").alias("loaded"),
+        F.lit(done.rejected).cast("long").alias("rejected"),
+    )
+
+
+_LAYOUT = {"by": ["year_received"], "order": ["state", "date_received"]}
+
+
+def layout(spark: SparkSession, sf_dir: str) -> str:
+    """The silver fact by year, sorted; one year written again with another state."""
+
+    def write():
+        path = new_folder(spark, "layout")
+        complaints = silver_star(spark, sf_dir)["complaints"]
+        writers.write_layout(complaints, path, **_LAYOUT)
+        year = complaints.where("year_received = 1995").withColumn("state", F.lit("ZZ"))
+        writers.write_layout(year, path, **_LAYOUT, replace_all=False)
+        return path
+
+    return _once(spark, sf_dir, "layout", write)
+
+
+def _layout_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year, a range of days and a state: one folder, and few of its row groups."""
+    rows = readers.read_parquet(spark, layout(spark, sf_dir))
+    return rows.where(
+        "year_received = 1996 AND state = 'HA' AND date_received >= DATE'1996-03-01'"
+    ).select("complaint_id", "state", "date_received")
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check of copies that have all rows, one value in one of them being wrong."""
+    complaints = silver_star(spark, sf_dir)["complaints"]
+    first = complaints.agg(F.min("complaint_id"))
+    wrong = F.when(F.col("complaint_id") == first.scalar(), F.lit("wrong")).otherwise(F.col("state"))
+    copy = complaints.withColumn("state", wrong)
+    paths = {f: new_folder(spark, f"damaged-{f}") for f in ("parquet", "csv")}
+    writers.write_parquet(copy, paths["parquet"])
+    writers.write_csv(writers.stringify_dates(copy, layers.DATES), paths["csv"])
+    return reduce(
+        DataFrame.unionByName, [writers.verify_written(complaints, p, f) for f, p in paths.items()]
+    )
+
+
 def _verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     complaints = silver_star(spark, sf_dir)["complaints"]
     paths = stored_formats(spark, sf_dir)
@@ -601,6 +678,13 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             s, d, writers.load_dim, "companies", COMPANIES
         ),
         "load_fact": lambda s, d: _loaded(s, d, writers.load_fact, "complaints", COMPLAINTS),
+        "load_planted": lambda s, d: _planted_load(s, d).table,
+        "load_rejected": lambda s, d: _planted_load(s, d).rejects.select("record"),
+        "load_counts": _load_counts,
+        "layout_replaced_year": lambda s, d: readers.read_parquet(s, layout(s, d)).select(
+            "complaint_id", "state", "date_received", "year_received"
+        ),
+        "layout_pruned": _layout_query,
         "parquet_roundtrip": lambda s, d: readers.read_parquet(s, stored_formats(s, d)["parquet"]),
         "csv_roundtrip": lambda s, d: readers.read_table(
             s,
@@ -608,6 +692,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             writers.stringify_dates(silver_star(s, d)["complaints"], layers.DATES).schema,
         ),
         "verify_written": _verify,
+        "verify_damaged": _damaged,
         "storage_report": lambda s, d: writers.storage_report(s, stored_formats(s, d)),
         "storage_report_holds": _storage_holds,
         "repair_good": lambda s, d: repaired(s, d)[0],

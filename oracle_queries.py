@@ -450,6 +450,31 @@ QUERIES = {
     "scan_table_fixed": "SELECT * FROM fact",
     "load_dimension": "SELECT * FROM companies",
     "load_fact": "SELECT * FROM fact",
+    "load_planted": """
+        SELECT CAST(complaint_id AS BIGINT) AS complaint_id,
+               CAST(date_received AS DATE) AS received,
+               COALESCE(timely_response = 'Yes', FALSE) AS flag
+        FROM feed WHERE complaint_id % 7 IN (0, 5, 6)""",
+    "load_rejected": """
+        SELECT CASE complaint_id % 7 WHEN 1 THEN complaint_id || ','
+                 WHEN 2 THEN concat_ws(',', complaint_id, date_received,
+                   CASE WHEN timely_response = 'Yes' THEN 'true' ELSE 'false' END, 'more')
+                 WHEN 3 THEN complaint_id || ',2024-02-30,true'
+                 ELSE 'x' || complaint_id || ',2024-02-01,true' END AS record
+        FROM feed WHERE complaint_id % 7 IN (1, 2, 3, 4)""",
+    "load_counts": """
+        SELECT count(*) FILTER (WHERE complaint_id % 7 IN (0, 5, 6)) AS loaded,
+               count(*) FILTER (WHERE complaint_id % 7 IN (1, 2, 3, 4)) AS rejected FROM feed""",
+    "layout_replaced_year": """
+        SELECT complaint_id, CASE WHEN year_received = 1995 THEN 'ZZ' ELSE state END AS state,
+               date_received, year_received FROM complaints""",
+    "layout_pruned": """
+        SELECT complaint_id, state, date_received FROM complaints
+        WHERE year_received = 1996 AND state = 'HA' AND date_received >= DATE '1996-03-01'""",
+    "verify_damaged": """
+        SELECT format, (SELECT count(*) FROM complaints) AS expected,
+               (SELECT count(*) FROM complaints) AS found, FALSE AS complete
+        FROM (VALUES ('parquet'), ('csv')) AS formats(format)""",
     "parquet_roundtrip": "SELECT * FROM complaints",
     "csv_roundtrip": """
         SELECT * REPLACE (CAST(date_received AS VARCHAR) AS date_received,

@@ -11,7 +11,7 @@ def read_raw(spark: SparkSession, path: str | list[str], infer: bool = False) ->
     """The raw feed with its original headers, every column a string.
 
     A file whose fields may span lines is read by one task, so the work spreads
-    over files; for a feed of few large files use
+    over files; small ones are packed together. For single huge files there is
     ``redress.sources.records.read_large_csv``. ``infer`` guesses types at the
     cost of one more pass.
     """

@@ -12,16 +12,19 @@ from redress.functions.dates import parse_date
 from redress.functions.text import safe_int, true_flag
 from redress.operators.relational import enforce
 from redress.schema import COMPLAINTS
-from redress.sources.records import REST, csv_records
+from redress.sources.readers import CSV, spread
 from redress.sources.scratch import settle
 
 _LAST = COMPLAINTS.names[-1]
 _FIELDS = len(COMPLAINTS)
+#: Fields of a record at most; the parser keeps a place for each.
+MAX_FIELDS = 1_000_000
+_ONE, _RECORD = "_one", "_record"
 _DATES = ("date_received", "date_sent_to_company")
 # A quoted part with doubled quotes, and what follows it. A quote that is never
 # closed opens a part all the same.
 _QUOTED = r'(?s)^"((?:[^"]++|"")*+)(?:"|$)(.*)$'
-_SPLIT = f'(?s),((?:"{REST}|".*+|[^",][^,]*+|))'
+_SPLIT = r'(?s),((?:"(?:[^"]++|"")*+"[^,]*+|".*+|[^",][^,]*+|))'
 
 
 def _unquoted(field: Column) -> Column:
@@ -44,6 +47,41 @@ def split_fields(record: Column) -> Column:
     )
 
 
+def _records(spark: SparkSession, path: str | list[str], header: bool) -> DataFrame:
+    """``record``: the text of every record that is not blank.
+
+    Spark's reader finds the records. A schema of one column makes each record of
+    two fields or more a corrupt one, whose text it keeps; a record of one field is
+    written again as a quoted file would have it.
+    """
+    read = (
+        spark.read.schema(f"{_ONE} string, {_RECORD} string")
+        .options(**CSV, maxColumns=MAX_FIELDS, mode="PERMISSIVE", columnNameOfCorruptRecord=_RECORD)
+        .option("header", header)
+        .csv(path)
+    )
+    only = F.coalesce(_ONE, F.lit(""))
+    quoted = F.concat(F.lit('"'), F.replace(only, F.lit('"'), F.lit('""')), F.lit('"'))
+    alone = F.when(only.rlike('[",\r\n]'), quoted).otherwise(only)
+    return read.select(F.coalesce(_RECORD, alone).alias("record"))
+
+
+def _blank_records(
+    spark: SparkSession, path: str | list[str], rows: DataFrame, header: bool
+) -> DataFrame:
+    """A row for every blank line between records, which Spark's reader passes over.
+
+    They are the lines of the files less those of the records; a header is one line.
+    """
+    lines = spark.read.text(path).groupBy(F.col("_metadata.file_path")).agg(
+        F.count("*").alias("lines"), F.max(F.col("value") != "").alias("filled")
+    )
+    heads = F.count_if("filled") if header else F.lit(0)
+    total = lines.agg(F.coalesce(F.sum("lines"), F.lit(0)) - heads).first()[0]
+    blank = total - (rows.agg(F.sum("_lines")).first()[0] or 0)
+    return spark.range(blank).select(F.lit("id").alias("reason"), F.lit("").alias("record"))
+
+
 def repair_load(
     spark: SparkSession, path: str | list[str], header: bool = True
 ) -> tuple[DataFrame, DataFrame]:
@@ -51,21 +89,31 @@ def repair_load(
 
     ``good`` has the schema of the fact table; ``rejected`` has the reason
     ('id', 'fields', 'key' or 'date') and the record. Blank lines are records
-    without an id. Every record of the files is in one of the two. The files are
-    read in splits; the fields are stored, so both can be used freely.
+    without an id. Every record of the files is in one of the two. A file is read by
+    one task, so the work spreads over files. Spark parses the fields; only records of
+    another length and those with a field that begins with a quote once it is parsed
+    (text after a closing quote, or a quote in the text) are split by ``split_fields``.
+    The fields are stored, so both results can be used freely. A record holds up to
+    ``MAX_FIELDS`` fields; more are an error.
     """
-    records = csv_records(spark, path, header, blank=True)
-    fields = records.withColumn("_fields", split_fields(F.col("record")))
-    own = F.col("_fields")
-    named = fields.withColumns(
-        {c: F.get(own, i) for i, c in enumerate(COMPLAINTS.names[:-1])}
-    ).withColumn(
-        _LAST,
-        F.when(
-            F.size(own) >= _FIELDS,
-            F.array_join(F.slice(own, _FIELDS, F.greatest(F.size(own) - _FIELDS + 1, F.lit(0))), ","),
-        ),
+    names = COMPLAINTS.names
+    parsed = F.from_csv(
+        "record",
+        ", ".join(f"{c} string" for c in [*names, _RECORD]),
+        {"escape": '"', "columnNameOfCorruptRecord": _RECORD, "maxColumns": str(MAX_FIELDS)},
     )
+    fields = spread(_records(spark, path, header)).withColumn("_parsed", parsed)
+    odd = F.coalesce(F.col("_parsed")[_RECORD].isNotNull(), F.lit(True))
+    for c in names:
+        odd |= F.coalesce(F.startswith(F.col("_parsed")[c], F.lit('"')), F.lit(False))
+    fields = fields.withColumn("_fields", F.when(odd, split_fields(F.col("record"))))
+    own = F.col("_fields")
+    tail = F.array_join(F.slice(own, _FIELDS, F.greatest(F.size(own) - _FIELDS + 1, F.lit(0))), ",")
+    split = {**{c: F.get(own, i) for i, c in enumerate(names[:-1])},
+             _LAST: F.when(F.size(own) >= _FIELDS, tail)}
+    named = fields.withColumns({
+        c: F.when(own.isNull(), F.col("_parsed")[c]).otherwise(split[c]) for c in names
+    })
     bad_key, bad_date = F.lit(False), F.lit(False)
     for c in ("product_id", "issue_id", "company_id"):
         bad_key |= (F.col(c) != "") & safe_int(F.col(c)).isNull()
@@ -73,7 +121,7 @@ def repair_load(
         bad_date |= (F.col(c) != "") & parse_date(F.col(c)).isNull()
     reason = (
         F.when(safe_int(F.col("complaint_id"), "bigint").isNull(), "id")
-        .when(F.size(own) < _FIELDS, "fields")
+        .when(own.isNotNull() & (F.size(own) < _FIELDS), "fields")
         .when(bad_key, "key")
         .when(bad_date, "date")
     )
@@ -83,6 +131,7 @@ def repair_load(
             *[F.when(F.col("_reason").isNull(), F.col(c)).alias(c) for c in COMPLAINTS.names],
             "_reason",
             F.when(F.col("_reason").isNotNull(), F.col("record")).alias("record"),
+            (F.regexp_count("record", F.lit("\r\n|\r|\n")) + 1).alias("_lines"),
         ),
         "repair",
     )
@@ -95,7 +144,7 @@ def repair_load(
     })
     rejected = rows.where(F.col("_reason").isNotNull()).select(
         F.col("_reason").alias("reason"), "record"
-    )
+    ).unionByName(_blank_records(spark, path, rows, header))
     return enforce(good, COMPLAINTS), rejected
 
 

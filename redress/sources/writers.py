@@ -1,18 +1,20 @@
 """Sinks, the bulk load, the catalog and checks of what was written."""
 
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from redress.operators.aggregates import row_count
 from redress.schema import STAR
-from redress.sources.readers import read_parquet, read_table
-from redress.sources.records import read_large_csv
+from redress.sources.readers import CSV, read_parquet, read_table
+from redress.sources.scratch import settle
 
 BATCH_ROWS = 10_000  # fixed value: rows per insert batch
 
+RECORD = "record"  # the text of a row that does not fit its schema
+
 # Text goes out as it is: quotes doubled, outer spaces kept.
 CSV_TEXT = {
     "escape": '"',
@@ -26,6 +28,26 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_layout(
+    df: DataFrame, path: str, by: list[str], order: list[str], replace_all: bool = True
+) -> None:
+    """Replace the table at ``path``, a folder per value of ``by``, rows sorted in its files.
+
+    Rows are range-partitioned by ``by``, ``order`` and their hash, so a value that holds
+    a large share of them spreads over tasks and files, and the statistics of a file's
+    row groups are narrow ranges of ``order``. With ``replace_all=False`` only the values
+    of ``by`` that ``df`` has are replaced; the other folders stay as they are.
+    """
+    places = [*by, *order]
+    sorted_rows = df.repartitionByRange(*places, F.xxhash64(*df.columns)).sortWithinPartitions(*places)
+    (
+        sorted_rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
+        .partitionBy(*by)
+        .parquet(path)
+    )
+
+
 def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
     """Replace the CSV directory at ``path``; one file per task unless ``files`` is given.
 
@@ -48,19 +70,55 @@ def export_star(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:
     return paths
 
 
+class Loaded(NamedTuple):
+    """A bulk load: the stored table, its rejected rows and the count of either."""
+
+    table: DataFrame
+    rejects: DataFrame
+    loaded: int
+    rejected: int
+
+
+def bulk_load(
+    spark: SparkSession, path: str, schema: StructType, out: str, header: bool = True
+) -> Loaded:
+    """Load a CSV of a fixed schema into Parquet, and say what did not fit it.
+
+    A row with too few or too many fields, or with a value that its column's type does
+    not have, is rejected: no value turns NULL unseen. ``rejects`` has the columns as
+    far as they could be read, and the row's text as ``record``. The files are read
+    once, the counts are taken on the way; only a load with rejects reads them again, to
+    store those. A file is read by one task, so the work spreads over files. Blank
+    lines are no rows.
+    """
+    marked = StructType([*schema.fields, StructField(RECORD, StringType())])
+    read = (
+        spark.read.schema(marked)
+        .options(**CSV, mode="PERMISSIVE", columnNameOfCorruptRecord=RECORD)
+        .option("header", header)
+        .csv(path)
+    )
+    bad, seen = F.col(RECORD).isNotNull(), Observation()
+    counted = read.observe(
+        seen, F.count_if(~bad).alias("loaded"), F.count_if(bad).alias("rejected")
+    )
+    write_parquet(counted.where(~bad).drop(RECORD), out)
+    counts = seen.get
+    # Stored with all columns: a scan that leaves some out does not try their types.
+    rejects = settle(read.where(bad), "rejects") if counts["rejected"] else None
+    if rejects is None:
+        rejects = spark.createDataFrame([], marked)
+    return Loaded(read_parquet(spark, out), rejects, counts["loaded"], counts["rejected"])
+
+
 def load_dim(spark: SparkSession, path: str, schema: StructType, out: str) -> DataFrame:
     """Bulk-load a dimension CSV into Parquet; returns the stored table."""
-    return _load(read_large_csv(spark, path, schema), out)
+    return bulk_load(spark, path, schema, out).table
 
 
 def load_fact(spark: SparkSession, path: str, schema: StructType, out: str) -> DataFrame:
-    """Bulk-load the fact CSV into Parquet, after its dimensions; it is read in splits."""
-    return _load(read_large_csv(spark, path, schema), out)
-
-
-def _load(df: DataFrame, out: str) -> DataFrame:
-    write_parquet(df, out)
-    return read_parquet(df.sparkSession, out)
+    """Bulk-load the fact CSV into Parquet, after its dimensions."""
+    return bulk_load(spark, path, schema, out).table
 
 
 def write_jdbc(
@@ -99,20 +157,54 @@ def list_views(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW VIEWS").select(F.col("viewName").alias("view_name"))
 
 
+def fingerprint(df: DataFrame, empty_is_null: bool = False) -> DataFrame:
+    """One row: ``row_count`` and sum and xor of a 64-bit hash per row.
+
+    Equal for tables of the same rows in any order; one changed, swapped or missing
+    value changes it. With ``empty_is_null`` an empty string counts as NULL, as a CSV
+    file has it.
+    """
+    values = [
+        F.nullif(F.col(f.name), F.lit(""))
+        if empty_is_null and f.dataType.simpleString() == "string" else F.col(f.name)
+        for f in df.schema.fields
+    ]
+    # A hash passes over NULLs, so whether a value is one is hashed beside it.
+    row = F.xxhash64(*values, *[v.isNull() for v in values])
+    return df.select(row.alias("_row")).agg(
+        F.count("*").alias("row_count"),
+        F.sum(F.col("_row").cast("decimal(38,0)")).alias("hash_sum"),
+        F.bit_xor("_row").alias("hash_xor"),
+    )
+
+
 def verify_written(df: DataFrame, path: str, fmt: str) -> DataFrame:
-    """One row: format, rows expected from ``df``, rows read back, equal or not."""
+    """One row: format, rows expected from ``df``, rows read back, all rows equal or not.
+
+    The order of the rows does not matter; either side is read once.
+    """
     spark = df.sparkSession
     back = read_parquet(spark, path) if fmt == "parquet" else read_table(spark, path, df.schema)
-    both = (
-        row_count(df)
-        .select(F.lit("expected").alias("side"), "row_count")
-        .unionByName(row_count(back).select(F.lit("found").alias("side"), "row_count"))
+    sides = {"expected": df, "found": back.select(*df.columns)}
+    both = reduce(
+        DataFrame.unionByName,
+        [fingerprint(side, fmt == "csv").withColumn("side", F.lit(name)) for name, side in sides.items()],
     )
+
+    def of(side: str, column: str) -> Column:
+        return F.max(F.when(F.col("side") == side, F.col(column)))
+
     return both.agg(
         F.lit(fmt).alias("format"),
-        *[F.max(F.when(F.col("side") == s, F.col("row_count"))).alias(s)
-          for s in ("expected", "found")],
-    ).withColumn("complete", F.col("expected") == F.col("found"))
+        *[of(side, "row_count").alias(side) for side in sides],
+        *[
+            of("expected", c).eqNullSafe(of("found", c)).alias(c)
+            for c in ("row_count", "hash_sum", "hash_xor")
+        ],
+    ).select(
+        "format", "expected", "found",
+        (F.col("row_count") & F.col("hash_sum") & F.col("hash_xor")).alias("complete"),
+    )
 
 
 def storage_report(spark: SparkSession, paths: dict[str, str]) -> DataFrame:

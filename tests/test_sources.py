@@ -312,3 +312,102 @@ def test_scratch_folder_is_never_machine_local_on_a_cluster():
     assert scratch.shared_folder(cluster) == cluster.checkpoints == "hdfs:///shared"
     local = Session("local[2]")
     assert scratch.shared_folder(local) == scratch.shared_folder(local) == local.checkpoints
+
+
+def test_bulk_load_rejects_what_does_not_fit(spark, tmp_path):
+    lines = [
+        "1,Loan,x", "2,Card", "3,Card,x,y", "four,Card,x", '5,"a\nb",', ",no id,", "6,,",
+        "99999999999,too large,", '7,"open', "8,inside the quotes,x",
+    ]
+    (tmp_path / "p.csv").write_text(",".join(PRODUCTS.names) + "\n" + "\n".join(lines) + "\n")
+    done = writers.bulk_load(spark, str(tmp_path / "p.csv"), PRODUCTS, str(tmp_path / "out"))
+    assert rows(done.table) == Counter(
+        [(1, "Loan", "x"), (5, "a\nb", None), (None, "no id", None), (6, None, None)]
+    )
+    assert {r.record.strip() for r in done.rejects.collect()} == {
+        "2,Card", "3,Card,x,y", "four,Card,x", "99999999999,too large,",
+        '7,"open\n8,inside the quotes,x',
+    }
+    assert (done.loaded, done.rejected) == (4, 5)
+    (tmp_path / "e.csv").write_text(",".join(PRODUCTS.names) + "\n")
+    none = writers.bulk_load(spark, str(tmp_path / "e.csv"), PRODUCTS, str(tmp_path / "out"))
+    assert (none.table.count(), none.rejects.count(), none.loaded, none.rejected) == (0, 0, 0, 0)
+
+
+def test_every_file_is_a_scan_task(spark, tmp_path):
+    """Files whose fields may span lines are not split; each is one task, and rows then spread."""
+    n = spark.sparkContext.defaultParallelism
+    for i in range(n):
+        (tmp_path / f"{i}.csv").write_text("a,b\n" + f'{i},"x\ny"\n' * 500)
+    read = readers.read_raw(spark, str(tmp_path))
+    assert read.rdd.getNumPartitions() == n
+    plan = readers.spread(read)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert readers.spread(readers.read_raw(spark, str(tmp_path / "0.csv"))).rdd.getNumPartitions() == n
+
+
+def test_layout_prunes_folders_and_pushes_ranges(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = spark.range(20_000).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 > 0, 2020).otherwise(2010 + F.col("id") % 5).cast("int").alias("year"),
+        F.concat(F.lit("S"), F.col("id") % 40).alias("state"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 365).cast("int")).alias("day"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # few rows here
+    try:
+        writers.write_layout(days, path, ["year"], ["state", "day"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    read = readers.read_parquet(spark, path)
+    assert rows(read.select(*days.columns)) == rows(days)
+    found = read.where("year = 2020 AND state = 'S7' AND day < DATE'2020-03-01'")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "EqualTo(state,S7)" in plan
+    assert "LessThan(day,2020-03-01)" in plan
+    # The year that holds two thirds of the rows is more than one file, each a range of states.
+    files = read.where("year = 2020").groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        F.min("state").alias("low"), F.max("state").alias("high"), F.count("*").alias("n")
+    ).orderBy("low").collect()
+    assert len(files) > 1 and max(f.n for f in files) < 20_000 / 3
+    assert all(a.high <= b.low for a, b in zip(files, files[1:], strict=False))
+    # One year is written again; the others keep their files.
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    writers.write_layout(
+        days.where("year = 2012").withColumn("state", F.lit("new")), path, ["year"],
+        ["state", "day"], replace_all=False,
+    )
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    kept = {p: t for p, t in before.items() if "year=2012" not in str(p)}
+    assert kept == {p: t for p, t in after.items() if "year=2012" not in str(p)}
+    again = readers.read_parquet(spark, path)
+    assert again.count() == 20_000
+    assert again.where("state = 'new'").count() == days.where("year = 2012").count()
+
+
+def test_fingerprint_tells_tables_apart(spark):
+    base = [(1, "a", None), (2, None, "b"), (3, "", "c"), (3, "", "c")]
+
+    def mark(data, **options):
+        df = spark.createDataFrame(data, "i int, a string, b string").repartition(3)
+        return writers.fingerprint(df, **options).first()
+
+    assert mark(base) == mark(base[::-1])
+    for other in (
+        base[:3], [*base[:3], (3, "c", "")], [(1, None, "a"), *base[1:]], [(1, "a", "x"), *base[1:]],
+        [*base[:2], (3, None, "c"), (3, "", "c")], [base[0], base[0], *base[2:]],
+    ):
+        assert mark(other) != mark(base)
+    assert mark([(3, None, "c")], empty_is_null=True) == mark([(3, "", "c")], empty_is_null=True)
+    assert mark([]) == (0, None, None)
+
+
+def test_a_changed_cell_is_found_in_both_formats(spark, tricky, tmp_path):
+    data = [list(r) for r in tricky.collect()]
+    text = next(i for i, (_, kind) in enumerate(tricky.dtypes) if kind == "string")
+    data[2][text] = "changed"
+    wrong = spark.createDataFrame(data, tricky.schema)
+    for fmt in ("parquet", "csv"):
+        path = str(tmp_path / fmt)
+        (writers.write_parquet if fmt == "parquet" else writers.write_csv)(wrong, path)
+        assert writers.verify_written(tricky, path, fmt).collect() == [(fmt, 6, 6, False)]
