@@ -113,49 +113,62 @@ class BenchmarkIndex:
         long = shingle_hashes(hashes, SHINGLE) if len(words) >= SHINGLE else hashes[:0]
         hits = self._known(long)
         for size, group in self.by_size.items():
-            if size > len(words):
-                continue
             if size < SHINGLE:
-                shingles, width = shingle_hashes(hashes, size), 1
+                if size > len(words):
+                    continue
+                shingles = shingle_hashes(hashes, size)
                 starts = np.flatnonzero(_among(group["known"], shingles))
+                ends = starts + 1
             elif not len(hits):
                 continue
             else:
-                shingles, width = long, size - SHINGLE + 1
-                starts = self._promising(long, hits, width, group)
+                shingles = long
+                starts, ends = self._promising(long, hits, size - SHINGLE + 1, group)
             if len(starts):
-                self._windows(shingles, starts, width, group, found)
+                self._windows(shingles, starts, ends, group, found)
         return found
 
-    def _promising(self, shingles, hits, width, group) -> np.ndarray:
+    def _promising(self, shingles, hits, width, group) -> tuple[np.ndarray, np.ndarray]:
         """Windows with as many of the group's shingles as the similarity asks for.
 
-        A window at the similarity s shares 2s / (1 + s) of its shingles with the item.
+        A window of k shingles at the similarity s shares s (k + w) / (1 + s) of them
+        with an item of w. Windows may hang over either end of the text, and then are
+        the shorter for it; so a text may begin or end within an item, or be shorter.
         """
         own = hits[_among(group["known"], shingles[hits])]
-        need = 2 * self.similarity / (1 + self.similarity) * width - 1e-9
-        if len(own) < need:
-            return own[:0]
-        before = np.zeros(len(shingles) + 1, np.int64)
+        s, n = self.similarity, len(shingles)
+        nothing = own[:0], own[:0]
+        if min(n, len(own)) < s * width - 1e-9:
+            return nothing
+        before = np.zeros(n + 1, np.int64)
         before[own + 1] = 1
         before = np.cumsum(before)
-        return np.flatnonzero(before[width:] - before[:-width] >= need)
-
-    def _windows(self, shingles, starts, width, group, found) -> None:
+        starts = np.arange(max(0, n - width + 1))
+        lengths = np.arange(int(np.ceil(s * width - 1e-9)), min(width - 1, n) + 1)
+        starts, ends = (
+            np.concatenate(x)
+            for x in ((starts, 0 * lengths, n - lengths), (starts + width, lengths, 0 * lengths + n))
+        )
+        need = s * (ends - starts + width) / (1 + s) - 1e-9
+        at = np.flatnonzero(before[ends] - before[starts] >= need)
+        at = at[np.argsort(starts[at], kind="stable")]
+        return starts[at], ends[at]
+
+    def _windows(self, shingles, starts, ends, group, found) -> None:
         low, most = 0, max(1, min(4096, 1_000_000 // len(group["items"])))
         while low < len(starts):
             # Windows that begin within a bounded stretch share their running sums.
             high = min(int(np.searchsorted(starts, starts[low] + 4096)), low + most)
-            part, low = starts[low:high], high
-            first, last = part[0], part[-1] + width
+            part, stop, low = starts[low:high], ends[low:high], high
+            first, last = part[0], stop.max()
             sums = np.zeros((last - first + 1, BITS), np.int32)
             np.cumsum(_signs(shingles[first:last]), axis=0, out=sums[1:])
-            prints = _fingerprints(sums[part - first + width] - sums[part - first])
+            prints = _fingerprints(sums[stop - first] - sums[part - first])
             windows, items = self._near(prints, group)
             seen: dict[int, Counter] = {}
             for w, i in zip(windows.tolist(), items.tolist(), strict=True):
                 if w not in seen:
-                    seen[w] = Counter(shingles[part[w] : part[w] + width].tolist())
+                    seen[w] = Counter(shingles[part[w] : stop[w]].tolist())
                 score = weighted_similarity(seen[w], group["weights"][i])
                 item = group["items"][i]
                 if score >= self.similarity and score > found.get(item, 0.0):
@@ -195,7 +208,8 @@ def find_leaks(
     """Pairs of a document row and a benchmark item found in it: ids and ``similarity``.
 
     Windows as long as an item, in words (A-Z lower-cased), slide over each whole
-    text. A window whose five-word shingles could reach the similarity is
+    text, and over its ends: a text that is shorter than the item, or that begins or
+    ends within it, is compared as far as it goes. A window whose five-word shingles could reach the similarity is
     fingerprinted, the items within the Hamming radius are looked up by blocks,
     and the weighted shingle similarity decides exactly. Items shorter than five
     words are one shingle. The benchmark is sent to the tasks in blocks of a fixed

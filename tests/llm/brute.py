@@ -100,25 +100,27 @@ def near_classes(rows, size, percent=80):
 
 
 def leaks(rows, items, size=5, similarity=0.8):
-    """(doc_id, item_id, similarity) of every item in every window of its length."""
+    """(doc_id, item_id, similarity) of every item in every window of its length.
+
+    Windows may hang over the ends of a text.
+    """
     out = []
     for doc, text in rows:
         w = words(text)
-        grams = [tuple(w[i : i + size]) for i in range(len(w) - size + 1)]
+        grams = {tuple(w[i : i + k]) for k in range(1, size + 1) for i in range(len(w) - k + 1)}
         for item, item_text in items:
             v = words(item_text)
-            if not v or len(v) > len(w):
-                continue
             width = min(size, len(v))
             want = Counter(tuple(v[i : i + width]) for i in range(len(v) - width + 1))
-            own = grams if width == size else [tuple(w[i : i + width]) for i in range(len(w) - width + 1)]
-            if not any(g in want for g in own):
+            if not v or not any(g in grams for g in want):
                 continue
-            length, best = len(v) - width + 1, 0.0
-            for start in range(len(w) - len(v) + 1):
-                have = Counter(own[start : start + length])
-                both = sum((have & want).values())
-                best = max(best, both / sum((have | want).values()))
+            best = 0.0
+            for start in range(1 - len(v), len(w)):
+                part = w[max(0, start) : start + len(v)]
+                have = Counter(tuple(part[i : i + width]) for i in range(len(part) - width + 1))
+                if have and any(g in want for g in have):
+                    both = sum((have & want).values())
+                    best = max(best, both / sum((have | want).values()))
             if best >= similarity:
                 out.append((doc, item, best))
     return out

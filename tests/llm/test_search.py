@@ -140,6 +140,20 @@ def test_leaks_of_odd_rows(spark, nothing):
     )
 
 
+def test_part_of_an_item_at_the_end_of_a_text(spark):
+    """The ten-word item less its last or first word: alone, at the end, at the beginning."""
+    items = spark.createDataFrame(ITEMS[:1], "item_id long, text string")
+    nine = "one two three four five six seven eight nine"
+    rows = [
+        (1, nine), (2, "two three four five six seven eight nine ten"), (3, "it said so: " + nine),
+        (4, "two three four five six seven eight nine ten and so on"), (5, nine[: -len(" nine")]),
+        (6, "before " + nine + " after"),
+    ]
+    got = decontaminate.leak_table(spark.createDataFrame(rows, "doc_id long, text string"), items)
+    assert {r.doc_id: round(r.similarity, 3) for r in got.collect()} == dict.fromkeys((1, 2, 3, 4), 0.833)
+    assert {d for d, _, _ in brute.leaks(rows, ITEMS[:1])} == {1, 2, 3, 4}
+
+
 def test_items_in_blocks(spark, monkeypatch, small):
     benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     whole = table(decontaminate.leak_table(small, benchmark))
