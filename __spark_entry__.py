@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
 from redress import functions as fn  # noqa: E402
-from redress.operators import aggregates, audits, joins, names, relational  # noqa: E402
+from redress.operators import aggregates, audits, joins, names, relational, windows  # noqa: E402
 from redress.plans import kpis, layers, silver, star  # noqa: E402
 from redress.plans.feed import feed  # noqa: E402
 from redress.schema import (  # noqa: E402
@@ -491,6 +491,22 @@ def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complaints and companies in buckets by company, joined bucket by bucket."""
+
+    def write():
+        tables = silver_star(spark, sf_dir)
+        out = []
+        for name in ("complaints", "companies"):
+            label = f"bucketed_{name}_{abs(hash(sf_dir))}"
+            path = new_folder(spark, label)
+            out.append(joins.write_bucketed(tables[name], label, "company_id", 8, path))
+        return out
+
+    fact, dim = _once(spark, sf_dir, "bucketed", write)
+    return joins.bucketed_join(fact, dim, "company_id").select("complaint_id", "company_name")
+
+
 def _verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     complaints = silver_star(spark, sf_dir)["complaints"]
     paths = stored_formats(spark, sf_dir)
@@ -553,6 +569,14 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "tag_counts": _complaints(silver.tag_counts),
         "gold_combined": _kpi(kpis.combined),
+        "gold_combined_large": _kpi(kpis.combined, limit=0),
+        "join_bucketed": _bucketed,
+        "running_total_rows": _complaints(
+            lambda f: windows.running_total_of_rows(
+                f.select("complaint_id", "year_received", "date_received", "response_days"),
+                "response_days", "year_received", "date_received", "days_so_far",
+            )
+        ),
         "join_one_dimension": _kpi(
             lambda t: joins.star_join(
                 t["complaints"].select("complaint_id", "company_id"),
@@ -671,6 +695,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_raw_blank_lines": _blank_lines,
         "scan_raw_inferred": lambda s, d: _raw(readers.read_raw(s, raw_csv(s, d), infer=True)),
         "scan_table_inferred": lambda s, d: readers.read_table(s, star_csv(s, d)["complaints"]),
+        "scan_types_found": lambda s, d: readers.read_inferred(s, star_csv(s, d)["complaints"]),
         "scan_table_fixed": lambda s, d: readers.read_table(
             s, star_csv(s, d)["complaints"], COMPLAINTS
         ),

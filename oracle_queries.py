@@ -241,7 +241,15 @@ QUERIES = {
     "tags_exploded": "SELECT complaint_id, tags, individual_tag FROM tagged",
     "tag_counts": "SELECT individual_tag, count(*) AS count FROM tagged GROUP BY individual_tag",
     "gold_combined": "SELECT * FROM combined",
+    "gold_combined_large": "SELECT * FROM combined",
     # relational operators
+    "join_bucketed": """
+        SELECT complaint_id, company_name FROM complaints JOIN companies USING (company_id)""",
+    "running_total_rows": """
+        SELECT complaint_id, year_received, date_received, response_days,
+               CAST(sum(response_days) OVER (PARTITION BY year_received
+                                             ORDER BY date_received NULLS FIRST) AS BIGINT)
+                 AS days_so_far FROM complaints""",
     "join_one_dimension": """
         SELECT complaint_id, company_name FROM complaints JOIN companies USING (company_id)""",
     "join_one_dimension_salted": """
@@ -447,6 +455,9 @@ QUERIES = {
     "scan_table_inferred": f"""
         SELECT {_FACT_COLS} FROM (
             SELECT * REPLACE (CAST(complaint_id AS INTEGER) AS complaint_id) FROM fact)""",
+    "scan_types_found": f"""
+        SELECT {_FACT_COLS} FROM (
+            SELECT * REPLACE (CAST(complaint_id AS INTEGER) AS complaint_id) FROM fact)""",
     "scan_table_fixed": "SELECT * FROM fact",
     "load_dimension": "SELECT * FROM companies",
     "load_fact": "SELECT * FROM fact",

@@ -101,15 +101,17 @@ def dim_join(
 def numbered(fact: DataFrame) -> DataFrame:
     """``fact`` with a number per row that a repeated task gives again.
 
-    It is made of file and row index where ``fact`` is a scan of stored rows, so
-    equal rows differ and no other column has to be read. Any other plan is stored
-    first.
+    It is made of the file (a hash of its name) and the row index where ``fact`` is a
+    scan of stored rows, so equal rows differ and no other column has to be read. Any
+    other plan is stored first.
     """
+    number = F.struct(
+        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
     try:
-        return fact.withColumn(ROW, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+        return fact.withColumn(ROW, number)
     except AnalysisException:
-        stored = settle(fact, "fact")
-        return stored.withColumn(ROW, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+        return settle(fact, "fact").withColumn(ROW, number)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -176,12 +178,16 @@ def denormalize(
 def _join_all(fact, dims, how, limit) -> DataFrame:
     if all(fits_broadcast(dim, limit) for dim, _ in dims):
         return reduce(lambda df, d: dim_join(df, d[0], [d[1]], how, limit=limit), dims, fact)
-    # Rows are numbered before the first join, while they still are a scan.
-    return reduce(
+    # Rows are numbered while they still are a scan. Only numbers and keys go through the
+    # salted joins; the wide columns move once, to their own row of what was found.
+    rows = numbered(fact)
+    keys = list(dict.fromkeys(key for _, key in dims))
+    found = reduce(
         lambda df, d: dim_join(df, d[0], [d[1]], how, limit=limit, keys_of=fact, salt=ROW),
         dims,
-        numbered(fact),
-    ).drop(ROW)
+        rows.select(ROW, *keys),
+    )
+    return rows.join(found.drop(*keys), ROW).drop(ROW)
 
 
 def lookup_id(
@@ -206,3 +212,27 @@ def orphans(
 ) -> DataFrame:
     """Fact rows without a partner in ``dim``, those with a NULL key included."""
     return dim_join(fact, dim, [key], "left_anti", limit=limit)
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
+    """Store ``df`` as a table of ``buckets`` by ``key``, each file sorted by it.
+
+    Tables of as many buckets by the same key join without a shuffle, however often; one
+    shuffle is paid here. A bucket is read by one task, so this is for keys none of which
+    holds a large share of the rows (surrogate keys of a dimension, ids of a fact); for
+    others there is ``star_join``.
+    """
+    (
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    return df.sparkSession.table(table)
+
+
+def bucketed_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join two tables of ``write_bucketed`` on their key by merging their buckets."""
+    return fact.join(dim.hint("merge"), key, how)

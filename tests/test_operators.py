@@ -275,3 +275,76 @@ def test_audits(spark):
     assert audits.blank_names(dim, "name").count() == 1
     assert audits.fk_violations(df, {"product_id": dim}).collect() == [("product_id", 7, 1)]
     assert audits.overlength(df, {"state": 5}, "complaint_id").collect() == [(1, "state", 5, 6)]
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    fact = spark.range(5000).select(
+        F.col("id"), F.when(F.col("id") % 50 > 0, F.col("id") % 700).alias("key")
+    )
+    dim = spark.range(600).select(F.col("id").alias("key"), F.concat(F.lit("n"), "id").alias("name"))
+    stored = [
+        joins.write_bucketed(df, f"bucketed_test_{i}", "key", 4, str(tmp_path / str(i)))
+        for i, df in enumerate((fact, dim))
+    ]
+    for how in ("inner", "left"):
+        joined = joins.bucketed_join(*stored, "key", how)
+        plan = executed(joined)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        want = fact.join(dim, "key", how).select("key", "id", "name")
+        assert Counter(map(tuple, joined.select("key", "id", "name").collect())) == Counter(
+            map(tuple, want.collect())
+        )
+    for i in range(2):
+        spark.sql(f"DROP TABLE bucketed_test_{i}")
+
+
+def test_wide_columns_move_once(spark, tmp_path):
+    """Large dimensions are joined to row numbers and keys; the text is shuffled once."""
+    path = str(tmp_path / "fact")
+    spark.range(3000).select(
+        (F.col("id") % 7).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id") % 11).alias("b"),
+        F.concat(F.lit("text "), "id").alias("text"),
+    ).write.parquet(path)
+    fact = spark.read.parquet(path)
+    dims = [
+        (spark.range(n).select(F.col("id").alias(k), F.concat(F.lit(k), "id").alias(f"name_{k}")), k)
+        for k, n in (("a", 7), ("b", 9))
+    ]
+    for build in (joins.denormalize, joins.star_join):
+        large = build(fact, dims, limit=0)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            lines = executed(build(fact, dims, limit=0)).splitlines()
+        finally:
+            spark.conf.unset("spark.sql.adaptive.enabled")
+        scans = [line for line in lines if "FileScan" in line and "text#" in line]
+        assert len(scans) == 1  # no other branch reads the text
+        assert Counter(map(tuple, large.collect())) == Counter(map(tuple, build(fact, dims).collect()))
+
+
+@pytest.mark.parametrize("kind", ["one part", "ties", "nulls"])
+def test_running_total_of_rows_equals_the_window(spark, kind):
+    n = 1_000_000 if kind == "one part" else 20_000
+    rows = spark.range(n).select(
+        F.lit(1).alias("part") if kind == "one part"
+        else F.when(F.col("id") % 3 > 0, F.col("id") % 2).alias("part"),
+        F.when(F.col("id") % 5 > 0, F.pmod(F.xxhash64("id"), F.lit(50 if kind == "ties" else n))).alias("at"),
+        F.when((F.col("id") % 4 > 0) | F.lit(kind != "nulls"), F.col("id") % 100).alias("value"),
+    )
+    got = windows.running_total_of_rows(rows, "value", "part", "at", "total")
+    want = windows.running_total(rows, "value", "part", "at", "total")
+
+    def digest(df):
+        hashed = F.xxhash64(*df.columns, *[F.col(c).isNull() for c in df.columns])
+        return df.agg(F.count("*"), F.sum(hashed.cast("decimal(38,0)")), F.bit_xor(hashed)).first()
+
+    assert digest(got.select(want.columns)) == digest(want)
+    if kind == "one part":
+        # The sums of one part lie in even ranges of the order.
+        sums = rows.groupBy("part", "at").agg(F.sum("value")).repartitionByRange(8, "part", "at")
+        sizes = [r[1] for r in sums.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) <= 1.5 * sum(sizes) / 8
