@@ -23,7 +23,6 @@ from redress.llm.common import (
 )
 from redress.llm.components import components
 from redress.sources.scratch import settle
-from redress.sources.workers import ship
 
 #: A pair at similarity 0.8 shares none of 54 bands with probability 3e-6, one at
 #: 0.15 shares one with probability 1e-4.
@@ -31,8 +30,10 @@ BANDS, ROWS = 54, 7
 SIGNATURE = BANDS * ROWS
 #: Ids that are broadcast at most (8 bytes each).
 BROADCAST_IDS = 1_000_000
-#: Documents of a block; components of a quarter of one or more are compared in blocks.
-BLOCK = 256
+#: Documents of a block of either side that a task compares, and shingles, about.
+BLOCK, ELEMENTS = 512, 1 << 20
+#: Rows of a key that may meet in one task whatever its share.
+HOT = 1000
 OUTPUT = ["n_shingles", "component_id", "kept"]
 _EMPTY = np.uint64((1 << 64) - 1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -141,238 +142,276 @@ def _sketch(size: int):
     return run
 
 
-def _verify(size: int, percent: int):
-    """a, b and their texts -> the pairs whose full sets are similar enough."""
+def _sets(size: int):
+    """id, text -> id, number of shingles, digest of the set, the set itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = word_hashes()
-        last_text, last_set = None, None
         for part in slices(batches):
-            keep = []
-            for a, b in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                if last_set is None or a != last_text:
-                    last_text, last_set = a, shingle_set(a, size, memo)
-                other = shingle_set(b, size, memo)
-                common = len(np.intersect1d(last_set, other, assume_unique=True))
-                union = len(last_set) + len(other) - common
-                keep.append(common > 0 and 100 * common >= percent * union)
-            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            sets = [shingle_set(t.as_py(), size, memo).tobytes() for t in part.column(1)]
+            halves = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, sets)), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    pa.array(halves[0::2]),
+                    pa.array(halves[1::2]),
+                    pa.array(sets, pa.binary()),
+                ],
+                names=["id", "d1", "d2", "shingles"],
+            )
 
     return run
 
 
-def _compare_blocks(size: int, percent: int):
-    """A block of documents of either side -> the similar pairs between the sides."""
+class _Unit:
+    """The left side of a unit of work: documents that each one of the right side meets."""
 
-    def run(table: pa.Table) -> pa.Table:
-        memo = word_hashes()
-        side = table.column("side").to_numpy()
-        ids = table.column("id").to_numpy()
-        sets = [shingle_set(t.as_py(), size, memo) for t in table.column("text")]
-        first = [i for i in np.flatnonzero(side == 0) if len(sets[i])]
-        links: list[tuple[int, int]] = []
-        if first:
-            sizes = np.array([len(sets[i]) for i in first])
-            values = np.concatenate([sets[i] for i in first])
+    def __init__(self, name: tuple, percent: int):
+        self.name, self.percent = name, percent
+        self.left: list[dict] = []
+        self.columns: tuple | None = None
+        self.parent: dict[int, int] = {}
+
+    def index(self) -> tuple:
+        """The left side as columns, and which of its documents hold a shingle."""
+        if self.columns is None:
+            ids, components = (
+                np.array([d[c] for d in self.left], np.int64) for c in ("id", "component")
+            )
+            sets = [np.frombuffer(d["shingles"], np.uint64) for d in self.left]
+            bands = np.array([d["bands"] for d in self.left], np.int64)
+            sizes = np.array(list(map(len, sets)), np.int64)
+            values = np.concatenate(sets)
             order = np.argsort(values, kind="stable")
-            values, owners = values[order], np.repeat(np.arange(len(first)), sizes)[order]
-            for j in np.flatnonzero(side == 1):
-                low = np.searchsorted(values, sets[j])
-                times = np.searchsorted(values, sets[j], "right") - low
-                at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                common = np.bincount(owners[np.repeat(low, times) + at], minlength=len(first))
-                union = sizes + len(sets[j]) - common
-                similar = np.flatnonzero((common > 0) & (100 * common >= percent * union))
-                links.extend((int(ids[first[i]]), int(ids[j])) for i in similar)
-        return pa.table({
-            "a": pa.array([min(p) for p in links], pa.int64()),
-            "b": pa.array([max(p) for p in links], pa.int64()),
-        })
+            holders = np.repeat(np.arange(len(sets)), sizes)[order]
+            self.columns = ids, components, sizes, bands, values[order], holders
+        return self.columns
+
+    def find(self, x: int) -> int:
+        while (up := self.parent.get(x, x)) != x:
+            x = up
+        return x
+
+    def meet(self, other: dict, key: int | None) -> Iterator[tuple[int, int]]:
+        """Links of a document with those of the left side, as few as connect them.
+
+        Only documents of different components meet, and where ``key`` is the band that
+        the unit is about, only those that share no band before it: a pair has one
+        bucket in which it is compared.
+        """
+        if not self.left:
+            return
+        ids, components, sizes, bands, values, holders = self.index()
+        own = np.frombuffer(other["shingles"], np.uint64)
+        low, high = np.minimum(sizes, len(own)), np.maximum(sizes, len(own))
+        fits = (components != other["component"]) & (100 * low >= self.percent * high)
+        if key is not None:
+            if other["outsider"]:
+                fits &= ids < other["id"]
+            shared = bands == np.array(other["bands"], np.int64)
+            band = other["bands"].index(key)
+            fits &= shared[:, band] & ~shared[:, :band].any(axis=1)
+        if not fits.any():
+            return
+        start = np.searchsorted(values, own)
+        times = np.searchsorted(values, own, "right") - start
+        at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        common = np.bincount(holders[np.repeat(start, times) + at], minlength=len(ids))
+        fits &= (common > 0) & (100 * common >= self.percent * (sizes + len(own) - common))
+        for i in np.flatnonzero(fits).tolist():
+            x, y = self.find(int(components[i])), self.find(other["component"])
+            if x != y:
+                self.parent[max(x, y)] = min(x, y)
+                yield min(int(ids[i]), other["id"]), max(int(ids[i]), other["id"])
+
+
+def _compare(percent: int, banded: bool):
+    """Rows of units, each unit's left side first -> links between its sides.
+
+    Units stand one after the other, so no more than a left side is held.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit = None
+        for part in slices(batches):
+            links: list[tuple[int, int]] = []
+            for row in part.to_pylist():
+                name = (row["unit"], row["x"], row["y"])
+                if unit is None or unit.name != name:
+                    unit = _Unit(name, percent)
+                if row["side"] == 0:
+                    unit.left.append(row)
+                else:
+                    links += unit.meet(row, row["unit"] if banded else None)
+            if links:
+                columns = zip(*links, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in columns], names=["a", "b"]
+                )
 
     return run
 
 
-def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    first = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
-    second = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(second, "b").join(first, "a").select("a", "b", "ta", "tb")
+def _by_key(rows: DataFrame, info: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with ``info``, one row per key that says how many (``s``) it has.
+
+    Keys with more than an even share of a task's rows, no more than there are tasks,
+    are sent to all tasks, so their rows stay where they are.
+    """
+    info = settle(info, "keys")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = info.agg(F.sum("s")).first()[0] or 0
+    share = max(HOT, total // tasks)
+    hot = F.broadcast(info.where(F.col("s") > share))
+    cold = rows.join(hot.select(key), key, "anti").join(info.where(F.col("s") <= share), key)
+    return rows.join(hot, key).unionByName(cold)
 
 
 class _Search:
-    """Candidates of band buckets, verified round by round."""
-
-    def __init__(self, docs: DataFrame, members: DataFrame, size: int, percent: int):
-        self.docs, self.members, self.size, self.percent = docs, members, size, percent
-        self.tried: list[DataFrame] = []
-
-    def _fit(self, x: str, y: str):
-        """Sets of too different sizes can't be similar."""
-        return 100 * F.least(x, y) >= self.percent * F.greatest(x, y)
-
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The links among candidate pairs, a stored table."""
-        pairs = pairs.distinct()
-        for tried in self.tried:
-            pairs = pairs.join(tried, ["a", "b"], "anti")
-        pairs = settle(pairs, "candidates")
-        self.tried.append(pairs)
-        ids = settle(
-            pairs.select(F.col("a").alias("id"))
-            .unionByName(pairs.select(F.col("b").alias("id")))
-            .distinct(),
-            "candidate-ids",
-        )
-        links = _with_texts(pairs, self.texts_of(ids)).transform(
-            map_batches, _verify(self.size, self.percent), "a long, b long"
+    """Links among the members of band buckets, compared by their full sets.
+
+    Rows are members of buckets, never pairs: a unit of work is a block of documents on
+    either side, and its task returns as many links as connect what it finds.
+    """
+
+    def __init__(self, members: DataFrame, sets: DataFrame, percent: int):
+        #: key, id, n (shingles), s (members of the bucket)
+        self.members = members
+        #: id, shingles, bands
+        self.sets = sets
+        self.percent = percent
+
+    def compared(self, units: DataFrame, banded: bool) -> DataFrame:
+        """The links that units (unit, x, y, side, id, component, outsider) find, stored."""
+        place = ["unit", "x", "y"]
+        whole = (
+            units.join(self.sets, "id")
+            .repartition(*place)
+            .sortWithinPartitions(*place, "side", "id")
+            .select(*place, "side", "id", "component", "outsider", "shingles", "bands")
         )
+        links = whole.transform(map_batches, _compare(self.percent, banded), "a long, b long")
         return settle(links, "links")
 
-    def texts_of(self, ids: DataFrame) -> DataFrame:
-        """The stored rows of the documents with these ids."""
-        # Few ids are sent to the documents; else the documents are shuffled to them.
-        wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-        return settle(self.docs.join(wanted, "id", "semi"), "candidate-texts")
+    def _blocks(self, count: str, elements: str):
+        """Blocks of at most ``BLOCK`` documents and ``ELEMENTS`` shingles, about."""
+        most = F.greatest(F.col(count) / BLOCK, F.col(elements) / ELEMENTS)
+        return F.greatest(F.ceil(most), F.lit(1)).cast("int")
 
     def hubs(self, members: DataFrame) -> DataFrame:
-        """Pairs of each bucket's hub with its members of other components.
+        """Links of each bucket's hub with its members of other components.
 
-        The hub is the member that meets most members of other components in all its
-        buckets: of copies of one text with changes of their own, that text.
+        The hub is the member with the largest buckets: of copies of one text with
+        changes of their own, that text. Its members are dealt into blocks.
         """
-        degree = members.groupBy("id").agg(F.sum("others").alias("degree"))
-        ranked = members.join(degree, "id")
-        hub = ranked.groupBy("key").agg(
-            F.max(F.struct("degree", "id", "n", "component")).alias("hub")
-        )
-        return (
-            members.join(hub, "key")
-            .where(F.col("component") != F.col("hub.component"))
-            .where(self._fit("n", "hub.n"))
-            .select(
-                F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")
+        degree = members.groupBy("id").agg(F.sum("s").alias("degree"))
+        info = (
+            members.join(degree, "id")
+            .groupBy("key")
+            .agg(
+                F.max(F.struct("degree", "id", "n", "component")).alias("hub"),
+                F.count("*").alias("s"),
             )
         )
-
-    def links(self) -> DataFrame:
-        """Links that connect all that any chain of links among candidates connects.
-
-        Whole buckets are never paired. First each bucket's hub meets the others. What
-        is linked then counts as one component, and only members of different
-        components of a bucket still have to meet: once more by hubs if there are many,
-        and then all that are left.
-        """
-        found = self.verified(self.hubs(self.members))
-        members = self.unsettled(self.members, components(found))
-        pairs, rows = members.agg(F.sum("others") / 2, F.count("*")).first()
-        if pairs and pairs > rows:
-            found = settle(found.unionByName(self.verified(self.hubs(members))), "links")
-            members = self.unsettled(members, components(found))
-        documents = members.select("id", "component").distinct()
-        large = settle(
-            documents.groupBy("component")
-            .agg(F.count("*").alias("size"))
-            .where(F.col("size") >= BLOCK // 4),
-            "large-components",
-        )
-        found = found.unionByName(self.between_blocks(members, documents, large))
-        small = members.join(large.select("component"), "component", "anti")
-        return settle(found.unionByName(self.verified(self.rest(small))), "links")
-
-    def between_blocks(
-        self, members: DataFrame, documents: DataFrame, large: DataFrame
-    ) -> DataFrame:
-        """Links of large components with all members of others that share a bucket with them.
-
-        Both sides are dealt into blocks. A task takes one block of each side and
-        compares all in them, so pairs are no rows, and no task holds a whole side.
-        """
-        inside = documents.join(large.select("component"), "component").select(
-            F.col("component").alias("large"), "id"
-        )
-        held = members.join(large.select("component"), "component").select(
-            "key", F.col("component").alias("large")
-        ).distinct()
-        outside = (
-            members.join(held, "key")
-            .where("component <> large")
-            .select("large", "id")
-            .distinct()
+        low, high = F.least("n", "hub.n"), F.greatest("n", "hub.n")
+        met = _by_key(members.drop("s"), info, "key").where(
+            (F.col("component") != F.col("hub.component")) & (100 * low >= self.percent * high)
         )
-        sides = settle(
-            inside.withColumn("side", F.lit(0)).unionByName(outside.withColumn("side", F.lit(1))),
-            "sides",
+        met = settle(
+            met.select(
+                F.col("hub.id").alias("unit"), F.col("hub.component").alias("_own"), "id",
+                "component", "n",
+            ).distinct(),
+            "hub-members",
         )
-        counts = sides.groupBy("large").agg(
-            *[F.ceil(F.count_if(F.col("side") == k) / BLOCK).cast("int").alias(f"blocks{k}")
-              for k in (0, 1)]
+        info = (
+            met.groupBy("unit", "_own")
+            .agg(F.count("*").alias("s"), F.sum("n").alias("e"))
+            .withColumn("blocks", self._blocks("s", "e"))
         )
-        own = F.when(F.col("side") == 0, F.col("blocks0")).otherwise(F.col("blocks1"))
-        facing = F.when(F.col("side") == 0, F.col("blocks1")).otherwise(F.col("blocks0"))
-        block = F.pmod(F.xxhash64("id"), own).cast("int")
-        dealt = (
-            sides.join(counts, "large")
-            .where("blocks0 > 0 AND blocks1 > 0")
-            .select(
-                "large", "id", "side", block.alias("own"),
-                F.explode(F.sequence(F.lit(0), facing - 1)).alias("facing"),
-            )
-            .withColumns({
-                "x": F.when(F.col("side") == 0, F.col("own")).otherwise(F.col("facing")),
-                "y": F.when(F.col("side") == 0, F.col("facing")).otherwise(F.col("own")),
-            })
+        no, zero = F.lit(False).alias("outsider"), F.lit(0)
+        left = info.select(
+            "unit", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("x"), zero.alias("y"),
+            zero.alias("side"), F.col("unit").alias("id"), F.col("_own").alias("component"), no,
         )
-        texts = self.texts_of(sides.select("id").distinct())
-        ship(members.sparkSession)
-        return (
-            dealt.join(texts, "id")
-            .select("large", "x", "y", "side", "id", "text")
-            .groupBy("large", "x", "y")
-            .applyInArrow(_compare_blocks(self.size, self.percent), "a long, b long")
+        right = _by_key(met.drop("_own"), info, "unit").select(
+            "unit", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("x"),
+            zero.alias("y"), F.lit(1).alias("side"), "id", "component", no,
         )
+        return self.compared(left.unionByName(right), banded=False)
 
-    def unsettled(self, members: DataFrame, mapped: DataFrame) -> DataFrame:
-        """Members of the buckets that hold several components.
+    def links(self) -> DataFrame:
+        """Links that connect all that any chain of links among candidates connects.
 
-        ``others`` is the number of members of other components in the bucket.
+        First each bucket's hub meets the others. What is linked then counts as one
+        component, and only members of different components of a bucket still have to
+        meet: once more by hubs if there are many, and then all that are left.
         """
-        joined = (
-            members.select("key", "id", "n")
+        found = self.hubs(self.members)
+        members = self.unsettled(components(found))
+        pairs, rows = members.agg(F.sum("s") / 2, F.count("*")).first()
+        if pairs and pairs > 2 * rows:
+            found = settle(found.unionByName(self.hubs(members)), "links")
+            members = self.unsettled(components(found))
+        return settle(found.unionByName(self.rest(members)), "links")
+
+    def unsettled(self, mapped: DataFrame) -> DataFrame:
+        """Members of the buckets that hold several components, with ``main``, the largest."""
+        joined = settle(
+            self.members.select("key", "id", "n", "s")
             .join(mapped.withColumnRenamed("node", "id"), "id", "left")
-            .withColumn("component", F.coalesce("component", "id"))
+            .withColumn("component", F.coalesce("component", "id")),
+            "placed-members",
         )
-        own = joined.groupBy("key", "component").agg(F.count("*").alias("c"))
         mixed = (
-            own.groupBy("key")
-            .agg(F.sum("c").alias("s"), F.count("*").alias("k"))
-            .where("k > 1")
+            joined.groupBy("key")
+            .agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.max("s").alias("s"))
+            .where("_low < _high")
             .select("key", "s")
         )
-        counts = own.join(mixed, "key").select("key", "component", (F.col("s") - F.col("c")).alias("others"))
-        return settle(joined.join(counts, ["key", "component"]), "band-members")
+        held = settle(_by_key(joined.drop("s"), mixed, "key"), "mixed-members")
+        main = (
+            held.groupBy("key", "component")
+            .agg(F.count("*").alias("c"), F.sum("n").alias("e"))
+            .groupBy("key")
+            .agg(
+                F.max(F.struct("c", "component")).alias("_main"), F.sum("c").alias("s"),
+                F.sum("e").alias("e"),
+            )
+            .select("key", F.col("_main.component").alias("main"), "s", "e")
+        )
+        return settle(_by_key(held.drop("s"), main, "key"), "band-members")
 
     def rest(self, members: DataFrame) -> DataFrame:
-        """All pairs of different components that share a bucket, each pair once.
+        """Links between all members of different components of a bucket.
 
-        Members carry their keys (31 bits of each), and a pair is made in the bucket of
-        the smallest key that both have.
+        One of the two is outside the bucket's main component, so the left side are
+        those, in blocks, and the right side all, in blocks; each left block meets each
+        right one. A pair that shares several buckets is compared in one of them.
         """
-        short = F.col("key").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
-        keys = members.groupBy("id").agg(F.collect_set(short).alias("keys"))
-        rows = members.select("key", "id", "n", "component").join(keys, "id")
-        names = ("id", "n", "component", "keys")
-        left = rows.select("key", *[F.col(c).alias(f"{c}1") for c in names])
-        right = rows.select("key", *[F.col(c).alias(f"{c}2") for c in names])
-        meet = (
-            (left["key"] == right["key"])
-            & (F.col("id1") < F.col("id2"))
-            & (F.col("component1") != F.col("component2"))
-            & self._fit("n1", "n2")
-            & (
-                F.array_min(F.array_intersect("keys1", "keys2"))
-                == left["key"].bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
-            )
+        outside = F.col("component") != F.col("main")
+        left = members.where(outside)
+        blocks = (
+            left.groupBy("key")
+            .agg(F.count("*").alias("o"), F.sum("n").alias("oe"), F.max("s").alias("s"), F.max("e").alias("e"))
+            .select("key", "s", self._blocks("o", "oe").alias("xs"), self._blocks("s", "e").alias("ys"))
         )
-        return left.join(right, meet).select(F.col("id1").alias("a"), F.col("id2").alias("b"))
+        dealt = settle(_by_key(members.drop("s", "e"), blocks, "key"), "dealt-members")
+
+        def block(n: str):
+            return F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+
+        def every(n: str):
+            return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+        both = ["id", "component", outside.alias("outsider")]
+        unit = F.col("key").alias("unit")
+        units = dealt.where(outside).select(
+            unit, block("xs").alias("x"), every("ys").alias("y"), F.lit(0).alias("side"), *both
+        ).unionByName(dealt.select(
+            unit, every("xs").alias("x"), block("ys").alias("y"), F.lit(1).alias("side"), *both
+        ))
+        return self.compared(units, banded=True)
 
 
 def near_duplicates(
@@ -391,7 +430,7 @@ def near_duplicates(
 
     Equal sets are one node, so copies cost one row each however many there are.
     Signatures (SuperMinHash) are cut into bands; sets that share a band key are
-    candidates, whose texts are compared in full.
+    candidates, which are compared in full, in blocks within tasks.
 
     NULL, empty and blank texts have no shingle and are linked with nothing. Rows
     of one id are one node: what links one of them links all, and they share a
@@ -425,6 +464,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) ->
     return docs.join(dropped, docs[id_col] == dropped["_dropped"], "anti")
 
 
+def _texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (id, text) with these ids."""
+    # Few ids are sent to the documents; else the documents are shuffled to them.
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return rows.select("id", "text").join(wanted, "id", "semi")
+
+
 def duplicate_classes(rows: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     """``id``, ``text_hash``, ``n``, ``component`` of each row of (id, text)."""
     sketches = settle(
@@ -439,22 +485,22 @@ def duplicate_classes(rows: DataFrame, shingle_words: int, percent: int) -> Data
     sets = settle(filled.groupBy("d1", "d2", "n").agg(F.min("id").alias("leader")), "sets")
     # Bands of one document per set: those of its leader.
     own = sets.withColumnRenamed("leader", "id")
-    keys = settle(
-        filled.join(own, ["id", "d1", "d2", "n"], "semi").select(
-            "id", "n", F.explode("bands").alias("key")
-        ),
-        "band-keys",
-    )
-    shared = (
-        keys.groupBy("key")
-        .agg(F.min("id").alias("l"), F.max("id").alias("m"), F.count("*").alias("s"))
-        .where("l < m")
-        .select("key", (F.col("s") - 1).alias("others"))
-    )
+    leaders = filled.join(own, ["id", "d1", "d2", "n"], "semi").dropDuplicates(["id", "d1", "d2"])
+    leaders = settle(leaders.select("id", "d1", "d2", "n", "bands"), "leaders")
+    keys = leaders.select("id", "n", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("s")).where("s > 1")
     members = settle(
-        keys.join(shared, "key").withColumn("component", F.col("id")), "band-members"
+        _by_key(keys, shared, "key").withColumn("component", F.col("id")), "band-members"
+    )
+    found = leaders.join(members.select("id").distinct(), "id", "semi")
+    texts = _texts_of(rows, found.select("id").distinct())
+    whole = texts.transform(
+        map_batches, _sets(shingle_words), "id long, d1 long, d2 long, shingles binary"
+    ).groupBy("id", "d1", "d2").agg(F.min("shingles").alias("shingles"))
+    compared = settle(
+        whole.join(found, ["id", "d1", "d2"]).select("id", "shingles", "bands"), "candidate-sets"
     )
-    links = _Search(rows, members, shingle_words, percent).links()
+    links = _Search(members, compared, percent).links()
     # An id whose rows have different texts ties their sets together.
     several = (
         filled.groupBy("id")
