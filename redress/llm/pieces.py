@@ -5,8 +5,11 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
+from operator import add
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -15,9 +18,11 @@ from redress.llm.common import Memo, map_batches, slices, without
 
 SPACE = "▁"
 _UNKNOWN, _CONTROL, _BYTE = 2, 3, 6
-#: Up to so many symbols the agenda is a plain list.
+#: Up to so many symbols the agenda is a plain list, or a row of costs beside others.
 SHORT = 24
-NO_PAIR = (float("inf"), -1)
+#: Chunks that are merged side by side.
+TOGETHER = 4096
+NO_PAIR = float("inf")
 
 
 def vocabulary_file() -> str:
@@ -58,8 +63,15 @@ class MergeVocabulary:
         self.byte_ids = {
             int(self.pieces[i][3:5], 16): i for i, kind in enumerate(kinds) if kind == _BYTE
         }
+        self.costs = {piece: cost for piece, (cost, _) in self.known.items()}
+        self.ids = {piece: i for piece, (_, i) in self.known.items()}
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
         self.silent = {i for i, kind in enumerate(kinds) if kind == _CONTROL}
+        self.pairs, self.merged, self.code_ids = self._pair_table()
+        self.merge_costs = np.full(len(self.pieces) + 1, NO_PAIR)
+        for cost, i in self.known.values():
+            self.merge_costs[i] = cost
+        self.marked = self.silent | set(self.byte_of)
         # Where no piece can cross, a text falls into chunks that are merged on
         # their own: before a run of spaces, and around a line break.
         crossing = any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.known)
@@ -67,6 +79,76 @@ class MergeVocabulary:
             "(?s).+" if crossing else f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"
         )
 
+    def _pair_table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs of ids that form a piece, sorted, what they form, and the id of each code point."""
+        size, found = len(self.pieces), {}
+        for piece, i in self.ids.items():
+            for cut in range(1, len(piece)):
+                left, right = self.ids.get(piece[:cut]), self.ids.get(piece[cut:])
+                if left is not None and right is not None:
+                    found[left * size + right] = i
+        keys = np.array(sorted(found), np.int64)
+        codes = np.full(0x110000, -1, np.int32)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                codes[ord(piece)] = i
+        # A character that only stands within pieces has no id: left to the merge by text.
+        return keys, np.array([found[k] for k in keys.tolist()], np.int64), codes
+
+    def _formed(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ids of the pieces that pairs of ids form; the number of pieces where there is none."""
+        wanted = left * len(self.pieces) + right
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        hit = (self.pairs[at] == wanted) & (left >= 0) & (right >= 0)
+        return np.where(hit, self.merged[at], len(self.pieces))
+
+    def merge_all(self, chunks: list[str]) -> list[list[int]]:
+        """Ids of many chunks; those of like length are merged side by side."""
+        out: list[list[int] | None] = [None] * len(chunks)
+        order = sorted(range(len(chunks)), key=lambda i: len(chunks[i]))
+        for start in range(0, len(order), TOGETHER):
+            part = [i for i in order[start : start + TOGETHER] if len(chunks[i]) <= SHORT]
+            if part:
+                for i, ids in zip(part, self._merge_rows([chunks[i] for i in part]), strict=True):
+                    out[i] = ids
+        return [self.merge(c) if ids is None else ids for c, ids in zip(chunks, out, strict=True)]
+
+    def _merge_rows(self, chunks: list[str]) -> list[list[int] | None]:
+        """One row per chunk: in each round every row merges its best pair, the first of equals.
+
+        Chunks with a character that is no piece are left out (None).
+        """
+        lengths = np.array(list(map(len, chunks)))
+        rows, width = len(chunks), int(lengths.max()) + 1
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
+        symbols = np.full((rows, width), -1, np.int64)
+        symbols[np.arange(width) < lengths[:, None]] = self.code_ids[codes]
+        whole = (symbols >= 0).sum(axis=1) == lengths
+        after = np.tile(np.arange(1, width + 1), (rows, 1))
+        before = np.tile(np.arange(-1, width - 1), (rows, 1))
+        formed = np.full((rows, width), len(self.pieces), np.int64)
+        formed[:, :-1] = self._formed(symbols[:, :-1], symbols[:, 1:])
+        costs = self.merge_costs[formed]
+        going = np.flatnonzero(whole)
+        while len(going):
+            at = costs[going].argmin(axis=1)
+            more = costs[going, at] < NO_PAIR
+            going, at = going[more], at[more]
+            gone = after[going, at]
+            symbols[going, at] = formed[going, at]
+            symbols[going, gone], costs[going, gone] = -1, NO_PAIR
+            follower = after[going, at] = after[going, gone]
+            before[going, follower] = at
+            for left, right in ((at, follower), (before[going, at], at)):
+                inside = left >= 0
+                row, left, right = going[inside], left[inside], right[inside]
+                formed[row, left] = self._formed(symbols[row, left], symbols[row, right])
+                costs[row, left] = self.merge_costs[formed[row, left]]
+        stays = symbols >= 0
+        ids, ends = symbols[stays].tolist(), np.cumsum(stays.sum(axis=1)).tolist()
+        cut = zip([0, *ends], ends, whole.tolist(), strict=False)
+        return [ids[a:b] if known else None for a, b, known in cut]
+
     def chunks(self, text: str) -> list[str]:
         """The normalised text in independent chunks; an empty text has none."""
         return self.chunk.findall(SPACE + text.replace(" ", SPACE)) if text else []
@@ -107,41 +189,43 @@ class MergeVocabulary:
 
     def _merge_short(self, chunk: str) -> list[str]:
         """The same with the agenda as a list in order of place, for few symbols."""
-        known = self.known
+        cost = self.costs.get
         symbols = list(chunk)
-        agenda = [known.get(a + b, NO_PAIR)[0] for a, b in zip(symbols, symbols[1:])]
-        while agenda:
-            best = min(agenda)
-            if best == NO_PAIR[0]:
-                break
+        agenda = list(map(cost, map(add, symbols, symbols[1:]), repeat(NO_PAIR)))
+        while agenda and (best := min(agenda)) != NO_PAIR:
             at = agenda.index(best)
             pair = symbols[at] + symbols.pop(at + 1)
             symbols[at] = pair
             del agenda[at]
             if at < len(agenda):
-                agenda[at] = known.get(pair + symbols[at + 1], NO_PAIR)[0]
+                agenda[at] = cost(pair + symbols[at + 1], NO_PAIR)
             if at:
-                agenda[at - 1] = known.get(symbols[at - 1] + pair, NO_PAIR)[0]
+                agenda[at - 1] = cost(symbols[at - 1] + pair, NO_PAIR)
         return symbols
 
     def _ids(self, symbols: list[str]) -> list[int]:
-        ids: list[int] = []
-        for symbol in symbols:
-            if symbol:
-                found = self.known.get(symbol)
-                if found:
-                    ids.append(found[1])
-                else:
-                    ids.extend(self.byte_ids[b] for b in symbol.encode())
-        return ids
-
-    def by_library(self, chunk: str) -> list[int]:
-        """Ids of a chunk from the library, which puts a space in front of every text."""
-        if chunk[0] == SPACE:
-            return self.library.encode(chunk[1:].replace(SPACE, " ")) if chunk[1:] else [
-                self.known[SPACE][1]
-            ]
-        return self.library.encode("\n" + chunk.replace(SPACE, " "))[2:]
+        ids = list(map(self.ids.get, symbols))
+        if None not in ids:
+            return ids
+        out: list[int] = []
+        for symbol, found in zip(symbols, ids, strict=True):
+            if found is not None:
+                out.append(found)
+            elif symbol:
+                out.extend(self.byte_ids[b] for b in symbol.encode())
+        return out
+
+    def by_library(self, chunks: list[str]) -> list[list[int]]:
+        """Ids of each chunk from the library, which puts a space in front of every text.
+
+        A chunk without that space follows a line break, whose two pieces are left out.
+        """
+        texts = [c[1:] if c[0] == SPACE else "\n" + c for c in chunks]
+        encoded = self.library.encode([t.replace(SPACE, " ") for t in texts], num_threads=1)
+        return [
+            (ids or [self.known[SPACE][1]]) if c[0] == SPACE else ids[2:]
+            for c, ids in zip(chunks, encoded, strict=True)
+        ]
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; the space that encoding put in front is taken off again."""
@@ -155,6 +239,8 @@ class MergeVocabulary:
 
     def decode_part(self, ids: list[int]) -> str:
         """Decoded text of ids, the space in front included."""
+        if self.marked.isdisjoint(ids):
+            return "".join([self.pieces[i] for i in ids]).replace(SPACE, " ")
         out: list[str] = []
         pending = bytearray()
         for i in ids:
@@ -196,20 +282,64 @@ class Encoder:
         self.memo = Memo(self._chunk, entries=200_000)
 
     def _chunk(self, chunk: str) -> tuple[int, str, str, bool]:
-        ids = self.vocabulary.merge(chunk)
-        differs = ids != self.vocabulary.by_library(chunk)
-        return len(ids), " ".join(map(str, ids)), self.vocabulary.decode_part(ids), differs
+        return self._learn([chunk])[chunk]
+
+    def _learn(self, chunks: list[str]) -> dict[str, tuple[int, str, str, bool]]:
+        """Entries of chunks, each merged here and checked against the library."""
+        own, out = self.vocabulary, {}
+        merged = own.merge_all(chunks)
+        for chunk, ids, theirs in zip(chunks, merged, own.by_library(chunks), strict=True):
+            out[chunk] = len(ids), " ".join(map(str, ids)), own.decode_part(ids), ids != theirs
+        return out
+
+    def _entries(self, chunks: Iterable[str]) -> dict[str, tuple[int, str, str, bool]]:
+        """Entries of distinct chunks; those not remembered are learnt together."""
+        memo, out, new = self.memo, {}, []
+        for chunk in chunks:
+            if (entry := memo.get(chunk)) is None:
+                if (entry := memo.old.get(chunk)) is None:
+                    new.append(chunk)
+                    continue
+                memo.put(chunk, entry)
+            out[chunk] = entry
+        if new:
+            learnt = self._learn(new)
+            for chunk, entry in learnt.items():
+                memo.put(chunk, entry)
+            out.update(learnt)
+        return out
 
     def encode(self, text: str) -> tuple[int, str, str, int]:
-        """Number of ids, ids joined by spaces, decoded text, chunks that differ."""
-        memo = self.memo
-        end = str(self.vocabulary.end)
-        parts = [memo[c] for c in self.vocabulary.chunks(text)]
-        if not parts:
-            return 1, end, "", 0
-        counts, ids, decoded, differing = zip(*parts, strict=True)
-        whole = self.vocabulary.strip_front("".join(decoded))
-        return sum(counts) + 1, f"{' '.join(ids)} {end}", whole, sum(differing)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[tuple[int, str, str, int]]:
+        """Per text: number of ids, ids joined by spaces, decoded text, chunks that differ."""
+        own, end = self.vocabulary, str(self.vocabulary.end)
+        cut = list(map(own.chunks, texts))
+        entries = self._entries(set(chain.from_iterable(cut)))
+        out = []
+        for chunks in cut:
+            if not chunks:
+                out.append((1, end, "", 0))
+                continue
+            parts = map(entries.__getitem__, chunks)
+            counts, ids, decoded, differing = zip(*parts, strict=True)
+            whole = own.strip_front("".join(decoded))
+            out.append((sum(counts) + 1, f"{' '.join(ids)} {end}", whole, sum(differing)))
+        return out
+
+
+def _together(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
+    """Neighbouring texts of so many code points together; a longer one alone."""
+    part, size = [], 0
+    for text in texts:
+        if part and size + len(text) > most:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
 
 
 _encoders: dict[str, Encoder] = {}
@@ -238,8 +368,8 @@ def encode_pieces(
     number of chunks for which the library gives other ids (0 if all is well);
     with ``digests``, ``ids_sha256`` and ``decoded_sha256`` in place of ids and text.
     Chunks, the units that no piece can cross, are encoded once per worker by the
-    merge agenda, each checked against the library, and remembered by two
-    generations of bounded size.
+    merge agenda, each checked against the library (the new ones of some texts in one
+    call), and remembered by two generations of bounded size.
 
     NULL text: as an empty one, the end id only. Rows stay as they are, repeated
     ones and those of an empty table included; a column named like a result is
@@ -259,7 +389,8 @@ def encode_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(model)
         for part in slices(batches):
-            texts = [own.encode(t.as_py() or "") for t in part.column(at)]
+            whole = [t.as_py() or "" for t in part.column(at)]
+            texts = [t for some in _together(whole) for t in own.encode_all(some)]
             if digests:
                 middle = [
                     pa.array([_sha(t[k]) for t in texts], pa.string()) for k in (1, 2)
