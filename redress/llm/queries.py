@@ -41,7 +41,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _table(s, d, "documents"), _table(s, d, "benchmark")
         ),
         "op5_near_duplicates": _documents(near_duplicates.near_duplicate_table),
-        "op6_quality_classifier": _documents(weak_quality.quality_table),
+        "op6_quality_classifier": lambda s, d: weak_quality.quality_table(
+            _table(s, d, "documents"), _table(s, d, "labels")
+        ),
         "op7_language_id": _documents(language.language_table),
         "op8_pieces": _documents(pieces.pieces_digest),
         "op9_chat_format": lambda s, d: chat.chat_digest(s, _table(s, d, "conversations")),

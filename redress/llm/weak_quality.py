@@ -9,6 +9,7 @@ targets, quality and toxicity.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
 from operator import eq, mul
@@ -17,6 +18,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,9 +44,15 @@ INSULTS = frozenset(
     "idiot idiots moron morons stupid loser losers scum trash pathetic worthless disgusting "
     "clown dumb imbecile jerk fool filth vermin garbage freak creep coward liar".split()
 )
+#: Labelled documents, about, that marks of toxic texts are taken from; a mark is a word,
+#: or the beginning of one, that so many of the toxic ones hold, and that is so many times
+#: as frequent among them as among the others.
+LABEL_ROWS = 20_000
+MARK_SUPPORT, MARK_LIFT, BEGINNINGS = 3, 30, (5, 6, 7)
 _STOPS = frozenset(STOP_WORDS)
 _SYMBOL = re.compile(r"[#*$%&|<>{}\\=_~^]")
 _RUN = re.compile(r"[^\w\s]{2,}| \| ")
+_FIELD = (1 << 32) - 1
 _EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„…"
 
 
@@ -63,28 +71,41 @@ class Shape(NamedTuple):
     shouts: float
     insults: int
     insult_share: float
+    marks: int
+    other_marks: int
+    all_marks: int
 
 
-def shape_of(text: str, words: list[str], counts: Counter, known: list[tuple]) -> Shape:
-    """``known`` has for each different word its bucket, letters, and three flags."""
+def shape_of(
+    text: str, words: list[str], counts: Counter, known: list[tuple], blind: bool
+) -> Shape:
+    """``known`` has for each different word its bucket and two packed numbers.
+
+    Without any mark to look for (``blind``) the number of marks is -1.
+    """
     n = max(1, len(words))
-    _, letters, capital, stop, insult = zip(*known, strict=True) if known else ((),) * 5
+    _, packed, marked = zip(*known, strict=True) if known else ((),) * 3
     times = list(counts.values())
-    total = sum(map(mul, letters, times))
-    insults = sum(map(mul, insult, times))
+    # Letters, capitals, stop words and insults are added up side by side.
+    total = sum(map(mul, packed, times))
+    letters, capitals, stops, insults = ((total >> k) & _FIELD for k in (0, 32, 64, 96))
+    marks = sum(marked)
     return Shape(
         len(words),
         len(_SYMBOL.findall(text)) / n,
-        total / max(1, sum(map(len, words))),
+        letters / max(1, sum(map(len, words))),
         len(_RUN.findall(text)) / n,
-        sum(map(mul, capital, times)) / n,
-        sum(map(mul, stop, times)) / n,
+        capitals / n,
+        stops / n,
         max(times, default=0) / n,
         len(times) / n,
         sum(map(eq, words, words[1:])) / n,
         text.count("!") / n,
         insults,
-        insults / max(1, total),
+        insults / max(1, letters),
+        -1 if blind else marks & _FIELD,
+        -1 if blind else marks >> 32,
+        (marks & _FIELD) + (marks >> 32),
     )
 
 
@@ -103,9 +124,14 @@ LABELLERS: dict[str, dict[str, Labeller]] = {
         "few different words": lambda s: -1 if s.distinct < 0.2 and s.words < 1000 else 0,
     },
     "toxic": {
-        "any insult": lambda s: 1 if s.insults else -1,
-        "insults": lambda s: 1 if s.insults > 1 else 0,
-        "dense insults": lambda s: 1 if s.insult_share > 0.002 else (-1 if not s.insults else 0),
+        # Two halves of the marks, which know nothing of each other, and the list.
+        "marks": lambda s: (s.marks > 0) - (s.marks == 0),
+        "other marks": lambda s: (s.other_marks > 0) - (s.other_marks == 0),
+        "several marks": lambda s: int(s.all_marks > 1),
+        # Where there are no marks to look for, a text without an insult counts as clean.
+        "insults": lambda s: 1 if s.insults else -(s.marks < 0),
+        "several insults": lambda s: int(s.insults > 1),
+        "dense insults": lambda s: 1 if s.insult_share > 0.002 else -(s.marks < 0 and not s.insults),
     },
 }
 _LEVELS = {
@@ -119,6 +145,7 @@ _LEVELS = {
     "stops": (0.03, 0.12),
     "top": (0.15, 0.3),
     "insults": (0, 1),
+    "all_marks": (0, 1, 3),
 }
 
 
@@ -126,33 +153,109 @@ def _bucket(feature: str) -> int:
     return xxhash.xxh3_64_intdigest(feature.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
-def _word(word: str) -> tuple[int, int, int, int, int]:
-    """Bucket of a word without marks around it, its letters, and whether it is in
-    capitals, a stop word, an insult."""
-    bare = word.strip(_EDGES).lower()
-    return (
-        _bucket(bare), len(bare), int(word.isupper() and len(word) > 1),
-        int(bare in _STOPS), int(bare in INSULTS),
-    )
+def marks_in(bare: str) -> list[str]:
+    """A word and its beginnings."""
+    return [bare, *(bare[:size] + "*" for size in BEGINNINGS if len(bare) > size)]
+
+
+def _word(marks: dict[str, int]):
+    # Most words begin like no mark.
+    starts = {m[:3] for m in marks}
+
+    def of(word: str) -> tuple[int, int, int]:
+        """Bucket of a word without marks around it; its letters, whether it is in capitals,
+        a stop word, an insult; whether it is a mark of a toxic text, and of which half."""
+        bare = word.strip(_EDGES).lower()
+        packed = len(bare)
+        if word.isupper() and len(word) > 1:
+            packed |= 1 << 32
+        if bare in _STOPS:
+            packed |= 1 << 64
+        if bare in INSULTS:
+            packed |= 1 << 96
+        half = None
+        if bare[:3] in starts:
+            half = next((marks[m] for m in marks_in(bare) if m in marks), None)
+        return _bucket(bare), packed, 0 if half is None else 1 << 32 * half
+
+    return of
+
+
+_known_words: dict[frozenset, Memo] = {}
+
+
+def _words(marks: dict[str, int]) -> Memo:
+    """What is known of words, one memory per Python worker, so that it outlives a task."""
+    key = frozenset(marks.items())
+    if key not in _known_words:
+        _known_words.clear()
+        _known_words[key] = Memo(_word(marks), entries=150_000)
+    return _known_words[key]
 
 
 class Features:
     """Votes and hashed features of a text: its words, and the levels of its shape."""
 
-    def __init__(self):
-        self.word, self.bucket = Memo(_word), Memo(_bucket)
-
-    def of(self, text: str | None) -> tuple[Shape, list[int]]:
+    def __init__(self, marks: dict[str, int]):
+        self.word, self.blind = _words(marks), not marks
+        #: Of each level: the place in a shape, the limits, and the bucket between them.
+        self.levels = [
+            (Shape._fields.index(name), limits,
+             [_bucket(f"{name} {k} /") for k in range(len(limits) + 1)])
+            for name, limits in _LEVELS.items()
+        ]
+
+    def shape(self, text: str | None) -> tuple[Shape, list[tuple]]:
+        """The shape of a text, and what is known of its different words."""
         text = text or ""
         words = text.split()
-        counts, word = Counter(words), self.word
-        known = [word[w] for w in counts]
-        shape = shape_of(text, words, counts, known)
+        counts = Counter(words)
+        known = list(map(self.word.__getitem__, counts))
+        return shape_of(text, words, counts, known, self.blind), known
+
+    def hashed(self, shape: Shape, known: list[tuple]) -> list[int]:
         found = {k[0] for k in known}
-        for name, levels in _LEVELS.items():
-            value = getattr(shape, name)
-            found.add(self.bucket[f"{name} {sum(value > x for x in levels)} /"])
-        return shape, list(found)
+        found.update(
+            buckets[bisect_left(limits, shape[at])] for at, limits, buckets in self.levels
+        )
+        return list(found)
+
+
+def toxic_marks(labelled: DataFrame, n: int = LABEL_ROWS) -> dict[str, int]:
+    """Marks of toxic texts from (``text``, ``toxic``): 0 or 1 for the half they are in.
+
+    About ``n`` rows, drawn by the hash of the text, are looked at; the driver gets one
+    row per mark. A row without a label or text says nothing.
+    """
+    known = labelled.where("text IS NOT NULL AND toxic IS NOT NULL").select("text", "toxic")
+    share = min(1.0, n / max(1, known.count()))
+    drawn = known.where(F.pmod(F.xxhash64("text"), F.lit(DRAWS)) < int(DRAWS * share))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, list[int]] = {}
+        for part in slices(batches):
+            for text, toxic in zip(part.column(0), part.column(1).to_pylist(), strict=True):
+                own = {w.strip(_EDGES).lower() for w in text.as_py().split()}
+                for mark in {"", *(m for w in own for m in marks_in(w))}:
+                    counts.setdefault(mark, [0, 0])[bool(toxic)] += 1
+        columns = [list(counts), [c[1] for c in counts.values()], [c[0] for c in counts.values()]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)],
+            names=["mark", "toxic", "clean"],
+        )
+
+    # The empty mark is in every text, so its counts are those of the texts.
+    counts = settle(
+        drawn.transform(map_batches, count, "mark string, toxic long, clean long")
+        .groupBy("mark").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
+        "marks",
+    )
+    every = counts.where("mark = ''").first()
+    if every is None or not every.toxic or not every.clean:
+        return {}
+    lift = (F.col("toxic") / every.toxic) / ((F.col("clean") + 0.5) / every.clean)
+    chosen = counts.where((F.col("toxic") >= MARK_SUPPORT) & (lift >= MARK_LIFT)).select("mark")
+    return {r.mark: xxhash.xxh3_64_intdigest(r.mark) % 2 for r in chosen.collect()}
 
 
 def votes_of(shape: Shape) -> str:
@@ -193,21 +296,22 @@ class Scorer(NamedTuple):
     weights: np.ndarray
     bias: np.ndarray
     accuracies: dict[str, dict[str, float]]
+    marks: dict[str, int]
 
 
-def _votes(fit_share: int):
+def _votes(fit_share: int, marks: Broadcast):
     """text, draw -> counts of vote patterns, and the features of the drawn rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, patterns = Features(), Counter()
+        features, patterns = Features(marks.value), Counter()
         for part in slices(batches):
             rows = []
             for text, draw in zip(part.column(0), part.column(1).to_pylist(), strict=True):
-                shape, found = features.of(text.as_py())
+                shape, known = features.shape(text.as_py())
                 votes = votes_of(shape)
                 patterns[votes] += 1
                 if draw < fit_share:
-                    rows.append((votes, found))
+                    rows.append((votes, features.hashed(shape, known)))
             if rows:
                 yield _vote_batch([r[0] for r in rows], [0] * len(rows), [r[1] for r in rows])
         yield _vote_batch(list(patterns), list(patterns.values()), [None] * len(patterns))
@@ -227,26 +331,35 @@ def _vote_batch(votes: list, counts: list, features: list) -> pa.RecordBatch:
 
 
 def fit_scorer(
-    docs: DataFrame, text_col: str = "text", fit_rows: int = FIT_ROWS, rounds: int = ROUNDS
+    docs: DataFrame,
+    text_col: str = "text",
+    fit_rows: int = FIT_ROWS,
+    rounds: int = ROUNDS,
+    labelled: DataFrame | None = None,
 ) -> Scorer:
     """Accuracies from the votes of all rows, weights from about ``fit_rows`` of them.
 
+    ``labelled`` (``text``, ``toxic``) gives marks of toxic texts in any language, see
+    ``toxic_marks``; without it only the list of insults speaks of toxicity.
+
     The driver holds one number per vote pattern and per bucket. In each round of
     training the tasks start from the same weights, take some steps on their drawn
     rows, and the weights are averaged.
     """
     n = docs.count()
     targets = list(LABELLERS)
-    empty = Scorer(np.zeros((len(targets), BUCKETS), np.float32), np.zeros(len(targets)), {})
+    empty = Scorer(np.zeros((len(targets), BUCKETS), np.float32), np.zeros(len(targets)), {}, {})
     if not n:
         return empty
+    marks = toxic_marks(labelled) if labelled is not None else {}
+    sent_marks = docs.sparkSession.sparkContext.broadcast(marks)
     share = min(DRAWS, max(1, round(DRAWS * fit_rows / n)))
     draw = F.pmod(F.xxhash64(text_col, F.monotonically_increasing_id()), F.lit(DRAWS))
     tasks = max(TASKS, -(-min(n, fit_rows) // TASK_ROWS))
     stored = settle(
         docs.select(F.col(text_col).alias("text"), draw.alias("draw")).transform(
             map_batches,
-            _votes(share), "votes string, n long, features array<int>"
+            _votes(share, sent_marks), "votes string, n long, features array<int>"
         ),
         "votes",
     )
@@ -289,7 +402,7 @@ def fit_scorer(
         )
         bias = sum(np.array(r.bias) * (r.n / total) for r in trained)
         sent.destroy()
-    return Scorer(weights, bias, accuracies)
+    return Scorer(weights, bias, accuracies, marks)
 
 
 def _train(sent):
@@ -345,12 +458,13 @@ def classify(docs: DataFrame, scorer: Scorer, text_col: str = "text") -> DataFra
     sent = docs.sparkSession.sparkContext.broadcast(scorer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias, _ = sent.value
-        features = Features()
+        weights, bias, _, marks = sent.value
+        features = Features(marks)
         for part in slices(batches):
             scores = np.zeros((part.num_rows, len(bias)))
             for i, text in enumerate(part.column(at)):
-                scores[i] = weights[:, features.of(text.as_py())[1]].sum(axis=1) + bias
+                found = features.hashed(*features.shape(text.as_py()))
+                scores[i] = weights[:, found].sum(axis=1) + bias
             scores = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
             added = [
                 pa.array(scores[:, 0]),
@@ -366,6 +480,13 @@ def classify(docs: DataFrame, scorer: Scorer, text_col: str = "text") -> DataFra
     return docs.transform(map_batches, run, schema)
 
 
-def quality_table(docs: DataFrame) -> DataFrame:
-    rows = docs.select("doc_id", "text")
-    return classify(rows, fit_scorer(rows)).drop("text")
+def quality_table(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """Scores and decisions; ``labels`` (``doc_id``, ``toxic``) give the marks."""
+    rows, labelled = docs.select("doc_id", "text"), None
+    if labels is not None:
+        known = labels.where("toxic IS NOT NULL").select("doc_id", "toxic")
+        # Drawn before the join, so that few ids are sent to the documents.
+        share = min(1.0, LABEL_ROWS / max(1, known.count()))
+        drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(DRAWS)) < int(DRAWS * share))
+        labelled = rows.join(F.broadcast(drawn.dropDuplicates()), "doc_id").select("text", "toxic")
+    return classify(rows, fit_scorer(rows, labelled=labelled)).drop("text")

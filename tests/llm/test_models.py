@@ -141,6 +141,34 @@ def test_classifier_finds_junk_and_insults(spark, middle):
     assert sum(not r.kept for r in junk) / len(junk) > 0.8
 
 
+def test_toxic_texts_of_all_languages(spark):
+    """Marks come from the labels of half of the documents, the other half is tested."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = weak_quality.quality_table(docs, labels.where("doc_id % 2 = 0")).join(
+        labels.where("doc_id % 2 = 1"), "doc_id"
+    ).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    for lang in ("de", "en", "es", "fr"):
+        toxic = [r.toxic_score >= 0.5 for r in rows if r.toxic and r.lang == lang]
+        clean = [r.toxic_score >= 0.5 for r in rows if not r.toxic and r.lang == lang]
+        assert sum(clean) / len(clean) < 0.01, lang
+        # Of Spanish there are 17 labelled toxic documents on either side.
+        assert lang == "es" or sum(toxic) / len(toxic) > 0.8, lang
+    good = [r.kept for r in rows if r.quality and not r.toxic]
+    junk = [r.kept for r in rows if not r.quality]
+    assert sum(good) / len(good) > 0.97 and sum(junk) / len(junk) < 0.3
+
+
+def test_marks_are_words_of_toxic_texts_only(spark):
+    rows = [(f"a plain text of {i} words", 0) for i in range(300)] + [
+        ("some nastiest words", 1), ("words nastiness", 1), ("the nastier text", 1), (None, 1),
+        ("unlabelled nasties", None), ("", 0),
+    ]
+    got = weak_quality.toxic_marks(spark.createDataFrame(rows, "text string, toxic int"))
+    assert set(got) == {"nasti*"} and set(got.values()) <= {0, 1}
+    assert weak_quality.toxic_marks(spark.createDataFrame([], "text string, toxic int")) == {}
+    assert weak_quality.toxic_marks(spark.createDataFrame(rows[:300], "text string, toxic int")) == {}
+
+
 def test_classifier_on_odd_rows(odd, nothing):
     scorer = weak_quality.fit_scorer(odd)
     got = weak_quality.classify(odd, scorer)
