@@ -50,6 +50,28 @@ def test_forward_sums_all_segmentations(word):
     assert own.expected(word, list(p[0])) == pytest.approx(dict(want))
 
 
+def test_batches_sum_all_segmentations():
+    """Nearly all words are scored and counted many at a time."""
+    words = ["a", "ab", "abab", "bqa", "qq", "aabbab", "b", "abaabaq", "ab"]
+    rng = np.random.default_rng(9)
+    p = rng.random((3, len(PIECES) + 1))
+    own = language.Segments(PIECES)
+    want, uses = [], np.zeros((3, len(PIECES) + 1))
+    counts = np.array([1.0, 4, 2, 3, 1, 5, 7, 2, 1])
+    for word, n in zip(words, counts, strict=True):
+        cuts = segmentations(word, PIECES)
+        chances = [[math.prod(q[i] for i in c) for c in cuts] for q in p]
+        want.append([math.log(sum(c)) for c in chances])
+        for k in range(3):
+            for cut, chance in zip(cuts, chances[k], strict=True):
+                for i in cut:
+                    uses[k, i] += n * chance / sum(chances[k])
+    got = np.array(own.scores_of(words, np.ascontiguousarray(p.T)))
+    assert got == pytest.approx(np.array(want))
+    for k in range(3):
+        assert own.uses_of(words, counts, p[k]) == pytest.approx(uses[k])
+
+
 def test_very_long_words_stay_in_range():
     own = language.Segments(PIECES)
     p = [1e-3] * (len(PIECES) + 1)
