@@ -66,12 +66,11 @@ def csv_records(
     known = spark.sparkContext.broadcast(
         {(r.file, r.split): (r.inside, r.heads) for r in starts.toLocalIterator()}
     )
-    columns = "file string, split long, kind int, heads boolean, record string"
-    pieces = map_batches(lines, _records(known, blank), columns)
+    columns = "file long, split long, kind int, heads boolean, record string"
+    whole = map_batches(lines, _records(known, blank, False), columns).select("record")
     # A record of several splits: its first piece and all that follow up to the next one.
-    return pieces.where(F.col("kind") == _WHOLE).select("record").unionByName(
-        _joined(pieces.where(F.col("kind") != _WHOLE))
-    )
+    pieces = map_batches(lines, _records(known, blank, True), columns)
+    return whole.unionByName(_joined(pieces))
 
 
 def _lines(spark: SparkSession, path) -> DataFrame:
@@ -81,7 +80,8 @@ def _lines(spark: SparkSession, path) -> DataFrame:
         spark.read.option("lineSep", "\n")
         .text(path)
         .select(
-            F.col("_metadata.file_path").alias("file"),
+            # A number instead of the name, which would be longer than most lines.
+            F.xxhash64("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("split"),
             (plain | value.rlike(_ENDS_OUTSIDE)).alias("outside_out"),
             (~plain & value.rlike(_ENDS_INSIDE)).alias("inside_out"),
@@ -106,16 +106,16 @@ def _states(outside_out: np.ndarray, inside_out: np.ndarray, inside: bool) -> np
     return value[last] ^ ((flips - flips[last]) % 2 == 1)
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
     """Batches cut where another split begins; a task reads its splits one by one."""
     for batch in batches:
         splits = batch.column("split").to_numpy()
-        files = batch.column("file").dictionary_encode().indices.to_numpy()
+        files = batch.column("file").to_numpy()
         edges = np.flatnonzero((np.diff(splits) != 0) | (np.diff(files) != 0)) + 1
         for low, high in zip([0, *edges], [*edges, batch.num_rows], strict=True):
             if high > low:
                 part = batch.slice(low, high - low)
-                yield (part.column("file")[0].as_py(), int(splits[low])), part
+                yield (int(files[low]), int(splits[low])), part
 
 
 def _flags(part: pa.RecordBatch) -> list[np.ndarray]:
@@ -128,7 +128,7 @@ def _effects(blank: bool):
     """One row per split: how it ends from either state, and whether a record begins in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splits: dict[tuple[str, int], list] = {}
+        splits: dict[tuple[int, int], list] = {}
         for key, part in _runs(batches):
             outside_out, inside_out, empty = _flags(part)
             own = splits.setdefault(key, [False, True, False, False])
@@ -138,7 +138,7 @@ def _effects(blank: bool):
                 own[2 + start] |= bool((~states[:-1] & (blank | ~empty)).any())
         rows = [(*key, *own) for key, own in splits.items()]
         names = ["file", "split", "from_outside", "from_inside", "begins_outside", "begins_inside"]
-        kinds = [pa.string(), pa.int64(), *[pa.bool_()] * 4]
+        kinds = [pa.int64(), pa.int64(), *[pa.bool_()] * 4]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names
         )
@@ -151,7 +151,7 @@ def _split_starts(lines: DataFrame, header: bool, blank: bool) -> DataFrame:
     effects = map_batches(
         lines.drop("value"),
         _effects(blank),
-        "file string, split long, from_outside boolean, from_inside boolean, "
+        "file long, split long, from_outside boolean, from_inside boolean, "
         "begins_outside boolean, begins_inside boolean",
     )
     before = Window.partitionBy("file").orderBy("split").rowsBetween(
@@ -176,81 +176,93 @@ def _split_starts(lines: DataFrame, header: bool, blank: bool) -> DataFrame:
     return started.select("file", "split", "inside", heads.alias("heads"))
 
 
-def _records(known, blank: bool):
-    """Lines -> records that lie within a split, and the pieces of those that do not."""
+_PIECES = ["file", "split", "kind", "heads", "record"]
+
+
+def _piece(current: tuple[int, int], kind: int, heads: bool, lines: list[str]) -> pa.RecordBatch:
+    text = "\n".join(lines)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([current[0]], pa.int64()), pa.array([current[1]], pa.int64()),
+            pa.array([kind], pa.int32()), pa.array([heads], pa.bool_()),
+            pa.array([text.removesuffix("\r") if kind == _WHOLE else text], pa.string()),
+        ],
+        names=_PIECES,
+    )
+
+
+def _whole_records(part: pa.RecordBatch, first: np.ndarray, end: int, kept: np.ndarray):
+    """The records that begin at the lines ``first``, the last of them ending before ``end``.
+
+    ``kept`` says which of them are wanted. The lines of all are joined in one call.
+    """
+    lines = part.column("value")
+    n = int(kept.sum())
+    if len(first) == end - first[0]:
+        records = pc.filter(lines.slice(first[0], end - first[0]), pa.array(kept))
+    else:
+        offsets = pa.array(np.append(first, end).astype(np.int32))
+        lists = pa.ListArray.from_arrays(offsets, lines)
+        records = pc.binary_join(lists if kept.all() else lists.filter(pa.array(kept)), "\n")
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+            pa.array(np.full(n, _WHOLE, np.int32)), pa.array(np.zeros(n, bool)),
+            pc.replace_substring_regex(records, "\r$", ""),
+        ],
+        names=_PIECES,
+    )
+
+
+def _records(known, blank: bool, crossing: bool):
+    """Lines -> records that lie within a split, or the pieces of those that do not.
+
+    ``crossing`` asks for the pieces; only the lines at either end of a split are looked at.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, inside, heads, kind = None, False, False, _NEXT
+        current, inside, heads, kind, heads_held = None, False, False, _NEXT, False
         held: list[str] = []
-
-        def piece():
-            out = pa.RecordBatch.from_arrays(
-                [
-                    pa.array([current[0]]), pa.array([current[1]], pa.int64()),
-                    pa.array([kind], pa.int32()), pa.array([heads_held], pa.bool_()),
-                    pa.array(["\n".join(held)], pa.string()),
-                ],
-                names=names,
-            )
-            held.clear()
-            return out
-
-        names = ["file", "split", "kind", "heads", "record"]
-        heads_held = False
         for key, part in _runs(batches):
             if key != current:
-                if held:
-                    yield piece()
+                if held and crossing:
+                    yield _piece(current, kind, heads_held, held)
+                held = []
                 if key not in known.value:
-                    raise RuntimeError(f"the splits of {key[0]} changed between two reads")
+                    raise RuntimeError("the splits of a file changed between two reads")
                 current, (inside, heads) = key, known.value[key]
                 kind, heads_held = _NEXT, False
             outside_out, inside_out, empty = _flags(part)
             states = _states(outside_out, inside_out, inside)
-            starts, ends = ~states[:-1], ~states[1:]
-            inside = bool(states[-1])
-            single = starts & ends & (blank | ~empty)
-            if heads:
+            starts, inside = ~states[:-1], bool(states[-1])
+            first = np.flatnonzero(starts)
+            # Lines before the first record belong to one that began earlier.
+            lead = int(first[0]) if len(first) else part.num_rows
+            if lead:
+                held.extend(part.column("value").slice(0, lead).to_pylist())
+                if len(first) or not inside:
+                    kind = _WHOLE if kind == _FIRST else kind
+                    if crossing == (kind != _WHOLE) and not (kind == _WHOLE and heads_held):
+                        yield _piece(current, kind, heads_held, held)
+                    held, kind, heads_held = [], _NEXT, False
+            if not len(first):
+                continue
+            # The last record goes on where the part ends inside a quoted field.
+            end = int(first[-1]) if inside else part.num_rows
+            sizes = np.diff(np.append(first, part.num_rows))
+            kept = np.full(len(first), True) if blank else ~((sizes == 1) & empty[first])
+            header = np.flatnonzero(kept) if heads else ()
+            if len(header):
                 # The first record that begins in this split is the header.
-                first = np.flatnonzero(starts & (blank | ~empty))
-                if len(first):
-                    heads = False
-                    if single[first[0]]:
-                        single[first[0]] = False
-                    else:
-                        heads_held = True
-            texts = part.column("value")
-            rows = pc.filter(texts, pa.array(single))
-            if len(rows):
-                n = len(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([current[0]] * n), pa.array([current[1]] * n, pa.int64()),
-                        pa.array([_WHOLE] * n, pa.int32()), pa.array([False] * n, pa.bool_()),
-                        pc.replace_substring_regex(rows, "\r$", ""),
-                    ],
-                    names=names,
-                )
-            for i in np.flatnonzero(~(starts & ends)).tolist():
-                if starts[i]:
-                    kind = _FIRST
-                held.append(texts[i].as_py())
-                if ends[i]:
-                    if kind == _FIRST:
-                        kind = _WHOLE
-                        if heads_held:
-                            held.clear()
-                        else:
-                            out = piece()
-                            yield out.set_column(
-                                4, "record", pc.replace_substring_regex(out.column(4), "\r$", "")
-                            )
-                        heads_held = False
-                    else:
-                        yield piece()
-                    kind = _NEXT
-        if held:
-            yield piece()
+                heads, heads_held = False, inside and header[0] == len(first) - 1
+                kept[header[0]] = False
+            whole = len(first) - inside
+            if whole and not crossing and kept[:whole].any():
+                yield _whole_records(part, first[:whole], end, kept[:whole])
+            if inside:
+                held, kind = part.column("value").slice(end).to_pylist(), _FIRST
+        if held and crossing:
+            yield _piece(current, kind, heads_held, held)
 
     return run
 

@@ -2,7 +2,9 @@ import csv
 import pathlib
 import random
 from collections import Counter
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -411,3 +413,24 @@ def test_a_changed_cell_is_found_in_both_formats(spark, tricky, tmp_path):
         path = str(tmp_path / fmt)
         (writers.write_parquet if fmt == "parquet" else writers.write_csv)(wrong, path)
         assert writers.verify_written(tricky, path, fmt).collect() == [(fmt, 6, 6, False)]
+
+
+def test_records_of_several_lines_leave_in_few_batches():
+    """A batch per record made a scan of such records hundreds of times slower."""
+    # Lines without a quote keep the state they begin in; the others turn it.
+    lines = ['1,"a', "", 'b",2', "3,c,4", ""] * 1000
+    batch = pa.RecordBatch.from_pydict({
+        "file": pa.array([7] * len(lines), pa.int64()),
+        "split": pa.array([0] * len(lines), pa.int64()),
+        "outside_out": pa.array(['"' not in line for line in lines]),
+        "inside_out": pa.array(['"' in line for line in lines]),
+        "empty": pa.array([line == "" for line in lines]),
+        "value": pa.array(lines),
+    })
+    known = SimpleNamespace(value={(7, 0): (False, True)})
+    found = list(records._records(known, False, False)(iter([batch])))
+    assert len(found) == 1
+    # The first record is the header; blank lines between records are none.
+    texts = found[0].column("record").to_pylist()
+    assert texts == ["3,c,4", *['1,"a\n\nb",2', "3,c,4"] * 999]
+    assert not list(records._records(known, False, True)(iter([batch])))
