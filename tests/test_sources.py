@@ -434,3 +434,13 @@ def test_records_of_several_lines_leave_in_few_batches():
     texts = found[0].column("record").to_pylist()
     assert texts == ["3,c,4", *['1,"a\n\nb",2', "3,c,4"] * 999]
     assert not list(records._records(known, False, True)(iter([batch])))
+
+
+def test_files_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "FILE_ROWS", 10)
+    table = spark.range(35).withColumn("text", F.lit("a\nb")).coalesce(1)
+    writers.write_csv(table, str(tmp_path / "csv"))
+    assert len(list((tmp_path / "csv").glob("*.csv"))) == 4
+    assert readers.read_raw(spark, str(tmp_path / "csv")).count() == 35
+    writers.write_lines(table.select("text"), str(tmp_path / "text"))
+    assert len(list((tmp_path / "text").glob("*.txt"))) == 4
