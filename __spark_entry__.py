@@ -496,11 +496,11 @@ def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def write():
         tables = silver_star(spark, sf_dir)
-        out = []
+        buckets, out = joins.bucket_count(tables["complaints"]), []
         for name in ("complaints", "companies"):
             label = f"bucketed_{name}_{abs(hash(sf_dir))}"
             path = new_folder(spark, label)
-            out.append(joins.write_bucketed(tables[name], label, "company_id", 8, path))
+            out.append(joins.write_bucketed(tables[name], label, "company_id", buckets, path))
         return out
 
     fact, dim = _once(spark, sf_dir, "bucketed", write)

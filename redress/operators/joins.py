@@ -25,6 +25,8 @@ from redress.sources.scratch import settle
 
 BROADCAST_BYTES = 64 << 20
 ROW = "_row"
+BUCKET_ROWS = 500_000  # rows of a bucket, which one task sorts
+LEAST_BUCKETS = 8
 SALTS_PER_SHARE = 2  # pieces a hot key is cut into per even share of a task
 
 Keys = Sequence[str | tuple[str, str]]
@@ -214,6 +216,11 @@ def orphans(
     return dim_join(fact, dim, [key], "left_anti", limit=limit)
 
 
+def bucket_count(df: DataFrame) -> int:
+    """How many buckets keep the rows of one at some ``BUCKET_ROWS``, however large ``df`` is."""
+    return max(LEAST_BUCKETS, -(-df.count() // BUCKET_ROWS))
+
+
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
     """Store ``df`` as a table of ``buckets`` by ``key``, each file sorted by it.
 

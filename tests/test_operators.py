@@ -348,3 +348,8 @@ def test_running_total_of_rows_equals_the_window(spark, kind):
         sums = rows.groupBy("part", "at").agg(F.sum("value")).repartitionByRange(8, "part", "at")
         sizes = [r[1] for r in sums.groupBy(F.spark_partition_id()).count().collect()]
         assert len(sizes) == 8 and max(sizes) <= 1.5 * sum(sizes) / 8
+
+
+def test_buckets_grow_with_the_rows(spark):
+    assert joins.bucket_count(spark.range(10)) == joins.LEAST_BUCKETS
+    assert joins.bucket_count(spark.range(20 * joins.BUCKET_ROWS + 1)) == 21
