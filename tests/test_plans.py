@@ -11,6 +11,7 @@ import __spark_entry__ as registered
 from redress.functions import case_key
 from redress.operators.joins import orphans, star_join
 from redress.plans import kpis, silver, star
+from redress.plans.feed import feed
 from redress.plans.layers import run_layers
 from redress.schema import RAW_COLUMNS
 from redress.sources.scratch import SETTING
@@ -218,3 +219,17 @@ def test_case_key_groups_what_the_star_merges(raw):
     """Cleaning in the star merges names that differ in case or outer spaces."""
     keys = raw.select(case_key(F.col("company_name"))).distinct().count()
     assert keys == star.build_companies(raw).count()
+
+
+def test_lines_of_the_feed_are_shuffled_twice(spark, monkeypatch):
+    """However large the tables are: by order and by part, and never by customer."""
+    monkeypatch.setattr("redress.plans.feed.fits_broadcast", lambda df: True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = feed(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert sorted(dealt) == [
+        "c_custkey", "l_orderkey", "l_partkey", "o_custkey", "o_orderkey", "p_partkey"
+    ]
