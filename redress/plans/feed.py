@@ -55,31 +55,63 @@ JOIN   {region}   ON n_regionkey = r_regionkey
 )
 
 
+_ZIP = COLUMNS_SQL[COLUMNS_SQL.index("CASE WHEN l_partkey % 10 = 0"):COLUMNS_SQL.index(" AS zip_code")]
+#: Terms of ``COLUMNS_SQL`` over one table, worked out once per row of that table and
+#: not once per line: name, term, table.
+TERMS = (
+    ("_day", "CAST(o_orderdate AS DATE)", "orders"),
+    ("_name_lower", "lower(s_name)", "supplier"),
+    ("_name_spaced", "s_name || ' '", "supplier"),
+    ("_name_inc", "s_name || ', Inc.'", "supplier"),
+    ("_name_llc", "s_name || ' LLC'", "supplier"),
+    ("_name_dotted", "replace(s_name, '#', '.#')", "supplier"),
+    ("_state", "chr(65 + n_nationkey) || substr(r_name, 1, 1)", "supplier"),
+    ("_zip", _ZIP, "part"),
+)
+
+
+def _terms(table: str) -> list[str]:
+    """The terms over ``table``; of a part, whose key is that of its lines."""
+    return [
+        f"{sql.replace('l_partkey', 'p_partkey')} AS {name}" for name, sql, of in TERMS if of == table
+    ]
+
+
+def _named_columns() -> str:
+    """``COLUMNS_SQL`` with the names of the terms in their places."""
+    out = COLUMNS_SQL
+    for name, sql, _ in TERMS:
+        out = out.replace(sql, name)
+    return out
+
+
 def feed(spark: SparkSession, folder: str) -> DataFrame:
     """The feed over the Parquet tables in ``folder``, with canonical names.
 
     The joins of ``FEED_SQL`` in another order: orders meet their customers before the
     lines, so the lines are shuffled twice, by order and by part. Suppliers with their
     nations are broadcast if they are small enough, after they have been measured.
+    What depends on the order, part or supplier alone is worked out before the joins.
     """
     t = {name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet") for name in TABLES}
     lines = spread(t["lineitem"].drop("l_shipdate", "l_quantity", "l_extendedprice"))
     places = t["nation"].join(F.broadcast(t["region"]), F.expr("n_regionkey = r_regionkey"))
-    suppliers = t["supplier"].join(F.broadcast(places), F.expr("s_nationkey = n_nationkey")).select(
-        "s_suppkey", "s_name", "n_nationkey", "r_name"
+    suppliers = t["supplier"].join(F.broadcast(places), F.expr("s_nationkey = n_nationkey")).selectExpr(
+        "s_suppkey", "s_name", "n_nationkey", *_terms("supplier")
     )
     if fits_broadcast(suppliers):
         suppliers = F.broadcast(suppliers)
-    bought = t["orders"].join(t["customer"], F.expr("o_custkey = c_custkey")).select(
-        "o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "c_mktsegment"
+    bought = t["orders"].join(t["customer"], F.expr("o_custkey = c_custkey")).selectExpr(
+        "o_orderkey", "o_orderstatus", "o_orderpriority", "c_mktsegment", *_terms("orders")
     )
+    parts = t["part"].selectExpr("p_partkey", "p_type", "p_brand", "p_name", *_terms("part"))
     joined = (
         lines.join(bought, F.expr("l_orderkey = o_orderkey"))
         .drop("o_orderkey")
-        .join(t["part"], F.expr("l_partkey = p_partkey"))
+        .join(parts, F.expr("l_partkey = p_partkey"))
         .join(suppliers, F.expr("l_suppkey = s_suppkey"))
     )
-    return spark.sql(COLUMNS_SQL + "FROM {joined}", joined=joined)
+    return spark.sql(_named_columns() + "FROM {joined}", joined=joined)
 
 
 def feed_query() -> str:

@@ -11,7 +11,7 @@ import __spark_entry__ as registered
 from redress.functions import case_key
 from redress.operators.joins import orphans, star_join
 from redress.plans import kpis, silver, star
-from redress.plans.feed import feed
+from redress.plans.feed import COLUMNS_SQL, TERMS, feed
 from redress.plans.layers import run_layers
 from redress.schema import RAW_COLUMNS
 from redress.sources.scratch import SETTING
@@ -221,6 +221,16 @@ def test_case_key_groups_what_the_star_merges(raw):
     assert keys == star.build_companies(raw).count()
 
 
+def test_terms_of_the_feed_are_worked_out_before_the_lines_are_joined(spark):
+    """Once per supplier, part or order, and not once per line."""
+    plan = feed(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    last = plan.split("Join", 1)[0]
+    for term in ("lower(", "replace(", "chr(", "lpad(", "cast(o_orderdate"):
+        assert term not in last and term in plan
+    for name, sql, _ in TERMS:
+        assert sql in COLUMNS_SQL and name not in COLUMNS_SQL
+
+
 def test_lines_of_the_feed_are_shuffled_twice(spark, monkeypatch):
     """However large the tables are: by order and by part, and never by customer."""
     monkeypatch.setattr("redress.plans.feed.fits_broadcast", lambda df: True)
