@@ -353,9 +353,7 @@ def fit_scorer(
         return empty
     marks = toxic_marks(labelled) if labelled is not None else {}
     sent_marks = docs.sparkSession.sparkContext.broadcast(marks)
-    share = min(DRAWS, max(1, round(DRAWS * fit_rows / n)))
-    draw = F.pmod(F.xxhash64(text_col, F.monotonically_increasing_id()), F.lit(DRAWS))
-    tasks = max(TASKS, -(-min(n, fit_rows) // TASK_ROWS))
+    share, draw, tasks = _drawing(n, fit_rows, text_col)
     stored = settle(
         docs.select(F.col(text_col).alias("text"), draw.alias("draw")).transform(
             map_batches,
@@ -363,9 +361,27 @@ def fit_scorer(
         ),
         "votes",
     )
-    patterns = (
-        stored.where("features IS NULL").groupBy("votes").agg(F.sum("n").alias("n")).collect()
+    patterns = stored.where("features IS NULL").groupBy("votes").agg(F.sum("n").alias("n"))
+    drawn = stored.where("features IS NOT NULL").select("votes", "features")
+    return _fit(patterns, drawn, n, tasks, rounds, marks)
+
+
+def _drawing(n: int, fit_rows: int, text_col: str):
+    """Below which draw a row is drawn, the draw of a row, and the tasks that train."""
+    return (
+        min(DRAWS, max(1, round(DRAWS * fit_rows / n))),
+        F.pmod(F.xxhash64(text_col, F.monotonically_increasing_id()), F.lit(DRAWS)),
+        max(TASKS, -(-min(n, fit_rows) // TASK_ROWS)),
     )
+
+
+def _fit(
+    patterns: DataFrame, drawn: DataFrame, n: int, tasks: int, rounds: int, marks: dict[str, int]
+) -> Scorer:
+    """The scorer of ``n`` documents, from the number of each vote pattern (``votes``, ``n``)
+    and the votes and features of the drawn rows."""
+    spark, targets = drawn.sparkSession, list(LABELLERS)
+    patterns = patterns.collect()
     table = np.array([["-0+".index(c) - 1 for c in r.votes] for r in patterns])
     counts = np.array([float(r.n) for r in patterns])
     labels, accuracies, first = [], {}, 0
@@ -375,10 +391,7 @@ def fit_scorer(
         accuracies[target] = dict(zip(labellers, right.tolist(), strict=True))
         first += len(labellers)
     label = {r.votes: tuple(p[i] for p in labels) for i, r in enumerate(patterns)}
-    drawn = settle(
-        stored.where("features IS NOT NULL").select("votes", "features").repartition(tasks),
-        "drawn",
-    )
+    drawn = settle(drawn.repartition(tasks), "drawn")
     supported = np.zeros(BUCKETS, np.float32)
     for r in (
         drawn.select(F.explode("features").alias("f"))
@@ -389,9 +402,9 @@ def fit_scorer(
         .to_pylist()
     ):
         supported[r] = 1
-    weights, bias = empty.weights, empty.bias
+    weights, bias = np.zeros((len(targets), BUCKETS), np.float32), np.zeros(len(targets))
     for _ in range(rounds):
-        sent = docs.sparkSession.sparkContext.broadcast((label, supported, weights, bias))
+        sent = spark.sparkContext.broadcast((label, supported, weights, bias))
         trained = drawn.transform(
             map_batches, _train(sent), "n long, weights binary, bias array<double>"
         ).collect()
@@ -461,23 +474,101 @@ def classify(docs: DataFrame, scorer: Scorer, text_col: str = "text") -> DataFra
         weights, bias, _, marks = sent.value
         features = Features(marks)
         for part in slices(batches):
-            scores = np.zeros((part.num_rows, len(bias)))
-            for i, text in enumerate(part.column(at)):
-                found = features.hashed(*features.shape(text.as_py()))
-                scores[i] = weights[:, found].sum(axis=1) + bias
-            scores = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
-            added = [
-                pa.array(scores[:, 0]),
-                pa.array(scores[:, 1]),
-                pa.array((scores[:, 0] >= 0.5) & (scores[:, 1] < 0.5)),
-            ]
+            found = [features.hashed(*features.shape(t.as_py())) for t in part.column(at)]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, *added], names=[*part.schema.names, *OUTPUT]
+                [*part.columns, *_scores(found, weights, bias)],
+                names=[*part.schema.names, *OUTPUT],
             )
 
-    schema = T.StructType([*docs.schema.fields])
-    schema = schema.add(OUTPUT[0], "double").add(OUTPUT[1], "double").add(OUTPUT[2], "boolean")
-    return docs.transform(map_batches, run, schema)
+    return docs.transform(map_batches, run, _scored(docs.schema.fields))
+
+
+def _scored(fields: list[T.StructField]) -> T.StructType:
+    schema = T.StructType([*fields])
+    return schema.add(OUTPUT[0], "double").add(OUTPUT[1], "double").add(OUTPUT[2], "boolean")
+
+
+def _scores(found: list, weights: np.ndarray, bias: np.ndarray) -> list[pa.Array]:
+    """The columns of ``OUTPUT`` for rows of these features."""
+    scores = np.zeros((len(found), len(bias)))
+    for i, own in enumerate(found):
+        scores[i] = weights[:, own].sum(axis=1) + bias
+    scores = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
+    kept = (scores[:, 0] >= 0.5) & (scores[:, 1] < 0.5)
+    return [pa.array(scores[:, 0]), pa.array(scores[:, 1]), pa.array(kept)]
+
+
+def fit_and_classify(
+    docs: DataFrame,
+    text_col: str = "text",
+    fit_rows: int = FIT_ROWS,
+    rounds: int = ROUNDS,
+    labelled: DataFrame | None = None,
+) -> DataFrame:
+    """``classify(docs, fit_scorer(docs))`` without the texts, each of which is read once.
+
+    Votes and features of every document are stored between the two; the features take
+    some two bytes per different word.
+    """
+    n = docs.count()
+    if not n:
+        return classify(docs, fit_scorer(docs, text_col, fit_rows, rounds), text_col).drop(text_col)
+    spark = docs.sparkSession
+    marks = toxic_marks(labelled) if labelled is not None else {}
+    share, draw, tasks = _drawing(n, fit_rows, text_col)
+    others = without(docs, OUTPUT).drop(text_col)
+    stored = settle(
+        docs.select(F.col(text_col).alias("_text"), (draw < share).alias("_drawn"), *others.columns)
+        .transform(
+            map_batches, _describe(spark.sparkContext.broadcast(marks)),
+            T.StructType([
+                T.StructField("_votes", T.StringType()), T.StructField("_drawn", T.BooleanType()),
+                T.StructField("_features", T.ArrayType(T.IntegerType())), *others.schema.fields,
+            ]),
+        ),
+        "features",
+    )
+    patterns = stored.groupBy(F.col("_votes").alias("votes")).agg(F.count("*").alias("n"))
+    drawn = stored.where("_drawn").select(
+        F.col("_votes").alias("votes"), F.col("_features").alias("features")
+    )
+    scorer = _fit(patterns, drawn, n, tasks, rounds, marks)
+    sent = spark.sparkContext.broadcast((scorer.weights, scorer.bias))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, bias = sent.value
+        for part in slices(batches):
+            found = [x.values.to_numpy() for x in part.column(0)]
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[1:], *_scores(found, weights, bias)],
+                names=[*part.schema.names[1:], *OUTPUT],
+            )
+
+    return stored.select("_features", *others.columns).transform(
+        map_batches, run, _scored(others.schema.fields)
+    )
+
+
+def _describe(marks: Broadcast):
+    """text, drawn, others -> votes, drawn, features, others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features(marks.value)
+        for part in slices(batches):
+            votes, found = [], []
+            for text in part.column(0):
+                shape, known = features.shape(text.as_py())
+                votes.append(votes_of(shape))
+                found.append(features.hashed(shape, known))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(votes, pa.string()), part.column(1),
+                    pa.array(found, pa.list_(pa.int32())), *part.columns[2:],
+                ],
+                names=["_votes", "_drawn", "_features", *part.schema.names[2:]],
+            )
+
+    return run
 
 
 def quality_table(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -489,4 +580,4 @@ def quality_table(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame
         share = min(1.0, LABEL_ROWS / max(1, known.count()))
         drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(DRAWS)) < int(DRAWS * share))
         labelled = rows.join(F.broadcast(drawn.dropDuplicates()), "doc_id").select("text", "toxic")
-    return classify(rows, fit_scorer(rows, labelled=labelled)).drop("text")
+    return fit_and_classify(rows, labelled=labelled)

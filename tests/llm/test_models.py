@@ -191,6 +191,22 @@ def test_marks_are_words_of_toxic_texts_only(spark):
     assert weak_quality.toxic_marks(spark.createDataFrame(rows[:300], "text string, toxic int")) == {}
 
 
+def test_features_stored_on_the_way_give_the_same_scores(spark):
+    """Copies, NULL ids and columns named like a result too; no text is described twice."""
+    texts = ["the cat sat on the mat and it was fine", "$$ ## !! ||", None, "", "YOU IDIOT !! YOU IDIOT"]
+    rows = [(i if i % 7 else None, f"{texts[i % 5]} {i % 11}" if texts[i % 5] else texts[i % 5], i)
+            for i in range(60)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept int").repartition(3, "kept")
+    expected = weak_quality.classify(docs, weak_quality.fit_scorer(docs)).drop("text")
+    got = weak_quality.fit_and_classify(docs)
+    assert got.columns == expected.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    assert "MapInArrow" in (plan := got._jdf.queryExecution().executedPlan().toString())
+    assert "text" not in plan.split("ReadSchema")[-1]
+    nothing = weak_quality.fit_and_classify(docs.where("kept < 0"))
+    assert nothing.columns == expected.columns and not nothing.count()
+
+
 def test_classifier_on_odd_rows(odd, nothing):
     scorer = weak_quality.fit_scorer(odd)
     got = weak_quality.classify(odd, scorer)
