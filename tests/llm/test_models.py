@@ -290,6 +290,42 @@ def test_spelling_is_a_distribution():
         assert order.tables.sum() <= order.customers.sum() <= below.customers.sum()
 
 
+def local_spelling(words):
+    """Log10 probabilities of words as their bytes, by all restaurants of the training words."""
+    import pandas as pd
+
+    known = sorted(w for w, c in words if c)
+    codes, _ = pitman_yor.word_codes([w.encode() for w in known])
+    cells, base = [], pitman_yor.BASE
+    for k in range(pitman_yor.ORDER + 1):
+        keys = Counter((int(c // base % base**k), int(c % base)) for c in codes)
+        cells.append(pd.DataFrame([(*x, float(n)) for x, n in keys.items()], columns=["context", "dish", "n"]))
+    orders = pitman_yor.fit_spelling(cells, 1)
+    out = {}
+    for word, _ in words:
+        own, _ = pitman_yor.word_codes([word.encode()])
+        out[word] = float(np.log10(pitman_yor.spell_codes(own, orders)).sum())
+    return out
+
+
+@pytest.mark.parametrize("sent", [400_000, 50, 1])
+def test_every_context_has_a_restaurant(spark, monkeypatch, sent):
+    """A context seen once among 100,000 bytes counts, and codes that are joined count as sent ones do."""
+    monkeypatch.setattr(pitman_yor, "CODES", sent, raising=False)
+    rows = [(f"{'abcd'[i % 4]}{i:06d}", 1 + i % 3) for i in range(15_000)]
+    rows += [("qzxj", 1), ("qzxjqzxj", 0), ("zq", 0), ("a000000b", 0), ("é", 0), ("", 5), ("qz" * 40, 0)]
+    words = spark.createDataFrame(rows, "word string, c long").repartition(3)
+    totals = pitman_yor.Totals(sum(c for _, c in rows), sum(c > 0 for _, c in rows))
+    got = pitman_yor.word_scores(spark, words, totals, 1, 0).collect()
+    assert sorted(r.word for r in got) == sorted(w for w, _ in rows)
+    # Words that are not known get their spelling, all times the same share.
+    want = local_spelling(rows)
+    shares = [r.spelled - want[r.word] for r in got if not r.c]
+    assert len(shares) == 5 and shares == pytest.approx([shares[0]] * 5)
+    # Of the 13 bytes of an unknown word that repeats a rare one most are foreseen.
+    assert want["qzxjqzxj"] > -13
+
+
 def score_all(docs):
     return pitman_yor.score_table(docs).collect()
 
