@@ -51,7 +51,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], objec
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed as a stored table."""
-    return _once(spark, sf_dir, "bronze", lambda: settle(feed(spark, sf_dir), "bronze"))
+    return _once(spark, sf_dir, "bronze", lambda: settle(feed(spark, sf_dir), "bronze", "zstd"))
 
 
 def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -56,9 +56,11 @@ JOIN   {region}   ON n_regionkey = r_regionkey
 
 
 _ZIP = COLUMNS_SQL[COLUMNS_SQL.index("CASE WHEN l_partkey % 10 = 0"):COLUMNS_SQL.index(" AS zip_code")]
-#: Terms of ``COLUMNS_SQL`` over one table, worked out once per row of that table and
-#: not once per line: name, term, table.
+#: Terms of ``COLUMNS_SQL`` over one table, worked out before the joins, once per row of
+#: that table: name, term, table. Lines move with their terms in place of the numbers.
 TERMS = (
+    ("_untaxed", "l_tax = 0", "lineitem"),
+    ("_discounted", "l_discount > 0.05", "lineitem"),
     ("_day", "CAST(o_orderdate AS DATE)", "orders"),
     ("_name_lower", "lower(s_name)", "supplier"),
     ("_name_spaced", "s_name || ' '", "supplier"),
@@ -70,6 +72,10 @@ TERMS = (
 )
 
 
+#: What the joins and ``COLUMNS_SQL`` need of a line besides its terms.
+LINE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
+
+
 def _terms(table: str) -> list[str]:
     """The terms over ``table``; of a part, whose key is that of its lines."""
     return [
@@ -94,7 +100,7 @@ def feed(spark: SparkSession, folder: str) -> DataFrame:
     What depends on the order, part or supplier alone is worked out before the joins.
     """
     t = {name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet") for name in TABLES}
-    lines = spread(t["lineitem"].drop("l_shipdate", "l_quantity", "l_extendedprice"))
+    lines = spread(t["lineitem"].selectExpr(*LINE, *_terms("lineitem")))
     places = t["nation"].join(F.broadcast(t["region"]), F.expr("n_regionkey = r_regionkey"))
     suppliers = t["supplier"].join(F.broadcast(places), F.expr("s_nationkey = n_nationkey")).selectExpr(
         "s_suppkey", "s_name", "n_nationkey", *_terms("supplier")

@@ -68,7 +68,7 @@ def read_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
     the values that are none. A column gets the first type, of int, bigint, double,
     date, timestamp and boolean, that fits every value; one without a value is text.
     """
-    text = settle(read_raw(spark, path), "text")
+    text = settle(read_raw(spark, path), "text", compression="zstd")
     columns = {c: _typed(F.col(f"`{c}`")) for c in text.columns}
     names = {(c, kind): f"{i}-{kind}" for i, c in enumerate(columns) for kind in columns[c]}
     misses = [

@@ -231,6 +231,13 @@ def test_terms_of_the_feed_are_worked_out_before_the_lines_are_joined(spark):
         assert sql in COLUMNS_SQL and name not in COLUMNS_SQL
 
 
+def test_lines_move_without_the_numbers_their_terms_stand_for(spark):
+    plan = feed(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    last = plan.split("Join", 1)[0]
+    for number in ("l_tax", "l_discount"):
+        assert number not in last and number in plan
+
+
 def test_lines_of_the_feed_are_shuffled_twice(spark, monkeypatch):
     """However large the tables are: by order and by part, and never by customer."""
     monkeypatch.setattr("redress.plans.feed.fits_broadcast", lambda df: True)
