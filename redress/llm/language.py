@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from redress.llm.common import MASK, Memo, bucket, map_batches, mix, slices, without
+from redress.llm.common import MASK, bucket, map_batches, mix, slices, without
 from redress.llm.counts import unigram_pieces
 from redress.llm.pieces import SPACE
 from redress.sources.scratch import settle
@@ -38,6 +39,10 @@ def words_of(text: str | None) -> list[str]:
 
 #: Words up to this length are solved many at a time; their probabilities stay in range.
 SHORT = 32
+#: Words that are solved together: their tables stay in a processor's cache.
+TOGETHER = 4_096
+#: Words and characters that a task remembers the scores of, some more by one batch.
+REMEMBERED, CHARACTERS = 150_000, 3_000_000
 _SIEVE = np.uint64((1 << 20) - 1)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -115,27 +120,30 @@ class Segments:
 
     @staticmethod
     def forward(arcs: Arcs, p: np.ndarray) -> np.ndarray:
-        """Weight of all segmentations up to each position: words x positions x columns of ``p``."""
-        alpha = np.zeros((len(arcs.sizes), int(arcs.sizes.max(initial=0)) + 1, p.shape[1]))
-        alpha[:, 0] = 1.0
+        """Weight of all segmentations up to each position: positions x words x columns of ``p``."""
+        alpha = np.zeros((int(arcs.sizes.max(initial=0)) + 1, len(arcs.sizes), p.shape[1]))
+        alpha[0] = 1.0
         for end, length, word, piece in arcs.steps:
             # A word has one piece at most of this length that ends here.
-            alpha[word, end] += alpha[word, end - length] * p[piece]
+            alpha[end][word] += alpha[end - length].take(word, axis=0) * p.take(piece, axis=0)
         return alpha
 
-    def scores_of(self, words: list[str], p: np.ndarray) -> list[tuple[float, ...]]:
-        """Log probabilities of words, a column of ``p`` per language."""
-        short = [w for w in words if len(w) <= SHORT]
-        out = {}
-        if short:
-            arcs = self.batch(short)
+    def scores_of(self, words: list[str], p: np.ndarray) -> np.ndarray:
+        """Log probabilities of words, a row per word and a column of ``p`` per language."""
+        out = np.empty((len(words), p.shape[1]))
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        by_length = np.argsort(lengths, kind="stable")
+        short = int(np.searchsorted(lengths[by_length], SHORT, side="right"))
+        for start in range(0, short, TOGETHER):
+            own = by_length[start : min(short, start + TOGETHER)]
+            arcs = self.batch([words[i] for i in own])
             alpha = self.forward(arcs, p)
-            logs = np.log(alpha[np.arange(len(short)), arcs.sizes])
-            out = dict(zip(short, map(tuple, logs.tolist()), strict=True))
-        if len(short) < len(words):
+            out[own] = np.log(alpha[arcs.sizes, np.arange(len(own))])
+        if short < len(words):
             table = [tuple(row) for row in p.tolist()]
-            out |= {w: self.scores(w, table) for w in words if len(w) > SHORT}
-        return [out[w] for w in words]
+            for i in by_length[short:]:
+                out[i] = self.scores(words[i], table)
+        return out
 
     def uses_of(self, words: list[str], counts: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Expected uses of each piece over all segmentations of counted words."""
@@ -145,7 +153,7 @@ class Segments:
             own = [w for w, s in zip(words, short, strict=True) if s]
             times = counts[short]
             arcs = self.batch(own)
-            alpha = self.forward(arcs, p[:, None])[:, :, 0]
+            alpha = self.forward(arcs, p[:, None])[:, :, 0].T
             beta = np.zeros(alpha.shape)
             rows = np.arange(len(own))
             beta[rows, arcs.sizes] = times / alpha[rows, arcs.sizes]
@@ -231,7 +239,13 @@ class LanguageModel:
     def __init__(self, languages: list[str], pieces: list[str], probability: np.ndarray):
         self.languages, self.pieces, self.probability = languages, pieces, probability
         self._segments: Segments | None = None
-        self._memo: Memo | None = None
+        self._forget()
+
+    def _forget(self) -> None:
+        """Numbers of the words seen, in the order of the rows of their scores."""
+        self._rows: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        self._scores = np.zeros((0, len(self.languages)))
+        self._characters = 0
 
     def __getstate__(self):
         return self.languages, self.pieces, self.probability
@@ -239,21 +253,15 @@ class LanguageModel:
     def __setstate__(self, state):
         self.__init__(*state)
 
-    def _scores(self, words: list[str]) -> np.ndarray:
-        """Log probabilities, a row per word, remembered for words seen before."""
+    def _score_new(self) -> None:
+        """Log probabilities of the words that got a number and have none yet."""
         if self._segments is None:
             self._segments = Segments(self.pieces)
-            self._memo = Memo(lambda w: None, entries=60_000)
-        memo = self._memo
-        new = [w for w in words if w not in memo and w not in memo.old]
-        found = dict(
-            zip(new, self._segments.scores_of(new, np.ascontiguousarray(self.probability.T)), strict=True)
-        )
-        values = [found.get(w) or memo.get(w) or memo.old[w] for w in words]
-        for word, value in zip(words, values, strict=True):
-            if word not in memo:
-                memo.put(word, value)
-        return np.array(values).reshape(len(words), len(self.languages))
+        new = [*itertools.islice(reversed(self._rows), len(self._rows) - len(self._scores))][::-1]
+        if new:
+            found = self._segments.scores_of(new, np.ascontiguousarray(self.probability.T))
+            self._scores = np.concatenate([self._scores, found])
+            self._characters += sum(map(len, new))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         return self.predict_all([text])[0]
@@ -264,21 +272,21 @@ class LanguageModel:
         The shares are of the likelihood to the power 1 / sqrt(words), so that long texts
         keep graded scores.
         """
-        place: dict[str, int] = {}
+        if len(self._rows) > REMEMBERED or self._characters > CHARACTERS:
+            self._forget()
         at, sizes = [], []
         for text in texts:
-            own: list[int] = []
-            if text and self.languages and any(map(str.isalpha, text)):
-                own = [place.setdefault(w, len(place)) for w in words_of(text)]
-            at.extend(own)
-            sizes.append(len(own))
+            known = text and self.languages and any(map(str.isalpha, text))
+            words = words_of(text) if known else []
+            at.append(np.fromiter(map(self._rows.__getitem__, words), np.int64, len(words)))
+            sizes.append(len(words))
         out = [(UNDETERMINED, 0.0)] * len(texts)
-        if not at:
+        if not any(sizes):
             return out
-        scores = self._scores(list(place))
+        self._score_new()
         rows = [i for i, n in enumerate(sizes) if n]
         lengths = np.array([sizes[i] for i in rows])
-        totals = np.add.reduceat(scores[np.array(at)], np.cumsum(lengths) - lengths)
+        totals = np.add.reduceat(self._scores.take(np.concatenate(at), axis=0), np.cumsum(lengths) - lengths)
         best = totals.argmax(axis=1)
         gaps = (totals - totals.max(axis=1, keepdims=True)) / np.sqrt(lengths)[:, None]
         shares = 1 / np.exp(gaps).sum(axis=1)

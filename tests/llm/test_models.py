@@ -72,6 +72,26 @@ def test_batches_sum_all_segmentations():
         assert own.uses_of(words, counts, p[k]) == pytest.approx(uses[k])
 
 
+def test_words_are_solved_once_in_small_tables(monkeypatch):
+    """Tables stay small whatever a batch holds, and remembered words are not solved again."""
+    rng = np.random.default_rng(11)
+    p = rng.random((2, len(PIECES) + 1))
+    texts = [" ".join(f"{'ab' * (1 + i // 500 % 5)}{j}" for j in range(i, i + 1500)) for i in range(0, 9000, 500)]
+    texts += ["ab" * 40 + " a", None, "12"]
+    model = language.LanguageModel(["de", "en"], PIECES, p)
+    alone = [language.LanguageModel(["de", "en"], PIECES, p).predict(t) for t in texts]
+    solved, forward = [], language.Segments.forward
+    count = staticmethod(lambda arcs, p: solved.append(len(arcs.sizes)) or forward(arcs, p))
+    monkeypatch.setattr(language.Segments, "forward", count)
+    assert model.predict_all(texts) == alone and model.predict_all(texts) == alone
+    words = {w for t in texts[:-1] for w in language.words_of(t)}
+    assert max(solved) <= 4096 < sum(solved) == len(words) - 1
+    # What a task remembers is bounded.
+    monkeypatch.setattr(language, "REMEMBERED", 10)
+    assert [model.predict_all([t])[0] for t in texts] == alone
+    assert len(model._rows) <= 1500
+
+
 def test_very_long_words_stay_in_range():
     own = language.Segments(PIECES)
     p = [1e-3] * (len(PIECES) + 1)
