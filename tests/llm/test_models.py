@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import pathlib
 from collections import Counter
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from redress.llm import language, pitman_yor, weak_quality
 from redress.llm.common import bucket
+from redress.sources.scratch import CLEANUP, new_folder
 from tests.llm import brute
 from tests.llm.conftest import MIDDLE, TEXTS
 
@@ -448,6 +450,24 @@ def test_pair_probabilities_add_up_to_one(spark, middle):
         assert own and sum(own.values()) + passed * rest == pytest.approx(1.0)
 
 
+def test_little_is_left_on_disk(spark, monkeypatch):
+    """Stored tables but the sums are deleted, and texts score alike in any number of turns."""
+    held, docs = pair_docs(spark)
+    docs = docs.unionByName(docs.where(f"doc_id = {held[1]}")).unionByName(
+        spark.createDataFrame([(None, "alpha beta"), (held[3], None)], docs.schema)
+    )
+    found = []
+    for turns in (1, 4, 7):
+        monkeypatch.setattr(pitman_yor, "TURNS", turns, raising=False)
+        folder = pathlib.Path(new_folder(spark, "any").removeprefix("file:")).parent
+        before = set(folder.iterdir())
+        rows = pitman_yor.score_table(docs)
+        assert [x.name.split("-")[0] for x in set(folder.iterdir()) - before] == ["text"]
+        found.append(sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.score, 6)) for r in rows.collect()))
+    assert found[0] == found[1] == found[2] and len(found[0]) == docs.count()
+    assert spark.conf.get(CLEANUP, "false") == "false"
+
+
 def test_scores_of_nothing(nothing, spark):
     assert pitman_yor.score_table(nothing).count() == 0
     # Every document held out: nothing to learn from.
