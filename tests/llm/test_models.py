@@ -3,6 +3,7 @@
 import itertools
 import math
 import pathlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -450,6 +451,30 @@ def test_pair_probabilities_add_up_to_one(spark, middle):
         assert own and sum(own.values()) + passed * rest == pytest.approx(1.0)
 
 
+def test_pair_seatings_are_averaged(spark):
+    """What pairs keep is that of two seatings: halves of tables occur, and contexts have their sums."""
+    draw = random.Random(7)
+    names = [f"w{int(20 * draw.random() ** 2)}" for _ in range(6000)]
+    docs = spark.createDataFrame([(True, " ".join(names[i : i + 30])) for i in range(0, 6000, 30)],
+                                 "train boolean, text string").repartition(3)
+    words, pairs = pitman_yor.count_words(docs), pitman_yor.count_pairs(docs)
+    total, distinct = words.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
+    model = pitman_yor.fit_pairs(spark, words, pairs, pitman_yor.Totals(total, distinct))
+    counts = [r.n for r in pairs.collect()]
+    d = pitman_yor.discount(counts.count(1), counts.count(2))
+    word = {r.w: 10**r.score for r in model.words.collect()}
+    context = {r.u: r for r in model.contexts.collect()}
+    tables, sums = [], Counter()
+    for r in model.scores.collect():
+        kept = 10**r.score * (1 + context[r.u].c) - context[r.u].weight * word[r.w]
+        tables.append((r.n - kept) / d)
+        assert 1 - 1e-6 < tables[-1] < r.n + 1e-6
+        sums[r.u] += tables[-1]
+    assert [2 * t for t in tables] == pytest.approx([round(2 * t) for t in tables], abs=1e-6)
+    assert any(abs(t - round(t)) > 0.4 for t in tables)
+    assert {u: r.weight for u, r in context.items()} == pytest.approx({u: 1 + d * t for u, t in sums.items()})
+
+
 def test_little_is_left_on_disk(spark, monkeypatch):
     """Stored tables but the sums are deleted, and texts score alike in any number of turns."""
     held, docs = pair_docs(spark)
