@@ -79,7 +79,7 @@ def silver_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         spark,
         sf_dir,
         "complaints",
-        lambda: settle(silver.enrich(silver.clean(fact(spark, sf_dir))), "complaints"),
+        lambda: settle(silver.enrich(silver.clean(fact(spark, sf_dir))), "complaints", "zstd"),
     )
     return {**dims(spark, sf_dir), "complaints": complaints}
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from redress.sources.scratch import shared_folder
+from redress.sources.scratch import freed_shuffles, shared_folder
 
 # monotonically_increasing_id(): partition number above bit 33, row number below.
 _ROW_BITS = 33
@@ -24,9 +24,10 @@ def assign_ids(keys: DataFrame, order: list[str], name: str) -> DataFrame:
     """
     shared_folder(keys.sparkSession)
     pos = F.monotonically_increasing_id()
+    with freed_shuffles(keys.sparkSession):
+        stored = keys.orderBy(*order).checkpoint()
     placed = (
-        keys.orderBy(*order)
-        .checkpoint()
+        stored
         .withColumn("_part", F.shiftright(pos, _ROW_BITS))
         .withColumn("_row", pos.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
     )

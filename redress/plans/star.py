@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from redress.functions.dates import parse_date
 from redress.functions.text import clean_name, yes_flag
-from redress.operators.joins import BROADCAST_BYTES, ROW, fits_broadcast, lookup_id, numbered
+from redress.operators.joins import BROADCAST_BYTES, ROW, fits_broadcast, lookup_id, meet_rows, numbered
 from redress.operators.keys import assign_ids, distinct_keys
 from redress.operators.relational import enforce
 from redress.schema import COMPANIES, COMPLAINTS, ISSUES, PRODUCTS
@@ -32,13 +32,16 @@ def build_companies(raw: DataFrame) -> DataFrame:
 
 def fact_columns(df: DataFrame) -> DataFrame:
     """The 15 fact columns in order and type, dates and flags parsed."""
-    typed = df.withColumns({
+    return enforce(_parsed(df), COMPLAINTS)
+
+
+def _parsed(df: DataFrame) -> DataFrame:
+    return df.withColumns({
         "date_received": parse_date(F.col("date_received")),
         "date_sent_to_company": parse_date(F.col("date_sent_to_company")),
         "timely_response": yes_flag(F.col("timely_response")),
         "consumer_disputed": yes_flag(F.col("consumer_disputed")),
     })
-    return enforce(typed, COMPLAINTS)
 
 
 def build_fact(
@@ -52,8 +55,10 @@ def build_fact(
     """Replace the natural keys of the feed by surrogate ids.
 
     With dimensions that fit a broadcast this is one pass over the feed
-    without a shuffle. Of the others only row numbers and keys go through the salted
-    joins; the wide rows move once, to the ids that were found.
+    without a shuffle. If one does not, the rows move once, to that dimension, with dates
+    and flags parsed and the other ids in place of their keys. Of several such only row
+    numbers and keys go through the salted joins; the wide rows move once, to the ids
+    that were found.
     """
     named = raw.withColumn("_clean", clean_name(F.col("company_name")))
     dims = (
@@ -62,17 +67,19 @@ def build_fact(
         (companies, [("_clean", "company_name")]),
     )
     fits = [fits_broadcast(dim, limit) for dim, _ in dims]
-    rows = keyed = named if all(fits) else numbered(named)
-    for (dim, keys), small in zip(dims, fits, strict=True):
-        if small:
-            keyed = lookup_id(keyed, dim, keys, null_safe, limit)
+    rows = named if all(fits) else numbered(named)
+    keyed = _parsed(rows)
+    alone = fits.count(False) == 1
+    for small, (dim, keys) in sorted(zip(fits, dims, strict=True), key=lambda x: not x[0]):
+        if small or alone:
+            keyed = lookup_id(keyed, dim, keys, null_safe, limit, keys_of=named, salt=ROW)
             continue
         own = [k if isinstance(k, str) else k[0] for k in keys]
         found = lookup_id(
             rows.select(ROW, *own), dim, keys, null_safe, limit, keys_of=named, salt=ROW
         )
-        keyed = keyed.join(found.drop(*own), ROW)
-    return fact_columns(keyed)
+        keyed = meet_rows(keyed, found.drop(*own))
+    return enforce(keyed, COMPLAINTS)
 
 
 def build_star(

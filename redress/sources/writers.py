@@ -1,4 +1,7 @@
-"""Sinks, the bulk load, the catalog and checks of what was written."""
+"""Sinks, the bulk load, the catalog and checks of what was written.
+
+When a sink has written its files, the shuffle files it wrote on the way are deleted.
+"""
 
 from functools import reduce
 from typing import NamedTuple
@@ -9,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from redress.schema import STAR
 from redress.sources.readers import CSV, read_parquet, read_table
-from redress.sources.scratch import settle
+from redress.sources.scratch import freed_shuffles, settle
 
 BATCH_ROWS = 10_000  # fixed value: rows per insert batch
 
@@ -28,7 +31,8 @@ CSV_TEXT = {
 
 def write_parquet(df: DataFrame, path: str) -> None:
     """Replace the table at ``path``."""
-    df.write.mode("overwrite").parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
 
 
 def write_layout(
@@ -43,12 +47,13 @@ def write_layout(
     """
     places = [*by, *order]
     sorted_rows = df.repartitionByRange(*places, F.xxhash64(*df.columns)).sortWithinPartitions(*places)
-    (
-        sorted_rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    with freed_shuffles(df.sparkSession):
+        (
+            sorted_rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
+            .partitionBy(*by)
+            .parquet(path)
+        )
 
 
 def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -60,12 +65,14 @@ def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
     out = df.write if files is None else df.repartition(files).write
     if files is None:
         out = out.option("maxRecordsPerFile", FILE_ROWS)
-    out.mode("overwrite").options(header=True, **CSV_TEXT).csv(path)
+    with freed_shuffles(df.sparkSession):
+        out.mode("overwrite").options(header=True, **CSV_TEXT).csv(path)
 
 
 def write_lines(df: DataFrame, path: str) -> None:
     """Replace the text files at ``path``: a file per task and ``FILE_ROWS`` rows."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).text(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).text(path)
 
 
 def stringify_dates(df: DataFrame, cols: list[str]) -> DataFrame:

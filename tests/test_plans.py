@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from redress.functions import case_key
+from redress.operators import joins
 from redress.operators.joins import orphans, star_join
 from redress.plans import kpis, silver, star
 from redress.plans.feed import COLUMNS_SQL, TERMS, feed
@@ -250,3 +251,36 @@ def test_lines_of_the_feed_are_shuffled_twice(spark, monkeypatch):
     assert sorted(dealt) == [
         "c_custkey", "l_orderkey", "l_partkey", "o_custkey", "o_orderkey", "p_partkey"
     ]
+
+
+def test_a_single_large_dimension_moves_the_rows_once(spark, raw, tables):
+    """One join that shuffles, of one scan of the text, in the fact build and in gold."""
+    dims = {k: tables[k] for k in ("products", "issues", "companies")}
+    *_, limit, largest = sorted(map(joins.measured_bytes, dims.values()))
+    assert limit < largest
+    builds = (lambda limit: star.build_fact(raw, **dims, limit=limit), lambda limit: kpis.combined(tables, limit))
+    for build in builds:
+        large, small = build(limit), build(1 << 30)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        try:
+            text = plan(build(limit))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert len([x for x in text.splitlines() if "FileScan" in x and "complaint_narrative#" in x]) == 1
+        assert text.count("SortMergeJoin") == 1 and "ShuffledHashJoin" not in text and "salt" in text
+        assert large.columns == small.columns and rows(large) == rows(small)
+
+
+def test_suppliers_are_broadcast_without_their_terms(spark, monkeypatch):
+    """Where only the terms are too large, lines are not shuffled for them, and rows are the same."""
+    folder = "/root/testdata/sf0.001"
+    want = rows(feed(spark, folder))
+    monkeypatch.setattr("redress.plans.feed.fits_broadcast", lambda df: "_name_lower" not in df.columns)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = feed(spark, folder)
+        text = plan(found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(l_suppkey" not in text
+    assert rows(found) == want

@@ -1,6 +1,7 @@
 import csv
 import pathlib
 import random
+import time
 from collections import Counter
 from types import SimpleNamespace
 
@@ -8,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from redress.operators.keys import assign_ids
 from redress.schema import COMPLAINTS, PRODUCTS
 from redress.sources import readers, records, repair, scratch, writers
 
@@ -444,3 +446,33 @@ def test_files_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
     assert readers.read_raw(spark, str(tmp_path / "csv")).count() == 35
     writers.write_lines(table.select("text"), str(tmp_path / "text"))
     assert len(list((tmp_path / "text").glob("*.txt"))) == 4
+
+
+def test_sinks_leave_no_shuffle_files(spark, tmp_path):
+    """What was shuffled for a stored table, a sink or ids is deleted when it is written."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {b for b in str(disk.getAllBlocks().mkString(" ")).split() if b.startswith("shuffle_")}
+
+    def dealt():
+        return spark.range(20_000).repartition(7, "id").withColumn("text", F.col("id").cast("string"))
+
+    steps = {
+        "settle": lambda: scratch.settle(dealt(), "dealt"),
+        "parquet": lambda: writers.write_parquet(dealt(), str(tmp_path / "parquet")),
+        "csv": lambda: writers.write_csv(dealt(), str(tmp_path / "csv")),
+        "lines": lambda: writers.write_lines(dealt().select("text"), str(tmp_path / "lines")),
+        "layout": lambda: writers.write_layout(
+            dealt().withColumn("part", F.col("id") % 3), str(tmp_path / "layout"), ["part"], ["id"]
+        ),
+        "ids": lambda: assign_ids(dealt().select("text"), ["text"], "text_id"),
+    }
+    for name, step in steps.items():
+        before = shuffled()
+        step()
+        for _ in range(100):
+            if not shuffled() - before:
+                break
+            time.sleep(0.1)
+        assert not shuffled() - before, name
